@@ -34,6 +34,17 @@ def split_words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
+def remainder(doc_id: Column, n: int = 3) -> Column:
+    """CRC-32 of an id's decimal text, modulo ``n``; 0 for a null id."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
+
+
+def bounded_sample(df: DataFrame, key: Column, most: int) -> DataFrame:
+    """All rows if there are up to ``most``, else about that many, chosen by a hash of the key."""
+    n = df.count()
+    return df if n <= most else df.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(most * (1 << 30) / n))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once for each row."""
     return F.transform(F.array(value), body)[0]

@@ -124,7 +124,7 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
         groups = max(1, -(-n // GROUP_PIECES), min(4 * tasks(pieces), n // 1024))
         dealt = todo.withColumn("dealt", F.pmod(F.xxhash64("row_id", F.lit(round_)), F.lit(groups)).cast("int"))
         out = stage.write(dealt.groupBy("dealt").applyInPandas(_pack_group(capacity), "row_id long, length long, dealt int, bin long, offset long, again boolean, gap long"), f"round{round_}")
-        ids = out.withColumn("sequence_id", (F.col("dealt") + F.lit(base)) * F.lit(1 << 24) + F.col("bin"))
+        ids = out.withColumn("sequence_id", (F.col("dealt").cast("long") + base) * F.lit(1 << 24) + F.col("bin"))
         base += groups
         sizes = out.filter("again").agg(F.count("*").alias("n"), F.countDistinct("dealt", "bin").alias("bins")).first()
         done = groups == 1 or sizes.bins <= 1 or round_ == MAX_ROUNDS - 1 or (last is not None and sizes.bins >= last)

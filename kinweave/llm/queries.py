@@ -1,4 +1,4 @@
-"""Registered queries of the corpus operators, with production parameters."""
+"""Registered queries of the corpus operators, with production parameters, and their SQL."""
 
 from __future__ import annotations
 
@@ -9,8 +9,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.functions.staging import Staging
-from kinweave.llm import huffman, packing
-from kinweave.llm.common import table
+from kinweave.llm import huffman, language, line_dedup, minhash, mixing, packing, quality_model, quality_rules, topk, urls
+from kinweave.llm.common import remainder, table
+
+
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels that a model may learn from."""
+    labels = table(spark, sf_dir, "labels").filter(remainder(F.col("doc_id")) != 1)
+    return labels.select("doc_id", F.col("quality").alias("label"))
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_model.classify(docs, quality_model.fit(docs, quality_labels(spark, sf_dir)))
+    return scored.select("doc_id", (remainder(F.col("doc_id")) == 1).alias("held_out"), "score", "predicted")
+
+
+def op2_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
+
+
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_kept", F.length("text").cast("long").alias("n_chars_kept"), F.md5("text").alias("text_md5"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(remainder(F.col("doc_id")) != 1))
+    return language.identify(docs, model).select("doc_id", (remainder(F.col("doc_id")) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op6_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantized(table(spark, sf_dir, "embeddings"))
+    return topk.exact_top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
 
 
 def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,8 +61,75 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_pivotal_mixing": op2_pivotal_mixing,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_language_id": op5_language_id,
+    "op6_pivot_top_k": op6_pivot_top_k,
     "op7_huffman_ids": op7_huffman_ids,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_url_rules": op9_url_rules,
+    "op10_line_frequency_rules": op10_line_frequency_rules,
+}
+
+_WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x != '')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op3_minhash_near_dedup": f"""
+WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+sized AS (SELECT doc_id, s, len(s) AS n FROM sets),
+held AS (SELECT doc_id, n, unnest(s) AS v FROM sized),
+freq AS (SELECT v, count(*) AS f FROM held GROUP BY v),
+ranked AS (SELECT doc_id, n, h.v, f, row_number() OVER (PARTITION BY doc_id ORDER BY f, h.v) AS r FROM held h JOIN freq USING (v)),
+rare AS (SELECT doc_id, n, v FROM ranked WHERE f > 1 AND r <= n - ceil(n * 0.8) + 1),
+pairs AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM rare x JOIN rare y USING (v) WHERE x.doc_id < y.doc_id AND 10 * least(x.n, y.n) >= 8 * greatest(x.n, y.n)),
+links AS (
+  SELECT a, b FROM pairs JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+  WHERE 100 * len(list_intersect(x.s, y.s)) >= 80 * (x.n + y.n - len(list_intersect(x.s, y.s)))),
+links2 AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, b FROM reach r JOIN links2 ON a = r.other),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept FROM sized s JOIN comp USING (doc_id)
+""",
+    "op4_line_dedup": """
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM split),
+firsts AS (SELECT line, min(doc_id) AS doc_id FROM lines WHERE length(line) >= 32 GROUP BY line),
+met AS (
+  SELECT x.line AS a, y.line AS b, x.doc_id AS da, y.doc_id AS db FROM firsts x JOIN firsts y ON left(x.line, 16) = left(y.line, 16) WHERE abs(length(x.line) - length(y.line)) <= 1 AND x.doc_id < y.doc_id
+  UNION
+  SELECT x.line, y.line, x.doc_id, y.doc_id FROM firsts x JOIN firsts y ON right(x.line, 15) = right(y.line, 15) WHERE abs(length(x.line) - length(y.line)) <= 1 AND x.doc_id < y.doc_id),
+lost AS (SELECT DISTINCT b AS line FROM met WHERE levenshtein(a, b) <= 1),
+judged AS (
+  SELECT l.doc_id, l.pos, l.line, length(l.line) < 32 OR (l.line NOT IN (SELECT line FROM lost) AND l.doc_id = f.doc_id
+    AND row_number() OVER (PARTITION BY l.doc_id, l.line ORDER BY l.pos) = 1) AS stays
+  FROM lines l LEFT JOIN firsts f ON f.line = l.line),
+joined AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (stays) AS n_kept, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '') AS kept FROM judged GROUP BY doc_id)
+SELECT doc_id, n_lines, n_kept, length(kept) AS n_chars_kept, md5(kept) AS text_md5 FROM joined
+""",
+    "op6_pivot_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scores)
+SELECT * FROM ranked WHERE rank <= 5
+""",
 }
-ORACLES: dict[str, str] = {}

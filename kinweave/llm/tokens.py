@@ -25,8 +25,15 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+#: More ids than one piece can have.
+SPAN = 1 << 24
+
+
 class PieceEncoder(dict):
-    """Piece of text -> index of its ids in one growing array; holds ``most`` pieces at most."""
+    """Piece of text -> place of its ids in one growing array; holds ``most`` pieces at most."""
+
+    #: Signs that end a piece as a pre-token of their own.
+    marks = frozenset(".,!?;:")
 
     def __init__(self, path: str, most: int = 700_000):
         import regex
@@ -55,38 +62,34 @@ class PieceEncoder(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.words: dict[str, array] = {}
-        self.ids, self.starts, self.sizes = array("H"), array("q"), array("i")
+        self.words: dict[str, bytes] = {}
+        self.ids = array("H")
 
-    def word_ids(self, word: str) -> array:
+    def word_ids(self, word: str) -> bytes:
         """Ids of one pre-token, spaces included."""
         got = self.words.get(word)
         if got is None:
             letters = word.replace(" ", self.space) if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
-            got = self.words[word] = array("H", [t.id for t in self.model.tokenize(letters)])
+            got = self.words[word] = array("H", [t.id for t in self.model.tokenize(letters)]).tobytes()
         return got
 
-    def piece_ids(self, piece: str) -> array:
+    def piece_ids(self, piece: str) -> bytes:
         if self.normalize:
             piece = piece.lower() if piece.isascii() else self.normalize(piece)
-        out = array("H")
-        for w in self.split(piece):
-            out += self.word_ids(w)
-        return out
+        return b"".join(map(self.word_ids, self.split(piece)))
 
     def __missing__(self, piece: str) -> int:
-        head, tail = piece[:-1], piece[-1:]
-        if piece.isalpha() and (self.keeps_space or piece.isascii()):
-            ids = self.word_ids(" " + piece if self.keeps_space else piece.lower())
-        elif tail in ".,!" and head.isalpha() and (self.keeps_space or piece.isascii()):
-            ids = self.word_ids(" " + head if self.keeps_space else head.lower()) + self.word_ids(tail)
-        else:
+        """Place and number of the piece's ids, as place * SPAN + number."""
+        word = piece if piece.isalpha() else piece[:-1] if piece[-1:] in self.marks and piece[:-1].isalpha() else None
+        if word is None or not (self.keeps_space or word.isascii()):
             ids = self.piece_ids(" " + piece if self.keeps_space else piece)
-        self[piece] = at = len(self)
-        self.starts.append(len(self.ids))
-        self.sizes.append(len(ids))
-        self.ids += ids
-        return at
+        else:
+            ids = self.word_ids(" " + word if self.keeps_space else word.lower())
+            if word is not piece:
+                ids += self.word_ids(piece[-1])
+        got = self[piece] = len(self.ids) * SPAN + len(ids) // 2
+        self.ids.frombytes(ids)
+        return got
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of one text as uint16; none for null."""
@@ -95,17 +98,17 @@ class PieceEncoder(dict):
         if len(self) > self.most or len(self.words) > self.most:
             self.reset()
         if self.keeps_space and "  " in text:  # longer runs of spaces are split by their length
-            return np.array([i for p in self.by_space(text) for i in self.piece_ids(p)], np.uint16)
+            return np.frombuffer(b"".join(map(self.piece_ids, self.by_space(text))), np.uint16)
         pieces = text.split(" ")
         first = np.empty(0, np.uint16)
         if self.keeps_space:
-            first, pieces = np.array(self.piece_ids(pieces[0]), np.uint16), pieces[1:]
+            first, pieces = np.frombuffer(self.piece_ids(pieces[0]), np.uint16), pieces[1:]
         if not pieces:
             return first
         at = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
-        sizes = np.frombuffer(self.sizes, np.int32)[at]
+        sizes = at & (SPAN - 1)
         ends = np.cumsum(sizes)
-        take = np.arange(ends[-1]) + np.repeat(np.frombuffer(self.starts, np.int64)[at] - ends + sizes, sizes)
+        take = np.arange(ends[-1]) + np.repeat(at // SPAN - ends + sizes, sizes)
         return np.concatenate([first, np.frombuffer(self.ids, np.uint16)[take] if len(take) else first[:0]])
 
 
