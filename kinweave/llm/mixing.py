@@ -3,10 +3,11 @@
 Every document of a source has the same expected number of copies, target / size of the
 source. Its whole part is certain; the fractional parts are rounded dependently: two open
 fractions trade words, one's gain being the other's loss, until one of them is 0 or 1, with
-chances that leave every expectation as it was. A chunk of documents leaves one open
-document, the chunks' residuals form the chunks of the next level, and so on down to one
-open document per source, which is rounded on its own. So the words a source gives differ
-from its target by less than one copy of one document.
+chances that leave every expectation as it was. Chunks of documents of like size leave one
+open document each, the chunks' residuals form the chunks of the next level, and so on
+down to one open document for each size class; these trade from the largest to the smallest,
+and the last one is rounded to the nearer end. So the words a source gives differ from its
+target by half a document at most, mostly a small one.
 
 DataFrame functions only.
 """
@@ -23,6 +24,10 @@ from kinweave.llm.common import n_words
 
 #: Documents of a chunk; a source's chunks shrink by this at each level.
 CHUNK = 64
+#: Size classes for each doubling of the size.
+CLASSES = 4
+#: Sources, or their size classes, whose table may be joined in memory.
+SMALL_TABLE = 100_000
 MOST = 3
 
 
@@ -99,29 +104,31 @@ def mix(docs: DataFrame, seed: int = 0, most: int = MOST, doc_id: str = "doc_id"
     nth = F.row_number().over(Window.partitionBy("doc_id", "k").orderBy("size"))
     rows = stage.write(rows.withColumn("nth", nth.cast("long")), "sizes")
     targets = stage.write(source_targets(rows.select("source", "size"), most), "targets")
-    per = targets.withColumnRenamed("source", "own")
-    if targets.count() <= 100_000:  # else the join shuffles, with skewed sources split
+    per = targets.withColumnRenamed("source", "own").drop("n")
+    if targets.count() <= SMALL_TABLE:  # else the join shuffles, with skewed sources split
         per = F.broadcast(per)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = rows.join(per, F.col("source").eqNullSafe(F.col("own"))).drop("own").withColumn("rate", F.least(rate, F.lit(float(most))))
     whole = F.floor("rate")
     rows = rows.withColumn("base", whole.cast("long")).withColumn("x", F.col("rate") - whole)
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "k", "nth")
-    # Chunks are made of random documents, the largest first, so that what stays open is small.
-    open_ = rows.filter("x > 0 AND size > 0").select(F.xxhash64("source", F.col("source").isNull()).alias("s"), "n", F.struct(F.col("size"), key.alias("id"), F.col("x")).alias("d"))
-    settled, level, most_rows = [], 0, targets.agg(F.max("n")).first()[0] or 0
-    while most_rows:
+    kind = F.floor(F.log2(F.col("size").cast("double")) * CLASSES).cast("int")
+    open_ = rows.filter("x > 0 AND size > 0").select(F.xxhash64("source", F.col("source").isNull()).alias("s"), kind.alias("kind"), F.struct("size", key.alias("id"), "x").alias("d"))
+    counts = stage.write(open_.groupBy(F.col("s").alias("cs"), F.col("kind").alias("ckind")).agg(F.count("*").alias("n")), "classes")
+    size = counts.agg(F.count("*").alias("rows"), F.max("n").alias("most")).first()
+    open_ = open_.join(F.broadcast(counts) if size.rows <= SMALL_TABLE else counts, (F.col("s") == F.col("cs")) & (F.col("kind") == F.col("ckind"))).drop("cs", "ckind")
+    settled, level, last = [], 0, not size.rows
+    while not last:
+        last = level > 0 and CHUNK**level >= size.most  # one open document of each class is left: all classes of a source
         chunks = F.ceil(F.col("n") / F.lit(float(CHUNK ** (level + 1)))).cast("long")
-        dealt = open_.withColumn("chunk", F.pmod(F.xxhash64("d.id", F.lit(seed), F.lit(level)), chunks))
-        out = dealt.groupBy("s", "chunk").agg(F.max("n").alias("n"), F.collect_list("d").alias("m")).select("s", "n", _round_chunk(F.col("m"), seed, level).alias("r"))
+        deal = [F.lit(0).alias("kind"), F.lit(0).cast("long").alias("chunk")] if last else ["kind", F.pmod(F.xxhash64("d.id", F.lit(seed), F.lit(level)), chunks).alias("chunk")]
+        out = open_.select("s", *deal, "n", "d").groupBy("s", "kind", "chunk").agg(F.max("n").alias("n"), F.collect_list("d").alias("m")).select("s", "kind", "n", _round_chunk(F.col("m"), seed, level).alias("r"))
         out = stage.write(out, f"level{level}")
         settled.append(out.select(F.explode("r.done").alias("d")).select("d.id", "d.x"))
-        open_ = out.select("s", "n", F.col("r.open").alias("d"))
-        if CHUNK ** (level + 1) >= most_rows:
-            last = F.when(_uniform(F.col("d.id"), F.lit(seed), F.lit(-1)) < F.col("d.x"), 1.0).otherwise(0.0)
-            settled.append(open_.select("d.id", last.alias("x")))
-            break
+        open_ = out.select("s", "kind", "n", F.col("r.open").alias("d"))
         level += 1
+    if settled:
+        settled.append(open_.select("d.id", F.round("d.x").alias("x")))
     rows = rows.withColumn("key", key)
     if settled:
         extra = reduce(DataFrame.unionByName, settled).select(F.col("id").alias("key"), F.col("x").cast("long").alias("extra"))
