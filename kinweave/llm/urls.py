@@ -39,18 +39,17 @@ def fitting_rule(rules=RULES) -> Column:
 
 
 def tokens(url: Column, host: Column, path: Column) -> Column:
-    """Distinct tokens: scheme, suffixes of the host, its labels' words, path parts, extension, query keys, fragment."""
+    """Distinct tokens: top-level domain, site, labels below it and their words, path parts, extension, query keys."""
     labels = F.filter(F.split(host, r"\."), lambda x: x != "")
+    below = F.slice(labels, F.lit(1), F.greatest(F.size(labels) - 2, F.lit(0)))
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     kinds = [
-        F.array(F.concat(F.lit("scheme:"), F.lower(F.regexp_extract(url, r"^([A-Za-z]+)://", 1)))),
-        F.transform(labels, lambda x: F.concat(F.lit("label:"), x)),
-        F.array(F.concat(F.lit("site:"), F.substring_index(host, ".", -2)), F.concat(F.lit("top:"), F.substring_index(host, ".", -1))),
-        F.flatten(F.transform(labels, lambda x: F.transform(F.filter(F.split(x, "[-_0-9]+"), lambda w: (w != "") & (w != x)), lambda w: F.concat(F.lit("word:"), w)))),
-        F.transform(F.slice(F.filter(F.split(path, "/"), lambda x: (x != "") & ~x.rlike("[0-9]")), 1, 8), lambda x: F.concat(F.lit("part:"), x)),
+        F.array(F.concat(F.lit("top:"), F.substring_index(host, ".", -1)), F.concat(F.lit("site:"), F.substring_index(host, ".", -2))),
+        F.transform(below, lambda x: F.concat(F.lit("label:"), x)),
+        F.flatten(F.transform(below, lambda x: F.transform(F.filter(F.split(x, "[-_0-9]+"), lambda w: (w != "") & (w != x)), lambda w: F.concat(F.lit("word:"), w)))),
+        F.transform(F.filter(F.split(path, "/"), lambda x: (x != "") & ~x.rlike("[0-9]")), lambda x: F.concat(F.lit("part:"), x)),
         F.array(F.concat(F.lit("ext:"), F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1)))),
         F.transform(F.filter(F.split(query, "&"), lambda x: x != ""), lambda x: F.concat(F.lit("key:"), F.substring_index(x, "=", 1))),
-        F.array(F.when(F.instr(url, "#") > 0, F.lit("fragment:yes")).otherwise("fragment:no")),
     ]
     return F.filter(F.array_distinct(F.concat(*kinds)), lambda x: x.isNotNull() & ~x.endswith(":"))
 
