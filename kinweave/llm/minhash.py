@@ -31,6 +31,7 @@ K = 40
 LEAST = 18
 SMALL = 32
 LEADERS = 6
+MORE_LEADERS = 24
 #: Rarity is counted in so many hashed buckets, whatever the corpus holds.
 RARITY_BITS = 18
 #: Bits of the filter that keeps unrelated texts out of the verification; it only saves work.
@@ -236,26 +237,28 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
         known = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
         return known.filter("coalesce(ca, a) != coalesce(cb, b)").drop("ca", "cb")
 
-    # One likely partner for each document first; most other pairs then lie within a component.
-    links = [first.filter("sure").select("a", "b")]
-    likely = first.filter("NOT sure").groupBy("b").agg(F.max_by("a", F.struct("common", -F.col("a"))).alias("a"))
-    links.append(_confirmed(stage.write(likely, "likely"), docs, size, percent, stage))
-    comps = stage.write(components(links), "components")
-    rest = first.filter("NOT sure").join(likely, ["a", "b"], "left_anti")
-    links.append(_confirmed(stage.write(apart(rest, comps), "rest"), docs, size, percent, stage))
-    comps = stage.write(components(links), "components")
+    def linked(pairs: DataFrame) -> list[DataFrame]:
+        rest = pairs.filter("NOT sure").select("a", "b")
+        return [pairs.filter("sure").select("a", "b"), _confirmed(rest, docs, size, percent, stage)]
 
-    # Long lists: what isn't in the largest component of its list meets all of the list.
+    links = linked(first)
+    # Long lists: what isn't in the largest component of its list meets more leaders, then all of the list.
     bucket = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    placed = long_.join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("value", "doc_id", "n", F.coalesce("component", "doc_id").alias("c"), bucket.alias("bucket"))
-    placed = stage.write(placed, "placed")
-    major = placed.groupBy("value", "c").agg(F.count("*").alias("k")).groupBy("value").agg(F.max_by("c", "k").alias("major"), F.count("*").alias("parts")).filter("parts > 1")
-    minor = placed.join(major, "value").filter("c != major").select("value", F.col("doc_id").alias("x"), F.col("n").alias("m"), F.col("c").alias("d"), F.explode(F.array(*[F.col("bucket") + i for i in (-1, 0, 1)])).alias("bucket"))
-    more = minor.join(placed, ["value", "bucket"]).filter((F.col("c") != F.col("d")) & fits(F.col("n"), F.col("m"))).select(F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b")).distinct()
-    late = stage.write(_estimated(more.join(first.select("a", "b"), ["a", "b"], "left_anti"), reps, percent), "late")
-    links.append(late.filter("sure").select("a", "b"))
-    links.append(_confirmed(late.filter("NOT sure").select("a", "b"), docs, size, percent, stage))
-    comps = components([*links, members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))])
+    for last in (False, True):
+        comps = connected_components(reduce(DataFrame.unionByName, links), "a", "b")
+        placed = stage.write(long_.join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("value", "doc_id", "n", F.coalesce("component", "doc_id").alias("c"), bucket.alias("bucket")), "placed")
+        major = placed.groupBy("value", "c").agg(F.count("*").alias("k")).groupBy("value").agg(F.max_by("c", "k").alias("major"), F.count("*").alias("parts")).filter("parts > 1")
+        minor = placed.join(major, "value").filter("c != major").select("value", F.col("doc_id").alias("x"), F.col("n").alias("m"), F.col("c").alias("d"), "bucket")
+        if last:
+            minor = minor.withColumn("bucket", F.explode(F.array(*[F.col("bucket") + i for i in (-1, 0, 1)])))
+            met = minor.join(placed, ["value", "bucket"])
+        else:
+            more = [F.min_by(F.struct("doc_id", "n", "c"), F.xxhash64("doc_id", F.lit(i))).alias(f"l{i}") for i in range(LEADERS, LEADERS + MORE_LEADERS)]
+            chosen = placed.join(major.select("value"), "value", "left_semi").groupBy("value").agg(*more)
+            met = minor.join(chosen.select("value", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS, LEADERS + MORE_LEADERS)]))).alias("l")).select("value", "l.*"), "value")
+        met = met.filter((F.col("c") != F.col("d")) & fits(F.col("n"), F.col("m"))).select(F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b")).distinct()
+        links += linked(stage.write(_estimated(met, reps, percent), "late" if last else "more"))
+    comps = connected_components(reduce(DataFrame.unionByName, [*links, members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))]), "a", "b")
 
     named = all_.select("doc_id", "n_shingles").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
