@@ -64,7 +64,8 @@ def merge_member_rows(members: DataFrame, rows: DataFrame, fields: list[str]) ->
     """Values of a seed's members joined with ``^``, the seed first, then by id. ``members``: ``seed, accession``."""
     both = members.join(rows, "accession")
     parts = F.array_sort(F.collect_list(F.struct((F.col("accession") != F.col("seed")).alias("_o"), "accession", *[F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f) for f in fields])))
-    return both.groupBy("seed").agg(parts.alias("p")).select("seed", *[F.array_join(F.transform("p", lambda x, f=f: _no_tail(x[f])), ROW_SEP).alias(f) for f in fields])
+    joined = lambda f: F.array_join(F.transform("p", lambda x: _no_tail(x[f])), ROW_SEP).alias(f)
+    return both.groupBy("seed").agg(parts.alias("p")).select("seed", *map(joined, fields))
 
 
 def seed_attributes(members: DataFrame, lengths: DataFrame) -> DataFrame:

@@ -11,9 +11,11 @@ from kinweave.functions.staging import Staging
 MAX_ROUNDS = 100
 
 
-def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.sum(F.xxhash64("v", "u") % 1000003).alias("s")).first()
-    return row.n, row.x, row.s
+def _done(edges: DataFrame) -> bool:
+    """Whether every node has one edge, to a node that has none itself."""
+    forks = edges.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").select("u")
+    chains = edges.select(F.col("v").alias("u")).distinct().join(edges.select("u").distinct(), "u", "left_semi")
+    return not forks.unionByName(chains).limit(1).count()
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", nodes: DataFrame | None = None, node: str = "node") -> DataFrame:
@@ -28,8 +30,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", n
     stage = Staging(edges.sparkSession, "components")
     ends = edges.select(F.col(src).alias("s"), F.col(dst).alias("d")).filter("s IS NOT NULL AND d IS NOT NULL")
     now = stage.write(ends.filter("s != d").select(F.greatest("s", "d").alias("u"), F.least("s", "d").alias("v")).distinct(), "edges")
-    seen = _signature(now)
-    for _ in range(MAX_ROUNDS if seen[0] else 0):
+    for _ in range(MAX_ROUNDS):
+        if _done(now):
+            break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         near = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(near, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -37,9 +40,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", n
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v")).distinct()
         after = stage.write(small, "edges")
         stage.drop(now)
-        now, last, seen = after, seen, _signature(after)
-        if seen == last:
-            break
+        now = after
     found = now.select(F.col("u").alias(node), F.col("v").alias("component"))
     every = ends.select(F.col("s").alias(node)).unionByName(ends.select(F.col("d").alias(node)))
     if nodes is not None:

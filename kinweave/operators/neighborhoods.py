@@ -188,7 +188,8 @@ def family_names(joined: DataFrame, info: DataFrame, family: str = "family") ->
     short = F.coalesce(F.when(F.col("short_name") != "", F.col("short_name")), "part")
     rows = parts.join(known, "part", "left").select(family, F.struct("i", short.alias("s"), F.coalesce(F.when(F.col("long_name") != "", F.col("long_name")), short).alias("l")).alias("x"))
     one = rows.groupBy(family).agg(F.array_sort(F.collect_list("x")).alias("x"))
-    return one.select(family, *[F.array_join(F.transform("x", lambda v, k=k: v[k]), "-").alias(n) for k, n in (("s", "short_names"), ("l", "long_names"))])
+    joined = lambda k: F.array_join(F.transform("x", lambda v: v[k]), "-")
+    return one.select(family, joined("s").alias("short_names"), joined("l").alias("long_names"))
 
 
 def annotate_genes(neighbors: DataFrame, annotations: DataFrame) -> DataFrame:
