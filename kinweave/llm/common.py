@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: White space between words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\f\r"
@@ -50,18 +48,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict[str, list] | None], schema: T.StructType) -> DataFrame:
-    """``mapInArrow`` with one output batch for each input batch."""
-    arrow = None
+def possibly_in(df: DataFrame, column: str, ids: DataFrame, bits: int = 22) -> DataFrame:
+    """Rows whose hash ``column`` may be among the ids of the one-column table ``ids``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        nonlocal arrow
-        arrow = arrow or to_arrow_schema(schema)
-        for batch in batches:
-            out = f(batch)
-            if out is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(out[x.name], x.type) for x in arrow], schema=arrow)
-
-    return df.mapInArrow(run, schema)
+    A bitmap of fixed size is joined in memory (at most ``2**(bits - 6)`` rows), so it only
+    saves work: rows that aren't among the ids may stay.
+    """
+    at = lambda c: F.pmod(F.shiftright(c, 7), F.lit(1 << bits))
+    words = ids.select(at(F.col(ids.columns[0])).alias("_p")).groupBy((F.col("_p") / 64).cast("int").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_p % 64 as int))")).alias("_bits"))
+    placed = df.withColumn("_p", at(F.col(column))).withColumn("_word", (F.col("_p") / 64).cast("int"))
+    return placed.join(F.broadcast(words), "_word").filter("shiftrightunsigned(_bits, cast(_p % 64 as int)) & 1 = 1").drop("_p", "_word", "_bits")

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import SPACES, let, split_words
+from kinweave.functions.staging import Staging
+from kinweave.llm.common import SPACES, let, possibly_in, split_words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -66,15 +67,18 @@ def _normal(line: Column) -> Column:
 
 
 def depleted(docs: DataFrame, host: str, text: str, max_docs: int, min_left: float) -> DataFrame:
-    """``_key_id, _key_text`` of documents of which removed lines leave less than ``min_left`` of the characters."""
-    line = F.explode(F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
-    keyed = docs.select("_key_id", "_key_text", F.col(host).alias("host"), line.alias("line"))
-    lines = keyed.select("_key_id", "_key_text", "host", let(F.trim(_normal(F.col("line"))), lambda x: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("n"))).alias("x"))
-    lines = lines.filter("x.n > 0").groupBy("_key_id", "_key_text", "host", F.col("x.h").alias("h")).agg(F.sum("x.n").alias("n"))
-    often = lines.groupBy("host", "h").agg(F.count("*").alias("held")).filter(F.col("held") > max_docs)
-    cut = lines.join(often.select(F.col("host").alias("h_host"), F.col("h").alias("h_line"), "held"), (F.col("h") == F.col("h_line")) & F.col("host").eqNullSafe(F.col("h_host")), "left")
-    left = cut.groupBy("_key_id", "_key_text").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("held").isNull(), F.col("n")).otherwise(0)).alias("left"))
-    return left.filter(F.col("left") < F.col("all") * min_left).select("_key_id", "_key_text")
+    """``_key`` of documents of which removed lines leave less than ``min_left`` of the characters of their distinct lines.
+
+    A line of a host is one 64-bit hash from here on; only hashes and lengths are shuffled.
+    """
+    stage = Staging(docs.sparkSession, "lines")
+    distinct = F.filter(F.array_distinct(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.trim(_normal(x)))), lambda x: x != "")
+    hashed = let(distinct, lambda d: F.transform(d, lambda x: F.struct(F.xxhash64(x, F.col(host), F.col(host).isNull()).alias("h"), F.length(x).alias("n"))))
+    rows = docs.select("_key", hashed.alias("x")).select("_key", F.aggregate("x", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("all"), F.explode("x").alias("x")).select("_key", "all", "x.h", "x.n")
+    lines = stage.write(rows, "lines")
+    often = stage.write(lines.groupBy("h").agg(F.count("*").alias("held")).filter(F.col("held") > max_docs).select("h"), "often")
+    cut = possibly_in(lines, "h", often).join(often, "h").groupBy("_key").agg(F.first("all").alias("all"), F.sum("n").alias("cut"))
+    return cut.filter(F.col("all") - F.col("cut") < F.col("all") * min_left).select("_key")
 
 
 def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc_id: str = "doc_id", max_docs: int = 100, min_left: float = 0.25) -> DataFrame:
@@ -82,13 +86,12 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc
 
     A document is dropped if it fails the base rules (fewer than 20 words, or over 30 % of
     them in repeated windows), or if removing lines that over ``max_docs`` distinct documents
-    of its host hold leaves less than ``min_left`` of its normalised characters. Documents
-    are told apart by id and text, so null ids and repeated rows are fine; a null host is a
-    host of its own; a null or empty text has no words and fails.
+    of its host hold leaves less than ``min_left`` of the characters of its distinct
+    normalised lines. Null ids and repeated rows are fine (a repeated row counts each time);
+    a null host is a host of its own; a null or empty text has no words and fails.
     """
-    key = {"_key_id": F.col(doc_id).cast("string"), "_key_text": F.xxhash64(F.col(text), F.col(host))}
-    docs = docs.withColumns(key)
-    gone = depleted(docs, host, text, max_docs, min_left).select(F.col("_key_id").alias("_gone_id"), F.col("_key_text").alias("_gone_text"))
-    # Only keys and flags of the documents come here; a join on the text's hash keeps null ids together.
-    joined = text_statistics(docs, text).join(gone, (F.col("_key_text") == F.col("_gone_text")) & F.col("_key_id").eqNullSafe(F.col("_gone_id")), "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & F.col("_gone_text").isNull()).drop("_key_id", "_key_text", "_gone_id", "_gone_text")
+    docs = docs.withColumn("_key", F.xxhash64(F.col(doc_id).cast("string"), F.col(text), F.col(host), F.col(doc_id).isNull()))
+    gone = depleted(docs, host, text, max_docs, min_left).withColumn("_gone", F.lit(True))
+    # Keys and numbers of the documents meet here, no texts unless the caller asks for them.
+    joined = text_statistics(docs, text).join(gone, "_key", "left")
+    return joined.withColumn("kept", ~F.col("base_failed") & F.col("_gone").isNull()).drop("_key", "_gone")
