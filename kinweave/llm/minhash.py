@@ -9,14 +9,16 @@ chance of about 2e-7. So both sketches, ordered by rarity, share one of their ``
 the sketch of their union shows enough common values, and confirmed on full sets.
 
 A list of up to ``SMALL`` documents gives all its pairs. Of a longer one, each document
-is paired with a few leaders; confirmed pairs merge components, and what then still lies
-in another component than most of its list is compared with the whole list. So no link
-between components is left out, and a large group of copies costs a linear number of pairs.
+is paired with a few leaders; confirmed pairs merge components, and what then lies outside
+the largest component of its list meets more leaders. What is still outside is compared
+with all documents of such lists that share one of the rarest shingles of the full sets.
+So no link between components is left out, and a large group of copies costs a linear
+number of pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -93,44 +95,41 @@ def sketches(docs: DataFrame, size: int = 2, k: int = K) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, fp1 long, fp2 long, sketch binary")
 
 
-def _rarity(reps: DataFrame) -> np.ndarray:
-    """Binary logarithm of how many sketch values fall in each hashed bucket."""
+def _rarity(rows: DataFrame, values: Callable[[list], list[np.ndarray]], column: str) -> np.ndarray:
+    """Binary logarithm of how many values fall in each hashed bucket."""
     schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
     size = 1 << RARITY_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            values = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
-            total += np.bincount((values & np.uint64(size - 1)).astype(np.int64), minlength=size)
+            every = np.concatenate([np.empty(0, np.uint64), *values(batch.column(0).to_pylist())])
+            total += np.bincount((every & np.uint64(size - 1)).astype(np.int64), minlength=size)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], schema=schema)
 
     counts = np.ones(size, np.int64)
-    for row in reps.select("sketch").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).filter("n > 1").collect():  # at most 2**RARITY_BITS rows
+    for row in rows.select(column).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).filter("n > 1").collect():  # at most 2**RARITY_BITS rows
         counts[row.bucket] = row.n
     return np.log2(counts).astype(np.uint8)
 
 
-def _postings(reps: DataFrame, rarity: np.ndarray, percent: int) -> DataFrame:
-    """``value, doc_id, n``: the rarest sketch values of each class."""
-    schema = pa.schema([("value", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64())])
+def _postings(rows: DataFrame, values: Callable[[list], list[np.ndarray]], column: str, rarity: np.ndarray, common: Callable[[int], int]) -> DataFrame:
+    """``value, doc_id, n, at``: of a set's values the rarest, all but ``common(set size) - 1`` of them, with their place in that order."""
+    schema = pa.schema([("value", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("at", pa.int64())])
     mask = np.uint64(len(rarity) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for n, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                values = np.frombuffer(raw, np.uint64)
-                # Sets that any partner's sketch holds in full: the exact number of common values.
-                common = -(-percent * n // 100) if 100 * n <= percent * K else LEAST
-                order = np.lexsort((values, rarity[(values & mask).astype(np.int64)]))
-                parts.append(values[order[: len(values) - common + 1]])
-            sizes = [len(p) for p in parts]
+            parts = [np.empty(0, np.uint64)]
+            for n, own in zip(batch.column(1).to_pylist(), values(batch.column(2).to_pylist()), strict=True):
+                order = np.lexsort((own, rarity[(own & mask).astype(np.int64)]))
+                parts.append(own[order[: len(own) - common(n) + 1]])
+            sizes = [len(p) for p in parts[1:]]
             doc, n = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(doc), pa.array(n)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(doc), pa.array(n), pa.array(np.concatenate([np.arange(k) for k in (0, *sizes)]))], schema=schema)
 
-    return reps.select("doc_id", "n_shingles", "sketch").mapInArrow(run, "value long, doc_id long, n long")
+    return rows.select("doc_id", "n", column).mapInArrow(run, "value long, doc_id long, n long, at long")
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -199,6 +198,16 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, stage
     return out
 
 
+def _outside(lists: DataFrame, links: list[DataFrame], stage: Staging) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """List entries with their component ``c``; the largest component of each list that has several; entries outside it."""
+    comps = connected_components(reduce(DataFrame.unionByName, links), "a", "b")
+    placed = stage.write(lists.join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("value", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")), "placed")
+    sizes = placed.groupBy("value", "c").agg(F.count("*").alias("k"))
+    major = stage.write(sizes.groupBy("value").agg(F.max_by("c", "k").alias("major"), F.count("*").alias("parts")).filter("parts > 1").select("value", "major"), "major")
+    minor = placed.join(major, "value").filter("c != major").select("value", F.col("doc_id").alias("x"), F.col("n").alias("m"), F.col("c").alias("d"))
+    return placed, major, minor
+
+
 def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``doc_id, text``.
 
@@ -216,7 +225,10 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     members = stage.write(alive.select("doc_id", "fp1", "fp2", "n_shingles").join(classes, ["fp1", "fp2", "n_shingles"]).select("doc_id", "rep"), "members")
     reps = stage.write(alive.join(classes.select(F.col("rep").alias("doc_id"), "fp1", "fp2", "n_shingles"), ["doc_id", "fp1", "fp2", "n_shingles"]).select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id", "n_shingles"]), "classes")
 
-    postings = _postings(reps, _rarity(reps), percent)
+    unpacked = lambda raw: [np.frombuffer(x, np.uint64) for x in raw]
+    # Sets that any partner's sketch holds in full need the exact number of common values.
+    least = lambda n: -(-percent * n // 100) if 100 * n <= percent * K else LEAST
+    postings = _postings(reps.withColumnRenamed("n_shingles", "n"), unpacked, "sketch", _rarity(reps, unpacked, "sketch"), least).drop("at")
     lists = postings.groupBy("value").agg(F.count("*").alias("held")).filter("held > 1")
     live = stage.write(postings.join(lists, "value"), "lists")
     fits = lambda x, y: (F.least(x, y) * 100) >= (F.greatest(x, y) * percent)
@@ -242,22 +254,31 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
         return [pairs.filter("sure").select("a", "b"), _confirmed(rest, docs, size, percent, stage)]
 
     links = linked(first)
-    # Long lists: what isn't in the largest component of its list meets more leaders, then all of the list.
+    # Long lists: what isn't in the largest component of its list meets more leaders first.
+    placed, major, minor = _outside(long_, links, stage)
+    drawn = range(LEADERS, LEADERS + MORE_LEADERS)
+    more = placed.join(major.select("value"), "value", "left_semi").groupBy("value").agg(*[F.min_by(F.struct("doc_id", "n", "c"), F.xxhash64("doc_id", F.lit(i))).alias(f"l{i}") for i in drawn])
+    more = more.select("value", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in drawn]))).alias("l")).select("value", "l.*")
+    differ = (F.col("c") != F.col("d")) & fits(F.col("n"), F.col("m"))
+    pair = [F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b")]
+    met = minor.join(more, "value").filter(differ).select(pair).distinct()
+    links += linked(stage.write(_estimated(met, reps, percent), "more"))
+
+    # What is still outside meets all documents of its lists with which it shares one of the
+    # rarest values of the full sets: as many as two similar sets can't both lack.
+    placed, major, minor = _outside(long_, links, stage)
+    crowd = stage.write(placed.join(major, "value").select("doc_id", "n", "c", (F.col("c") != F.col("major")).alias("minor")).groupBy("doc_id", "n", "c").agg(F.max("minor").alias("minor")), "crowd")
+    texts = stage.write(_among(docs, crowd.select("doc_id")).join(crowd.select("doc_id", "n"), "doc_id"), "crowd-texts")
+    sets = lambda raw: [shingle_set(t, size) for t in raw]
+    rare = _postings(texts, sets, "text", _rarity(texts, sets, "text"), lambda n: -(-percent * n // 100))
     bucket = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    for last in (False, True):
-        comps = connected_components(reduce(DataFrame.unionByName, links), "a", "b")
-        placed = stage.write(long_.join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("value", "doc_id", "n", F.coalesce("component", "doc_id").alias("c"), bucket.alias("bucket")), "placed")
-        major = placed.groupBy("value", "c").agg(F.count("*").alias("k")).groupBy("value").agg(F.max_by("c", "k").alias("major"), F.count("*").alias("parts")).filter("parts > 1")
-        minor = placed.join(major, "value").filter("c != major").select("value", F.col("doc_id").alias("x"), F.col("n").alias("m"), F.col("c").alias("d"), "bucket")
-        if last:
-            minor = minor.withColumn("bucket", F.explode(F.array(*[F.col("bucket") + i for i in (-1, 0, 1)])))
-            met = minor.join(placed, ["value", "bucket"])
-        else:
-            more = [F.min_by(F.struct("doc_id", "n", "c"), F.xxhash64("doc_id", F.lit(i))).alias(f"l{i}") for i in range(LEADERS, LEADERS + MORE_LEADERS)]
-            chosen = placed.join(major.select("value"), "value", "left_semi").groupBy("value").agg(*more)
-            met = minor.join(chosen.select("value", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS, LEADERS + MORE_LEADERS)]))).alias("l")).select("value", "l.*"), "value")
-        met = met.filter((F.col("c") != F.col("d")) & fits(F.col("n"), F.col("m"))).select(F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b")).distinct()
-        links += linked(stage.write(_estimated(met, reps, percent), "late" if last else "more"))
+    rare = stage.write(rare.join(crowd, ["doc_id", "n"]).withColumn("bucket", bucket), "crowd-lists")
+    outside = rare.filter("minor").select("value", F.col("doc_id").alias("x"), F.col("n").alias("m"), F.col("c").alias("d"), F.col("at").alias("x_at"), F.explode(F.array(*[F.col("bucket") + i for i in (-1, 0, 1)])).alias("bucket"))
+    # Two similar sets share so many values that none of them can lack more of its rarest ones.
+    shared = F.ceil((F.col("n") + F.col("m")) * percent / (100.0 + percent) - 1e-9)
+    early = (F.col("at") <= F.col("n") - shared) & (F.col("x_at") <= F.col("m") - shared)
+    met = outside.join(rare, ["value", "bucket"]).filter(differ & early).select(pair).distinct()
+    links += linked(stage.write(_estimated(met, reps, percent), "late"))
     comps = connected_components(reduce(DataFrame.unionByName, [*links, members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))]), "a", "b")
 
     named = all_.select("doc_id", "n_shingles").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
