@@ -52,9 +52,9 @@ def _attributes(att):
 
 def read_network(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Nodes ``id, label, attributes`` and edges ``source, target, attributes`` of an XML graph."""
-    nodes = spark.read.format("xml").option("rowTag", "node").schema(schemas.NODE).load(path)
+    nodes = spark.read.format("xml").option("useLegacyXMLParser", True).option("rowTag", "node").schema(schemas.NODE).load(path)
     wide = F.transform("att", lambda a: F.struct(a["_name"].alias("_name"), a["_type"].alias("_type"), a["_value"].alias("_value"), F.lit(None).cast("array<struct<_name:string,_type:string,_value:string>>").alias("att")))
-    edges = spark.read.format("xml").option("rowTag", "edge").schema(schemas.EDGE).load(path)
+    edges = spark.read.format("xml").option("useLegacyXMLParser", True).option("rowTag", "edge").schema(schemas.EDGE).load(path)
     return nodes.select(F.col("_id").alias("id"), F.col("_label").alias("label"), _attributes(F.col("att")).alias("attributes")), edges.select(F.col("_source").alias("source"), F.col("_target").alias("target"), _attributes(wide).alias("attributes"))
 
 
