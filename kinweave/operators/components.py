@@ -13,9 +13,9 @@ MAX_ROUNDS = 100
 
 def _done(edges: DataFrame) -> bool:
     """Whether every node has one edge, to a node that has none itself."""
-    forks = edges.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").select("u")
-    chains = edges.select(F.col("v").alias("u")).distinct().join(edges.select("u").distinct(), "u", "left_semi")
-    return not forks.unionByName(chains).limit(1).count()
+    ends = F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")), F.struct(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))).alias("e")
+    nodes = edges.select(ends).select("e.*").groupBy("x").agg(F.sum("out").alias("out"), F.sum("into").alias("into"))
+    return not nodes.filter("out > 1 OR (out > 0 AND into > 0)").limit(1).count()
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", nodes: DataFrame | None = None, node: str = "node") -> DataFrame:
@@ -35,7 +35,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", n
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         near = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(near, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(near, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v")).distinct()
         after = stage.write(small, "edges")

@@ -52,7 +52,7 @@ MATCH_SCHEMA = "_id string, match array<struct<_id:string,_dbname:string,_name:s
 
 
 def read_family_matches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("xml").option("rowTag", "protein").schema(MATCH_SCHEMA).load(path)
+    return spark.read.format("xml").option("useLegacyXMLParser", True).option("rowTag", "protein").schema(MATCH_SCHEMA).load(path)
 
 
 def parse_family_matches(proteins: DataFrame, hierarchy: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -101,7 +101,7 @@ SEED_SCHEMA = f"_id string, representativeMember struct<dbReference:{_MEMBER}>,
 
 
 def read_seed_clusters(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("xml").option("rowTag", "entry").schema(SEED_SCHEMA).load(path)
+    return spark.read.format("xml").option("useLegacyXMLParser", True).option("rowTag", "entry").schema(SEED_SCHEMA).load(path)
 
 
 def parse_seed_clusters(entries: DataFrame) -> DataFrame:
@@ -128,7 +128,7 @@ TAXON_SCHEMA = f"_taxId int, _scientificName string, _rank string, lineage struc
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("xml").option("rowTag", "entry").schema(f"taxon struct<{TAXON_SCHEMA.replace('_taxId int', '_taxId:int').replace('_scientificName string', '_scientificName:string').replace('_rank string', '_rank:string').replace('lineage struct', 'lineage:struct').replace('children struct', 'children:struct')}>").load(path).select("taxon.*")
+    return spark.read.format("xml").option("useLegacyXMLParser", True).option("rowTag", "entry").schema(f"taxon struct<{TAXON_SCHEMA.replace('_taxId int', '_taxId:int').replace('_scientificName string', '_scientificName:string').replace('_rank string', '_rank:string').replace('lineage struct', 'lineage:struct').replace('children struct', 'children:struct')}>").load(path).select("taxon.*")
 
 
 def parse_taxonomy(taxa: DataFrame) -> DataFrame:
