@@ -10,8 +10,8 @@ the sketch of their union shows enough common values, and confirmed on full sets
 
 A list of up to ``SMALL`` documents gives all its pairs. Of a longer one, each document
 is paired with a few leaders; confirmed pairs merge components, and what then lies outside
-the largest component of its list meets more leaders. What is still outside is compared
-with all documents of such lists that share one of the rarest shingles of the full sets.
+the largest component of its list is compared with all documents of such lists that share
+one of the rarest shingles of the full sets.
 So no link between components is left out, and a large group of copies costs a linear
 number of pairs.
 """
@@ -33,7 +33,6 @@ K = 40
 LEAST = 18
 SMALL = 32
 LEADERS = 6
-MORE_LEADERS = 24
 #: Rarity is counted in so many hashed buckets, whatever the corpus holds.
 RARITY_BITS = 18
 #: Bits of the filter that keeps unrelated texts out of the verification; it only saves work.
@@ -198,14 +197,13 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, stage
     return out
 
 
-def _outside(lists: DataFrame, links: list[DataFrame], stage: Staging) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """List entries with their component ``c``; the largest component of each list that has several; entries outside it."""
+def _outside(lists: DataFrame, links: list[DataFrame], stage: Staging) -> tuple[DataFrame, DataFrame]:
+    """List entries with their component ``c``, and the largest component of each list that has several."""
     comps = connected_components(reduce(DataFrame.unionByName, links), "a", "b")
     placed = stage.write(lists.join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("value", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")), "placed")
     sizes = placed.groupBy("value", "c").agg(F.count("*").alias("k"))
     major = stage.write(sizes.groupBy("value").agg(F.max_by("c", "k").alias("major"), F.count("*").alias("parts")).filter("parts > 1").select("value", "major"), "major")
-    minor = placed.join(major, "value").filter("c != major").select("value", F.col("doc_id").alias("x"), F.col("n").alias("m"), F.col("c").alias("d"))
-    return placed, major, minor
+    return placed, major
 
 
 def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
@@ -254,19 +252,12 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
         return [pairs.filter("sure").select("a", "b"), _confirmed(rest, docs, size, percent, stage)]
 
     links = linked(first)
-    # Long lists: what isn't in the largest component of its list meets more leaders first.
-    placed, major, minor = _outside(long_, links, stage)
-    drawn = range(LEADERS, LEADERS + MORE_LEADERS)
-    more = placed.join(major.select("value"), "value", "left_semi").groupBy("value").agg(*[F.min_by(F.struct("doc_id", "n", "c"), F.xxhash64("doc_id", F.lit(i))).alias(f"l{i}") for i in drawn])
-    more = more.select("value", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in drawn]))).alias("l")).select("value", "l.*")
+    # Long lists: what isn't in the largest component of its list meets all documents of its lists
+    # with which it shares one of the rarest values of the full sets: as many as two similar sets
+    # can't both lack.
     differ = (F.col("c") != F.col("d")) & fits(F.col("n"), F.col("m"))
     pair = [F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b")]
-    met = minor.join(more, "value").filter(differ).select(pair).distinct()
-    links += linked(stage.write(_estimated(met, reps, percent), "more"))
-
-    # What is still outside meets all documents of its lists with which it shares one of the
-    # rarest values of the full sets: as many as two similar sets can't both lack.
-    placed, major, minor = _outside(long_, links, stage)
+    placed, major = _outside(long_, links, stage)
     crowd = stage.write(placed.join(major, "value").select("doc_id", "n", "c", (F.col("c") != F.col("major")).alias("minor")).groupBy("doc_id", "n", "c").agg(F.max("minor").alias("minor")), "crowd")
     texts = stage.write(_among(docs, crowd.select("doc_id")).join(crowd.select("doc_id", "n"), "doc_id"), "crowd-texts")
     sets = lambda raw: [shingle_set(t, size) for t in raw]
