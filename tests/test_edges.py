@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +70,25 @@ def test_taxonomy_tree(spark, rows):
     data = [("A1", "Bac", "X", "s1", "S"), ("A2", "Bac", None, "s2", "S"), ("A2", "Bac", None, "s2", "S"), ("A3", None, None, "s3", "T")]
     tree = S.taxonomy_tree(spark.createDataFrame(data, "accession string, domain string, kingdom string, sp string, seed50 string"), ["domain", "kingdom"], species="sp", seeds=("seed50",))
     assert rows(tree.select("domain", "kingdom", "depth", "num_sequences", "num_seed50")) == [("Bac", "None", 2, 1, 1), ("Bac", "X", 2, 1, 1), ("Bac", None, 1, 2, 1), (None, None, 0, 2, 1)]
+
+
+@pytest.mark.parametrize("k,held", [(4, 1000), (4, 5), (40, 5), (250, 2)])
+def test_similarity_counts_common_shingles(spark, rows, k, held):
+    rnd = random.Random(k + held)
+    words = lambda n: [f"w{rnd.randrange(400)}" for _ in range(n)]
+    copy, passage, near = words(12), words(9), words(30)
+    texts = [copy] * 12 + [words(rnd.randrange(8)) + passage + words(rnd.randrange(8)) for _ in range(14)] + [words(6) for _ in range(3)] + [passage] * 7
+    for _ in range(14):
+        at = rnd.randrange(30)
+        texts.append(near[:at] + words(1) + near[at + 1 :])
+    texts += [copy + passage, near + passage, []]
+    rnd.shuffle(texts)
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    want = []
+    for q, a in enumerate(sets):
+        found = sorted((-len(a & b), s) for s, b in enumerate(sets) if s != q and len(a & b) >= 3)[:k]
+        want += [(q, s, round(-100.0 * n / (len(a) + len(sets[s]) + n), 6), -n) for n, s in found]
+    data = spark.createDataFrame([*((i, " ".join(t)) for i, t in enumerate(texts)), (900, None)], "seq_id int, sequence string")
+    got = E.all_by_all_similarity(data, k, max_held=held)
+    assert rows(got.select("qseqid", "sseqid", F.round("pident", 6), "alignment_length")) == sorted(want, key=repr)
+    assert E.all_by_all_similarity(data.limit(0)).count() == 0
