@@ -66,32 +66,41 @@ def _normal(line: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(line), r"[0-9]", "0"), r"[\x20\x09-\x0D]+", " ")
 
 
-def depleted(docs: DataFrame, host: str, text: str, max_docs: int, min_left: float) -> DataFrame:
+def depleted(docs: DataFrame, host: str, text: str, max_docs: int | None, min_left: float, share: float, least: int) -> DataFrame:
     """``_key`` of documents of which removed lines leave less than ``min_left`` of the characters of their distinct lines.
 
     A line of a host is one 64-bit hash from here on; only hashes and lengths are shuffled.
+    Lines that few documents hold go before the limits of the hosts are joined.
     """
     stage = Staging(docs.sparkSession, "lines")
     distinct = F.filter(F.array_distinct(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.trim(_normal(x)))), lambda x: x != "")
     hashed = let(distinct, lambda d: F.transform(d, lambda x: F.struct(F.xxhash64(x, F.col(host), F.col(host).isNull()).alias("h"), F.length(x).alias("n"))))
-    rows = docs.select("_key", hashed.alias("x")).select("_key", F.aggregate("x", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("all"), F.explode("x").alias("x")).select("_key", "all", "x.h", "x.n")
+    of_host = F.xxhash64(F.col(host), F.col(host).isNull())
+    rows = docs.select("_key", host, hashed.alias("x")).select("_key", F.aggregate("x", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("all"), of_host.alias("host"), F.explode("x").alias("x")).select("_key", "all", "host", "x.h", "x.n")
     lines = stage.write(rows, "lines")
-    often = stage.write(lines.groupBy("h").agg(F.count("*").alias("held")).filter(F.col("held") > max_docs).select("h"), "often")
+    held = lines.groupBy("h").agg(F.count("*").alias("held"), F.first("host").alias("host"))
+    if max_docs is not None:
+        often = held.filter(F.col("held") > max_docs)
+    else:
+        hosts = docs.select(of_host.alias("host")).groupBy("host").agg(F.count("*").alias("docs"))
+        often = held.filter(F.col("held") > least).join(hosts, "host").filter(F.col("held") > F.col("docs") * share)
+    often = stage.write(often.select("h"), "often")
     cut = possibly_in(lines, "h", often).join(often, "h").groupBy("_key").agg(F.first("all").alias("all"), F.sum("n").alias("cut"))
     return cut.filter(F.col("all") - F.col("cut") < F.col("all") * min_left).select("_key")
 
 
-def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc_id: str = "doc_id", max_docs: int = 100, min_left: float = 0.25) -> DataFrame:
+def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc_id: str = "doc_id", max_docs: int | None = None, min_left: float = 0.25, share: float = 0.02, least: int = 5) -> DataFrame:
     """All columns, the statistics of :func:`text_statistics`, and ``kept``.
 
     A document is dropped if it fails the base rules (fewer than 20 words, or over 30 % of
-    them in repeated windows), or if removing lines that over ``max_docs`` distinct documents
-    of its host hold leaves less than ``min_left`` of the characters of its distinct
-    normalised lines. Null ids and repeated rows are fine (a repeated row counts each time);
+    them in repeated windows), or if removing lines that too many distinct documents of
+    its host hold leaves less than ``min_left`` of the characters of its distinct normalised
+    lines. Too many are over ``share`` of the host's documents and over ``least``, or over
+    ``max_docs`` where that is given. Null ids and repeated rows are fine (a repeated row counts each time);
     a null host is a host of its own; a null or empty text has no words and fails.
     """
     docs = docs.withColumn("_key", F.xxhash64(F.col(doc_id).cast("string"), F.col(text), F.col(host), F.col(doc_id).isNull()))
-    gone = depleted(docs, host, text, max_docs, min_left).withColumn("_gone", F.lit(True))
+    gone = depleted(docs, host, text, max_docs, min_left, share, least).withColumn("_gone", F.lit(True))
     # Keys and numbers of the documents meet here, no texts unless the caller asks for them.
     joined = text_statistics(docs, text).join(gone, "_key", "left")
     return joined.withColumn("kept", ~F.col("base_failed") & F.col("_gone").isNull()).drop("_key", "_gone")

@@ -273,6 +273,34 @@ def test_quality_rules(spark):
     assert quality_rules.quality_rules(frame(spark, [])).count() == 0
 
 
+def test_quality_rules_follow_the_size_of_the_host(spark):
+    rnd = random.Random(9)
+    line = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(8)) for _ in range(n))
+    rows, kept = [], {}
+
+    def host(name, n, shares):
+        """``n`` documents; the first ones hold little besides a line of 25 words that so many share."""
+        texts = [line(30) for _ in range(n)]
+        at = 0
+        for held, goes in shares:
+            common = line(25)
+            for i in range(at, at + held):
+                texts[i] = f"{common}\n{line(2 if i % 2 else 40)}"
+                kept[len(rows) + i] = not (goes and i % 2)
+            at += held
+        for t in texts:
+            kept.setdefault(len(rows), True)
+            rows.append((len(rows), t, "en", name, 0, "x", 0.0))
+
+    host("tiny", 5, [(5, False)])
+    host("small", 30, [(6, True), (5, False)])
+    host("large", 400, [(9, True), (8, False), (40, True)])
+    host(None, 40, [(20, True)])
+    out = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(r.base_failed for r in out.values())
+    assert {i: r.kept for i, r in out.items()} == kept
+
+
 def test_language(spark):
     rnd = random.Random(4)
     make = lambda parts: " ".join("".join(rnd.choice(parts) for _ in range(3)) for _ in range(40))
