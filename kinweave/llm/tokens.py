@@ -2,8 +2,8 @@
 
 A text is cut at spaces where the tokenizer's own splitting cuts as well, so that a
 bounded cache of pieces saves encoding the same word again; only unseen pieces go through
-the tokenizer's model. The ids equal ``Tokenizer.encode(text, add_special_tokens=False)``
-with ``encode_special_tokens`` set.
+the tokenizer's model. Added tokens that a text spells out are taken out first, so the ids
+equal ``Tokenizer.encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
@@ -30,7 +30,10 @@ SPAN = 1 << 24
 
 
 class PieceEncoder(dict):
-    """Piece of text -> place of its ids in one growing array; holds ``most`` pieces at most."""
+    """Piece of text -> place of its ids in one growing array; holds ``most`` pieces at most.
+
+    Added tokens count as plain text (``encode_special_tokens``); see :class:`TextEncoder`.
+    """
 
     #: Signs that end a piece as a pre-token of their own.
     marks = frozenset(".,!?;:")
@@ -112,13 +115,43 @@ class PieceEncoder(dict):
         return np.concatenate([first, np.frombuffer(self.ids, np.uint16)[take] if len(take) else first[:0]])
 
 
-_encoders: dict[str, PieceEncoder] = {}
+class TextEncoder:
+    """Ids of whole texts: those of added tokens, and of the parts between them by pieces.
+
+    A file whose added tokens take in their surroundings or are looked for after
+    normalization can't be cut like this; the library encodes all texts of such a file.
+    """
+
+    def __init__(self, path: str, most: int = 700_000):
+        import regex
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        self.ids = {t["content"]: np.array([t["id"]], np.uint16) for t in added}
+        plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added)
+        self.pieces = PieceEncoder(path, most) if plain else None
+        self.whole = None if plain else Tokenizer.from_file(path)
+        longest = sorted(self.ids, key=len, reverse=True)
+        self.parts = regex.compile(f"({'|'.join(map(regex.escape, longest))})").split if longest else lambda text: [text]
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of one text as uint16; none for null."""
+        if self.whole:
+            return np.array(self.whole.encode(text or "", add_special_tokens=False).ids, np.uint16)
+        parts = self.parts(text or "")
+        if len(parts) == 1:
+            return self.pieces.encode(text)
+        return np.concatenate([self.ids[x] if i % 2 else self.pieces.encode(x) for i, x in enumerate(parts)])
+
+
+_encoders: dict[str, TextEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str) -> TextEncoder:
     """One encoder for each file and Python worker."""
     if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
+        _encoders[path] = TextEncoder(path)
     return _encoders[path]
 
 

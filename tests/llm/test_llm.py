@@ -52,6 +52,17 @@ def test_pieces_equal_the_tokenizer(name):
     assert len(e.encode(None)) == 0
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_texts_equal_the_unmodified_tokenizer(name):
+    path, rnd = public_tokenizers.path(name), random.Random(3)
+    t = Tokenizer.from_file(path)
+    parts = [" ", "  ", "\n", "a", "Ab", "é", "e\u0301", "'s", "12", "!", "\u0301", "<|", "|>", "<", "word", "Words.", "<|ENDOFTEXT|>", *["<|endoftext|>", "<|startoftext|>"] * 3]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|startoftext|>", "", *("".join(rnd.choice(parts) for _ in range(rnd.randrange(14))) for _ in range(800))]
+    for text, got in zip(texts, tokens.encode_all(path, texts), strict=True):
+        assert got.tolist() == t.encode(text, add_special_tokens=False).ids
+    assert [len(x) for x in tokens.encode_all(path, [None])] == [0]
+
+
 def test_code_lengths_are_limited_and_complete():
     counts = np.zeros(1 << 16, np.int64)
     counts[:30] = [2**i for i in range(30)]
