@@ -4,8 +4,8 @@ A document's set holds the distinct word shingles of its whole text. Documents w
 same set form one class and its smallest id stands for it. The ``K`` smallest hash values
 of a set are its sketch; in two sets with Jaccard similarity 0.8 the number of common
 sketch values is at least binomial(K, 0.8), and ``LEAST`` or more are common but for a
-chance of about 2e-7. So both sketches, ordered by rarity, share one of their ``K - LEAST
-+ 1`` rarest values, and only these go to inverted lists. Pairs from the lists are kept if
+chance of about 2e-7. So both sketches, ordered by the number of sketches that hold a value,
+share one of their ``K - LEAST + 1`` rarest values, and only these go to inverted lists. Pairs from the lists are kept if
 the sketch of their union shows enough common values, and confirmed on full sets.
 
 A list of up to ``SMALL`` documents gives all its pairs. Of a longer one, each document
@@ -23,7 +23,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.functions.staging import Staging
@@ -32,9 +32,7 @@ from kinweave.operators.components import connected_components
 K = 40
 LEAST = 18
 SMALL = 32
-LEADERS = 6
-#: Rarity is counted in so many hashed buckets, whatever the corpus holds.
-RARITY_BITS = 18
+LEADERS = 2
 #: Bits of the filter that keeps unrelated texts out of the verification; it only saves work.
 FILTER_BITS = 22
 
@@ -94,41 +92,32 @@ def sketches(docs: DataFrame, size: int = 2, k: int = K) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, fp1 long, fp2 long, sketch binary")
 
 
-def _rarity(rows: DataFrame, values: Callable[[list], list[np.ndarray]], column: str) -> np.ndarray:
-    """Binary logarithm of how many values fall in each hashed bucket."""
-    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
-    size = 1 << RARITY_BITS
+def _values(rows: DataFrame, values: Callable[[list], list[np.ndarray]], column: str) -> DataFrame:
+    """``value, doc_id, n``: one row for each value of each row of ``doc_id, n`` and a packed set."""
+    schema = pa.schema([("value", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
         for batch in batches:
-            every = np.concatenate([np.empty(0, np.uint64), *values(batch.column(0).to_pylist())])
-            total += np.bincount((every & np.uint64(size - 1)).astype(np.int64), minlength=size)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], schema=schema)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                own = values(part.column(2).to_pylist())
+                doc, n = (np.repeat(part.column(i).to_numpy(), [len(x) for x in own]) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *own]).view(np.int64)), pa.array(doc), pa.array(n)], schema=schema)
 
-    counts = np.ones(size, np.int64)
-    for row in rows.select(column).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).filter("n > 1").collect():  # at most 2**RARITY_BITS rows
-        counts[row.bucket] = row.n
-    return np.log2(counts).astype(np.uint8)
+    return rows.select("doc_id", "n", column).mapInArrow(run, "value long, doc_id long, n long")
 
 
-def _postings(rows: DataFrame, values: Callable[[list], list[np.ndarray]], column: str, rarity: np.ndarray, common: Callable[[int], int]) -> DataFrame:
-    """``value, doc_id, n, at``: of a set's values the rarest, all but ``common(set size) - 1`` of them, with their place in that order."""
-    schema = pa.schema([("value", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("at", pa.int64())])
-    mask = np.uint64(len(rarity) - 1)
+def _rarest(values: DataFrame, common: Column) -> DataFrame:
+    """``value, doc_id, n, held, at``: of each set's values the rarest, all but ``common - 1`` of them.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [np.empty(0, np.uint64)]
-            for n, own in zip(batch.column(1).to_pylist(), values(batch.column(2).to_pylist()), strict=True):
-                order = np.lexsort((own, rarity[(own & mask).astype(np.int64)]))
-                parts.append(own[order[: len(own) - common(n) + 1]])
-            sizes = [len(p) for p in parts[1:]]
-            doc, n = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(doc), pa.array(n), pa.array(np.concatenate([np.arange(k) for k in (0, *sizes)]))], schema=schema)
-
-    return rows.select("doc_id", "n", column).mapInArrow(run, "value long, doc_id long, n long, at long")
+    ``held`` is in how many sets a value is and ``at`` its place in the set's order by rarity.
+    Values of one set alone come first in that order but give no pair, so only their number counts:
+    a set keeps the first of its other values, less ``common - 1``.
+    """
+    held = values.groupBy("value").agg(F.count("*").alias("held")).filter("held > 1")
+    per = Window.partitionBy("doc_id")
+    order = values.join(held, "value").withColumn("own", F.row_number().over(per.orderBy("held", "value"))).withColumn("others", F.count("*").over(per))
+    return order.filter(F.col("own") <= F.col("others") - common + 1).select("value", "doc_id", "n", "held", (F.col("n") - F.col("others") + F.col("own") - 1).alias("at"))
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -157,7 +146,7 @@ def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                     sure.append(full)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), batch.column(1).take(pa.array(keep, pa.int64())), pa.array(common, pa.int32()), pa.array(sure, pa.bool_())], schema=schema)
 
-    side = lambda k: reps.select(F.col("doc_id").alias(k), F.col("sketch").alias(f"s{k}"), F.col("n_shingles").alias(f"n{k}"))
+    side = lambda k: reps.select(F.col("doc_id").alias(k), F.col("sketch").alias(f"s{k}"), F.col("n").alias(f"n{k}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb", "na", "nb")
     return both.mapInArrow(run, "a long, b long, common int, sure boolean")
 
@@ -212,64 +201,59 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     Documents are linked if 100 * intersection >= percent * union of their shingle sets; a
     component is named by its smallest ``doc_id``, the one that is kept. Empty and null texts
     are linked with nothing. Rows with a null ``doc_id`` are linked with nothing, have a null
-    component and are kept. Rows that repeat a ``doc_id`` are one document. Other columns
-    are ignored.
+    component and are kept. Rows that repeat a ``doc_id`` are one document with the links of all
+    their texts, and all of them are kept or none. Other columns are ignored.
     """
     stage = Staging(docs.sparkSession, "minhash")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     all_ = stage.write(sketches(docs, size), "sketches")
     alive = all_.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = alive.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    members = stage.write(alive.select("doc_id", "fp1", "fp2", "n_shingles").join(classes, ["fp1", "fp2", "n_shingles"]).select("doc_id", "rep"), "members")
-    reps = stage.write(alive.join(classes.select(F.col("rep").alias("doc_id"), "fp1", "fp2", "n_shingles"), ["doc_id", "fp1", "fp2", "n_shingles"]).select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id", "n_shingles"]), "classes")
+    set_ = ["fp1", "fp2", "n_shingles"]
+    classes = alive.groupBy(*set_).agg(F.min("doc_id").alias("rep"))
+    members = stage.write(alive.select("doc_id", *set_).join(classes, set_).filter("doc_id != rep").select("doc_id", "rep").distinct(), "members")
+    reps = alive.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", *set_]).dropDuplicates(["doc_id", *set_])
+    reps = stage.write(reps.select("doc_id", F.col("n_shingles").alias("n"), "sketch"), "classes")
 
-    unpacked = lambda raw: [np.frombuffer(x, np.uint64) for x in raw]
     # Sets that any partner's sketch holds in full need the exact number of common values.
-    least = lambda n: -(-percent * n // 100) if 100 * n <= percent * K else LEAST
-    postings = _postings(reps.withColumnRenamed("n_shingles", "n"), unpacked, "sketch", _rarity(reps, unpacked, "sketch"), least).drop("at")
-    lists = postings.groupBy("value").agg(F.count("*").alias("held")).filter("held > 1")
-    live = stage.write(postings.join(lists, "value"), "lists")
+    n = F.col("n")
+    all_of = F.ceil(n * percent / F.lit(100.0))
+    postings = _rarest(_values(reps, lambda raw: [np.frombuffer(x, np.uint64) for x in raw], "sketch"), F.when(100 * n <= percent * K, all_of).otherwise(LEAST))
+    live = stage.write(postings, "lists")
     fits = lambda x, y: (F.least(x, y) * 100) >= (F.greatest(x, y) * percent)
     small = live.filter(F.col("held") <= SMALL).select("value", "doc_id", "n")
-    other = small.select("value", F.col("doc_id").alias("b"), F.col("n").alias("m"))
-    pairs = small.join(other, "value").filter((F.col("doc_id") < F.col("b")) & fits(F.col("n"), F.col("m"))).select(F.col("doc_id").alias("a"), "b")
+    other = small.select("value", F.col("doc_id").alias("b"), n.alias("m"))
+    pairs = small.join(other, "value").filter((F.col("doc_id") < F.col("b")) & fits(n, F.col("m"))).select(F.col("doc_id").alias("a"), "b")
     long_ = live.filter(F.col("held") > SMALL).select("value", "doc_id", "n")
     leaders = long_.groupBy("value").agg(*[F.min_by(F.struct("doc_id", "n"), F.xxhash64("doc_id", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)])
     leaders = leaders.select("value", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS)]))).alias("l")).select("value", F.col("l.doc_id").alias("b"), F.col("l.n").alias("m"))
-    led = long_.join(leaders, "value").filter((F.col("doc_id") != F.col("b")) & fits(F.col("n"), F.col("m"))).select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b"))
+    led = long_.join(leaders, "value").filter((F.col("doc_id") != F.col("b")) & fits(n, F.col("m"))).select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b"))
     first = stage.write(_estimated(pairs.unionByName(led).distinct(), reps, percent), "pairs")
 
-    def components(links: list[DataFrame]) -> DataFrame:
-        return connected_components(reduce(DataFrame.unionByName, links), "a", "b")
-
-    def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-        of = lambda k: comps.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
-        known = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-        return known.filter("coalesce(ca, a) != coalesce(cb, b)").drop("ca", "cb")
-
     def linked(pairs: DataFrame) -> list[DataFrame]:
-        rest = pairs.filter("NOT sure").select("a", "b")
-        return [pairs.filter("sure").select("a", "b"), _confirmed(rest, docs, size, percent, stage)]
+        return [pairs.filter("sure").select("a", "b"), _confirmed(pairs.filter("NOT sure").select("a", "b"), docs, size, percent, stage)]
 
     links = linked(first)
     # Long lists: what isn't in the largest component of its list meets all documents of its lists
     # with which it shares one of the rarest values of the full sets: as many as two similar sets
     # can't both lack.
-    differ = (F.col("c") != F.col("d")) & fits(F.col("n"), F.col("m"))
+    differ = (F.col("c") != F.col("d")) & fits(n, F.col("m"))
     pair = [F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b")]
     placed, major = _outside(long_, links, stage)
     crowd = stage.write(placed.join(major, "value").select("doc_id", "n", "c", (F.col("c") != F.col("major")).alias("minor")).groupBy("doc_id", "n", "c").agg(F.max("minor").alias("minor")), "crowd")
-    texts = stage.write(_among(docs, crowd.select("doc_id")).join(crowd.select("doc_id", "n"), "doc_id"), "crowd-texts")
-    sets = lambda raw: [shingle_set(t, size) for t in raw]
-    rare = _postings(texts, sets, "text", _rarity(texts, sets, "text"), lambda n: -(-percent * n // 100))
-    bucket = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    rare = stage.write(rare.join(crowd, ["doc_id", "n"]).withColumn("bucket", bucket), "crowd-lists")
-    outside = rare.filter("minor").select("value", F.col("doc_id").alias("x"), F.col("n").alias("m"), F.col("c").alias("d"), F.col("at").alias("x_at"), F.explode(F.array(*[F.col("bucket") + i for i in (-1, 0, 1)])).alias("bucket"))
+    stage.drop(live, placed, major)
+    texts = _among(docs, crowd.select("doc_id")).join(crowd.select("doc_id", "n"), "doc_id")
+    values = stage.write(_values(texts, lambda raw: [shingle_set(t, size) for t in raw], "text"), "crowd-sets")
+    bucket = F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
+    rare = stage.write(_rarest(values, all_of).join(crowd, ["doc_id", "n"]).withColumn("bucket", bucket), "crowd-lists")
+    stage.drop(values, crowd)
+    outside = rare.filter("minor").select("value", F.col("doc_id").alias("x"), n.alias("m"), F.col("c").alias("d"), F.col("at").alias("x_at"), F.explode(F.array(*[F.col("bucket") + i for i in (-1, 0, 1)])).alias("bucket"))
     # Two similar sets share so many values that none of them can lack more of its rarest ones.
-    shared = F.ceil((F.col("n") + F.col("m")) * percent / (100.0 + percent) - 1e-9)
-    early = (F.col("at") <= F.col("n") - shared) & (F.col("x_at") <= F.col("m") - shared)
+    shared = F.ceil((n + F.col("m")) * percent / (100.0 + percent) - 1e-9)
+    early = (F.col("at") <= n - shared) & (F.col("x_at") <= F.col("m") - shared)
     met = outside.join(rare, ["value", "bucket"]).filter(differ & early).select(pair).distinct()
-    links += linked(stage.write(_estimated(met, reps, percent), "late"))
+    late = stage.write(_estimated(met, reps, percent), "late")
+    stage.drop(rare)
+    links += linked(late)
     comps = connected_components(reduce(DataFrame.unionByName, [*links, members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))]), "a", "b")
 
     named = all_.select("doc_id", "n_shingles").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
