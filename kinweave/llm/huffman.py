@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from kinweave.functions.staging import Staging
 from kinweave.llm.common import tasks
-from kinweave.llm.tokens import encode_all
+from kinweave.llm.tokens import binaries, encode_column
 
 #: Longest code in bits; 2**18 entries decode any code with one look-up.
 MAX_BITS = 18
@@ -131,13 +131,11 @@ def _emit(schema: pa.Schema, **columns: Iterable) -> pa.RecordBatch:
 def tokenize(docs: DataFrame, path: str, end_id: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids``: ids of each whole text as little-endian uint16; a null text has none."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
-    tail = np.array([] if end_id is None else [end_id], np.uint16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = _columns(batch, "doc_id", "text")
-            ids = [np.concatenate([x, tail]) for x in encode_all(path, texts)]
-            yield _emit(schema, doc_id=keys, n_tokens=[len(x) for x in ids], ids=[x.tobytes() for x in ids])
+            for first, last, ids, counts in encode_column(path, batch.column(1), end_id):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(counts), binaries(ids, counts).cast(pa.binary())], schema=schema)
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
@@ -165,7 +163,7 @@ def _encode_rows(lengths: np.ndarray) -> Callable:
             for at in range(0, batch.num_rows, 256):
                 keys, n, ids = _columns(batch.slice(at, 256), "doc_id", "n_tokens", "ids")
                 out, starts, marks = pack([np.frombuffer(x, np.uint16) for x in ids], lengths, codes)
-                yield _emit(schema, doc_id=keys, n_tokens=n, bits=[out[a:b].tobytes() for a, b in zip(starts, starts[1:], strict=False)], marks=[m.astype("<u4").tobytes() for m in marks])
+                yield _emit(schema, doc_id=keys, n_tokens=n, bits=[out[a:b].tobytes() for a, b in zip(starts, starts[1:], strict=False)], marks=[m.astype("<i8").tobytes() for m in marks])
 
     return run
 
@@ -241,7 +239,7 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for part, block, keys, sizes, offsets, marks, payload in zip(*_columns(batch, "part", "block", "doc_ids", "sizes", "offsets", "marks", "payload"), strict=True):
                 size, n_lanes = np.array(sizes, np.int64), (np.array(sizes, np.int64) + STRIDE - 1) // STRIDE
-                lanes = np.frombuffer(marks, "<u4").astype(np.int64) + np.repeat(np.array(offsets, np.int64) * 8, n_lanes)
+                lanes = np.frombuffer(marks, "<i8") + np.repeat(np.array(offsets, np.int64) * 8, n_lanes)
                 lane_ids = np.full(len(lanes), STRIDE, np.int64)
                 full = n_lanes > 0
                 lane_ids[np.cumsum(n_lanes)[full] - 1] = size[full] - (n_lanes[full] - 1) * STRIDE

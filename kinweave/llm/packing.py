@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from kinweave.functions.staging import Staging
 from kinweave.llm.common import tasks
-from kinweave.llm.tokens import encode_all
+from kinweave.llm.tokens import binaries, encode_column
 
 CAPACITY = 4096
 #: Pieces of a group; a task's memory follows from it.
@@ -82,14 +82,12 @@ def pieces_of(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPAC
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[], [], [], [], []]
-            for key, ids in zip(batch.column(0).to_pylist(), encode_all(path, batch.column(1).to_pylist()), strict=True):
-                ids = np.append(ids, np.uint16(end_id)).astype("<u4")
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    cut = ids[start : start + capacity]
-                    for column, value in zip(rows, (key, piece, start, len(cut), cut.tobytes()), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
+            for first, last, ids, counts in encode_column(path, batch.column(1), end_id):
+                n = -(-counts // capacity)  # pieces of each document, one at least: its end id
+                keys = batch.column(0).slice(first, last - first).take(pa.array(np.repeat(np.arange(last - first), n)))
+                piece = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                length = np.minimum(np.repeat(counts, n) - piece * capacity, capacity)
+                yield pa.RecordBatch.from_arrays([keys, pa.array(piece.astype(np.int32)), pa.array(piece * capacity), pa.array(length), binaries(ids.astype("<u4"), length).cast(pa.binary())], schema=schema)
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
 

@@ -1,18 +1,30 @@
-"""Token ids of whole texts with public tokenizer files.
+"""Token ids of whole texts with public tokenizer files, an Arrow column at a time.
 
-A text is cut at spaces where the tokenizer's own splitting cuts as well, so that a
-bounded cache of pieces saves encoding the same word again; only unseen pieces go through
-the tokenizer's model. Added tokens that a text spells out are taken out first, so the ids
+A column of texts is cut at spaces by Arrow, where the tokenizer's own splitting cuts as
+well. The pieces are dictionary-encoded, only distinct ones are split into words, only
+words not met before go through the tokenizer's model, and numpy gathers the ids of all
+pieces. Texts that spell out an added token go through the library as a whole, so the ids
 equal ``Tokenizer.encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+_BLANK = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
+#: Runs of white space with two spaces, or with a space at the end of the text: their length
+#: decides how they are split, so a text that holds one is a string by itself.
+RUNS = f" {_BLANK}* |{_BLANK} $"
+#: Pieces whose ids are gathered at a time.
+STEP = 1 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -25,30 +37,39 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-#: More ids than one piece can have.
-SPAN = 1 << 24
+def binaries(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """One binary for each run of ``counts`` values, without a copy."""
+    ends = np.concatenate([[0], np.cumsum(counts)]) * values.itemsize
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), buffers)
 
 
-class PieceEncoder(dict):
-    """Piece of text -> place of its ids in one growing array; holds ``most`` pieces at most.
+def _joined(runs: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ids at some places, one after the other, and how many ids each has."""
+    taken = runs.take(pa.array(at))
+    ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(at) + 1] // 2
+    ids = np.frombuffer(taken.buffers()[2] or b"", np.uint16)[: ends[-1]]
+    return ids, np.diff(ends)
 
-    Added tokens count as plain text (``encode_special_tokens``); see :class:`TextEncoder`.
-    """
 
-    #: Signs that end a piece as a pre-token of their own.
-    marks = frozenset(".,!?;:")
+class ColumnEncoder:
+    """Encodes columns of texts; remembers up to about ``most`` words from one column to the next.
+
+    A file whose added tokens take in their surroundings or are looked for after normalization
+    can't be cut at spaces; the library encodes all texts of such a file.
+    """
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         import regex
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        self.model._resize_cache(0)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.whole, self.tokenizer, self.most = Tokenizer.from_file(path), Tokenizer.from_file(path), most
+        self.model = self.tokenizer.model
+        self.model._resize_cache(0)  # words come here once
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        self.plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in spec["added_tokens"])
         splitter = spec["pre_tokenizer"]
         self.keeps_space = splitter["type"] == "ByteLevel"
         if self.keeps_space:
@@ -56,105 +77,91 @@ class PieceEncoder(dict):
         else:
             pattern = splitter["pretokenizers"][0]["pattern"]["Regex"]
         self.split = regex.compile(pattern).findall
-        self.by_space = regex.compile(r" ?[^\s]+|\s+(?!\S)|\s+").findall
         self.normalize = self.tokenizer.normalizer.normalize_str if spec["normalizer"] else None
         self.letters = _byte_letters()
         self.space = self.letters[32]
-        self.most = most
         self.reset()
 
     def reset(self) -> None:
-        self.clear()
-        self.words: dict[str, bytes] = {}
-        self.ids = array("H")
-
-    def word_ids(self, word: str) -> bytes:
-        """Ids of one pre-token, spaces included."""
-        got = self.words.get(word)
-        if got is None:
-            letters = word.replace(" ", self.space) if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
-            got = self.words[word] = array("H", [t.id for t in self.model.tokenize(letters)]).tobytes()
-        return got
-
-    def piece_ids(self, piece: str) -> bytes:
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = array("H"), array("q", [0])
+
+    def learn(self, words: set[str]) -> None:
+        """Ids of new words, spaces included, by the tokenizer's model."""
+        tokenize, letters, space = self.model.tokenize, self.letters, self.space
+        for word in words:
+            spelled = word.replace(" ", space) if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(letters)
+            self.ids.extend([t.id for t in tokenize(spelled)])
+            self.known[word] = len(self.ends) - 1
+            self.ends.append(len(self.ids))
+
+    def encode_strings(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some strings and how many each has; each is split on its own."""
         if self.normalize:
-            piece = piece.lower() if piece.isascii() else self.normalize(piece)
-        return b"".join(map(self.word_ids, self.split(piece)))
-
-    def __missing__(self, piece: str) -> int:
-        """Place and number of the piece's ids, as place * SPAN + number."""
-        word = piece if piece.isalpha() else piece[:-1] if piece[-1:] in self.marks and piece[:-1].isalpha() else None
-        if word is None or not (self.keeps_space or word.isascii()):
-            ids = self.piece_ids(" " + piece if self.keeps_space else piece)
-        else:
-            ids = self.word_ids(" " + word if self.keeps_space else word.lower())
-            if word is not piece:
-                ids += self.word_ids(piece[-1])
-        got = self[piece] = len(self.ids) * SPAN + len(ids) // 2
-        self.ids.frombytes(ids)
-        return got
-
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids of one text as uint16; none for null."""
-        if not text:
-            return np.empty(0, np.uint16)
-        if len(self) > self.most or len(self.words) > self.most:
+            strings = [s.lower() if s.isascii() else self.normalize(s) for s in strings]
+        collects = gc.isenabled()
+        gc.disable()  # a list for each string, none of them in a cycle
+        parts = list(map(self.split, strings))
+        n_words = np.fromiter(map(len, parts), np.int64, len(parts))
+        words = list(chain.from_iterable(parts))
+        del parts
+        if collects:
+            gc.enable()
+        self.learn(set(words).difference(self.known))
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        ids, counts = _joined(binaries(np.frombuffer(self.ids, np.uint16), np.diff(np.frombuffer(self.ends, np.int64))), at)
+        total, last = np.concatenate([[0], np.cumsum(counts)]), np.cumsum(n_words)
+        return ids, total[last] - total[last - n_words]
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """``first, last, ids, counts`` for runs of texts: all their ids and how many each has.
+
+        Null texts have none. ``end_id`` follows each text where it is given.
+        """
+        if len(self.known) > self.most:
             self.reset()
-        if self.keeps_space and "  " in text:  # longer runs of spaces are split by their length
-            return np.frombuffer(b"".join(map(self.piece_ids, self.by_space(text))), np.uint16)
-        pieces = text.split(" ")
-        first = np.empty(0, np.uint16)
-        if self.keeps_space:
-            first, pieces = np.frombuffer(self.piece_ids(pieces[0]), np.uint16), pieces[1:]
-        if not pieces:
-            return first
-        at = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
-        sizes = at & (SPAN - 1)
-        ends = np.cumsum(sizes)
-        take = np.arange(ends[-1]) + np.repeat(at // SPAN - ends + sizes, sizes)
-        return np.concatenate([first, np.frombuffer(self.ids, np.uint16)[take] if len(take) else first[:0]])
-
-
-class TextEncoder:
-    """Ids of whole texts: those of added tokens, and of the parts between them by pieces.
-
-    A file whose added tokens take in their surroundings or are looked for after
-    normalization can't be cut like this; the library encodes all texts of such a file.
-    """
-
-    def __init__(self, path: str, most: int = 700_000):
-        import regex
-        from tokenizers import Tokenizer
-
-        with open(path, encoding="utf-8") as f:
-            added = json.load(f)["added_tokens"]
-        self.ids = {t["content"]: np.array([t["id"]], np.uint16) for t in added}
-        plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added)
-        self.pieces = PieceEncoder(path, most) if plain else None
-        self.whole = None if plain else Tokenizer.from_file(path)
-        longest = sorted(self.ids, key=len, reverse=True)
-        self.parts = regex.compile(f"({'|'.join(map(regex.escape, longest))})").split if longest else lambda text: [text]
-
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids of one text as uint16; none for null."""
-        if self.whole:
-            return np.array(self.whole.encode(text or "", add_special_tokens=False).ids, np.uint16)
-        parts = self.parts(text or "")
-        if len(parts) == 1:
-            return self.pieces.encode(text)
-        return np.concatenate([self.ids[x] if i % 2 else self.pieces.encode(x) for i, x in enumerate(parts)])
-
-
-_encoders: dict[str, TextEncoder] = {}
-
-
-def encoder(path: str) -> TextEncoder:
-    """One encoder for each file and Python worker."""
+        texts = pc.fill_null(texts, "")
+        added = pa.array([not self.plain] * len(texts), pa.bool_())
+        for content in self.added:
+            added = pc.or_(added, pc.match_substring(texts, content))
+        alone = pc.or_(added, pc.match_substring_regex(texts, RUNS)) if self.keeps_space else added
+        cut = pc.split_pattern(pc.if_else(alone, "", texts), " ")
+        pieces = cut.flatten().dictionary_encode()
+        offsets = cut.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        distinct = pieces.dictionary.to_pylist()
+        index = pieces.indices.to_numpy().astype(np.int64)
+        # The first piece of a text has no space before it; a text that isn't cut stands in its place.
+        firsts = pieces.dictionary.take(pa.array(index[offsets[:-1]])).to_pylist()
+        whole = np.flatnonzero(added.to_numpy(zero_copy_only=False))
+        for i in np.flatnonzero(alone.to_numpy(zero_copy_only=False)):
+            firsts[i] = texts[i].as_py()
+        for i in whole:
+            firsts[i] = ""
+        index[offsets[:-1]] = len(distinct) + np.arange(len(texts))
+        ids, counts = self.encode_strings([f" {x}" for x in distinct] + firsts if self.keeps_space else distinct + firsts)
+        extra = [np.array(self.whole.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint16) for i in whole]
+        # What the library has encoded stands last, and so does the end id.
+        index[offsets[whole]] = len(counts) + np.arange(len(whole))
+        runs = binaries(np.concatenate([ids, *extra, np.array([end_id or 0], np.uint16)]), np.concatenate([counts, np.array([*map(len, extra), 1], np.int64)]))
+        if end_id is not None:
+            index = np.insert(index, offsets[1:], len(runs) - 1)
+            offsets = offsets + np.arange(len(offsets))
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + STEP, side="right")) - 1)
+            ids, counts = _joined(runs, index[offsets[first] : offsets[last]])
+            total = np.concatenate([[0], np.cumsum(counts)])
+            yield first, last, ids, np.diff(total[offsets[first : last + 1] - offsets[first]])
+            first = last
+
+
+_encoders: dict[str, ColumnEncoder] = {}
+
+
+def encode_column(path: str, texts: pa.Array, end_id: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """:meth:`ColumnEncoder.encode` with one encoder for each file and Python worker."""
     if path not in _encoders:
-        _encoders[path] = TextEncoder(path)
-    return _encoders[path]
-
+        _encoders[path] = ColumnEncoder(path)
+    return _encoders[path].encode(texts, end_id)
 
-def encode_all(path: str, texts: Iterable[str | None]) -> Iterable[np.ndarray]:
-    e = encoder(path)
-    return (e.encode(t) for t in texts)

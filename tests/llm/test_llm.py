@@ -1,5 +1,6 @@
 """The corpus operators against brute force, round trips and edge cases."""
 
+import itertools
 import math
 import random
 import re
@@ -8,6 +9,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -40,27 +43,36 @@ def corpus(seed=0):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_pieces_equal_the_tokenizer(name):
-    t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
-    e, rnd = tokens.PieceEncoder(public_tokenizers.path(name), most=50), random.Random(2)
-    parts = [" ", "  ", "\n", "\t", "a", "Ab", "é", "'s", "12", "!", "İ", "ß", "　", "\x85", "<|endoftext|>", "漢", "😀", "\xa0", ",", "word", "Words."]
-    for _ in range(800):
-        text = "".join(rnd.choice(parts) for _ in range(rnd.randrange(14)))
-        assert e.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
-    assert len(e.encode(None)) == 0
+def ids_of(path, texts, end_id=None):
+    """Ids of each text by columns."""
+    out = []
+    for _, _, ids, counts in tokens.encode_column(path, pa.array(texts, pa.string()), end_id):
+        out += [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    return out
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_texts_equal_the_unmodified_tokenizer(name):
-    path, rnd = public_tokenizers.path(name), random.Random(3)
+def test_columns_equal_the_unmodified_tokenizer(name, monkeypatch):
+    path, rnd = public_tokenizers.path(name), random.Random(2)
     t = Tokenizer.from_file(path)
-    parts = [" ", "  ", "\n", "a", "Ab", "é", "e\u0301", "'s", "12", "!", "\u0301", "<|", "|>", "<", "word", "Words.", "<|ENDOFTEXT|>", *["<|endoftext|>", "<|startoftext|>"] * 3]
-    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|startoftext|>", "", *("".join(rnd.choice(parts) for _ in range(rnd.randrange(14))) for _ in range(800))]
-    for text, got in zip(texts, tokens.encode_all(path, texts), strict=True):
-        assert got.tolist() == t.encode(text, add_special_tokens=False).ids
-    assert [len(x) for x in tokens.encode_all(path, [None])] == [0]
+    some = [" ", "  ", "\n", "\t", "a", "Ab", "é", "e\u0301", "'s", "12", "!", "İ", "ß", "　", "\x85", "漢", "😀", "\xa0", ",", "word", "Words.", "<|", "|>", "<|ENDOFTEXT|>", "<|endoftext|>", "<|startoftext|>"]
+    texts = ["a <|endoftext|> b", "<|endoftext|><|startoftext|>", "", *("".join(rnd.choice(some) for _ in range(rnd.randrange(14))) for _ in range(3000))]
+    texts += ["".join(x) for n in range(6) for x in itertools.product([" ", "\n", "a", "\xa0"], repeat=n)]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    monkeypatch.setattr(tokens, "STEP", 50)
+    monkeypatch.setattr(tokens, "_encoders", {path: tokens.ColumnEncoder(path, most=50)})
+    assert ids_of(path, texts) == want
+    assert ids_of(path, texts[:500], 7) == [[*x, 7] for x in want[:500]]  # forgets its words before
+    assert ids_of(path, [None, ""]) == [[], []] and ids_of(path, [None], 7) == [[7]] and ids_of(path, []) == []
+    monkeypatch.setattr(tokens._encoders[path], "plain", False)  # as for files that can't be cut at spaces
+    assert ids_of(path, texts[:200]) == want[:200]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_columns_equal_the_tokenizer_on_documents(name):
+    path = public_tokenizers.path(name)
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()
+    assert ids_of(path, texts) == [x.ids for x in Tokenizer.from_file(path).encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
 def test_code_lengths_are_limited_and_complete():
@@ -101,8 +113,23 @@ def test_packing(spark):
     assert len(got) == 3000 and len(by) <= 1.01 * packing.lower_bound(sizes) + 2
     assert packing.pack(pieces.limit(0)).count() == 0
     assert packing.lower_bound(np.array([3000] * 10)) == 10
-    cut = packing.pieces_of(frame(spark, corpus()), public_tokenizers.path("word_bpe_49k.json")).filter("doc_id = 111").orderBy("piece").collect()
-    assert [r.start for r in cut] == [4096 * i for i in range(len(cut))] and all(r.length == 4096 for r in cut[:-1]) and len({r.doc_id for r in cut}) <= 1
+
+
+def test_pieces(spark):
+    """Only documents beyond the capacity are cut; ids, starts and lengths equal the tokenizer's."""
+    name = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(name)
+    texts = [*corpus(), (200, "no way 12 " * 2500), (201, "w " * 4095), (202, "w " * 4096), (203, "w " * 8191), (None, "null id")]
+    got = defaultdict(dict)
+    for r in packing.pieces_of(frame(spark, texts), name, end_id=1).collect():
+        got[r.doc_id][r.piece] = r
+    for i, text in texts:
+        ids = [*t.encode(text or "", add_special_tokens=False).ids, 1]
+        pieces = [got[i][k] for k in range(len(got[i]))]
+        assert [r.start for r in pieces] == list(range(0, len(ids), 4096))
+        assert [np.frombuffer(r.ids, "<u4").tolist() for r in pieces] == [ids[r.start : r.start + 4096] for r in pieces]
+        assert [r.length for r in pieces] == [len(ids[r.start : r.start + 4096]) for r in pieces]
+    assert [len(got[i]) for i in (200, 201, 202, 203)] == [3, 1, 2, 2]
 
 
 def brute_components(texts, size, percent):
