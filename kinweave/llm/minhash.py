@@ -8,10 +8,11 @@ chance of about 2e-7. So both sketches, ordered by the number of sketches that h
 share one of their ``K - LEAST + 1`` rarest values, and only these go to inverted lists. Pairs from the lists are kept if
 the sketch of their union shows enough common values, and confirmed on full sets.
 
-A list of up to ``SMALL`` documents gives all its pairs. Of a longer one, each document
-is paired with a few leaders; confirmed pairs merge components, and what then lies outside
-the largest component of its list is compared with all documents of such lists that share
-one of the rarest shingles of the full sets.
+A list of up to ``SMALL`` documents gives all its pairs. For the shortest and the longest of
+its longer ones, each document is paired with four leaders: two at random, and the two most typical ones,
+whose values are in the most other sketches and which are therefore similar to most. Confirmed
+pairs merge components, and what then lies outside the largest component of its list is compared
+with all documents of such lists that share one of the rarest shingles of the full sets.
 So no link between components is left out, and a large group of copies costs a linear
 number of pairs.
 """
@@ -32,6 +33,7 @@ from kinweave.operators.components import connected_components
 K = 40
 LEAST = 18
 SMALL = 32
+#: Leaders of a long list that are chosen at random.
 LEADERS = 2
 #: Bits of the filter that keeps unrelated texts out of the verification; it only saves work.
 FILTER_BITS = 22
@@ -108,16 +110,18 @@ def _values(rows: DataFrame, values: Callable[[list], list[np.ndarray]], column:
 
 
 def _rarest(values: DataFrame, common: Column) -> DataFrame:
-    """``value, doc_id, n, held, at``: of each set's values the rarest, all but ``common - 1`` of them.
+    """``value, doc_id, n, held, at, typical``: of each set's values the rarest, all but ``common - 1`` of them.
 
-    ``held`` is in how many sets a value is and ``at`` its place in the set's order by rarity.
+    ``held`` is in how many sets a value is, ``at`` its place in the set's order by rarity, and
+    ``typical`` grows with how often a set's values are held.
     Values of one set alone come first in that order but give no pair, so only their number counts:
     a set keeps the first of its other values, less ``common - 1``.
     """
     held = values.groupBy("value").agg(F.count("*").alias("held")).filter("held > 1")
     per = Window.partitionBy("doc_id")
-    order = values.join(held, "value").withColumn("own", F.row_number().over(per.orderBy("held", "value"))).withColumn("others", F.count("*").over(per))
-    return order.filter(F.col("own") <= F.col("others") - common + 1).select("value", "doc_id", "n", "held", (F.col("n") - F.col("others") + F.col("own") - 1).alias("at"))
+    order = values.join(held, "value").withColumn("own", F.row_number().over(per.orderBy("held", "value"))).withColumns({"others": F.count("*").over(per), "total": F.sum("held").over(per)})
+    at, typical = F.col("n") - F.col("others") + F.col("own") - 1, F.col("total") / F.least("n", F.lit(K))
+    return order.filter(F.col("own") <= F.col("others") - common + 1).select("value", "doc_id", "n", "held", at.alias("at"), typical.alias("typical"))
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -223,10 +227,14 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     small = live.filter(F.col("held") <= SMALL).select("value", "doc_id", "n")
     other = small.select("value", F.col("doc_id").alias("b"), n.alias("m"))
     pairs = small.join(other, "value").filter((F.col("doc_id") < F.col("b")) & fits(n, F.col("m"))).select(F.col("doc_id").alias("a"), "b")
-    long_ = live.filter(F.col("held") > SMALL).select("value", "doc_id", "n")
-    leaders = long_.groupBy("value").agg(*[F.min_by(F.struct("doc_id", "n"), F.xxhash64("doc_id", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)])
-    leaders = leaders.select("value", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS)]))).alias("l")).select("value", F.col("l.doc_id").alias("b"), F.col("l.n").alias("m"))
-    led = long_.join(leaders, "value").filter((F.col("doc_id") != F.col("b")) & fits(n, F.col("m"))).select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b"))
+    long_ = live.filter(F.col("held") > SMALL).select("value", "doc_id", "n", "held", "typical")
+    by_size = Window.partitionBy("doc_id").orderBy("held", "value")
+    ends = long_.withColumn("end", F.lag("value").over(by_size).isNull() | F.lead("value").over(by_size).isNull()).filter("end")
+    doc, typical, half = F.struct("doc_id", "n"), F.struct("typical", "doc_id"), F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    chosen = [*[F.min_by(doc, F.xxhash64("doc_id", F.lit(i))) for i in range(LEADERS)], *[F.max_by(doc, F.when(half == i, typical)) for i in (0, 1)]]
+    leaders = long_.groupBy("value").agg(F.array_distinct(F.array_compact(F.array(*chosen))).alias("l"))
+    leaders = leaders.select("value", F.explode("l").alias("l")).select("value", F.col("l.doc_id").alias("b"), F.col("l.n").alias("m"))
+    led = ends.join(leaders, "value").filter((F.col("doc_id") != F.col("b")) & fits(n, F.col("m"))).select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b"))
     first = stage.write(_estimated(pairs.unionByName(led).distinct(), reps, percent), "pairs")
 
     def linked(pairs: DataFrame) -> list[DataFrame]:
@@ -238,7 +246,7 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     # can't both lack.
     differ = (F.col("c") != F.col("d")) & fits(n, F.col("m"))
     pair = [F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b")]
-    placed, major = _outside(long_, links, stage)
+    placed, major = _outside(long_.select("value", "doc_id", "n"), links, stage)
     crowd = stage.write(placed.join(major, "value").select("doc_id", "n", "c", (F.col("c") != F.col("major")).alias("minor")).groupBy("doc_id", "n", "c").agg(F.max("minor").alias("minor")), "crowd")
     stage.drop(live, placed, major)
     texts = _among(docs, crowd.select("doc_id")).join(crowd.select("doc_id", "n"), "doc_id")
