@@ -6,8 +6,9 @@ fractions trade words, one's gain being the other's loss, until one of them is 0
 chances that leave every expectation as it was. Chunks of documents of like size leave one
 open document each, the chunks' residuals form the chunks of the next level, and so on
 down to one open document for each size class; these trade from the largest to the smallest,
-and the last one is rounded to the nearer end. So the words a source gives differ from its
-target by half a document at most, mostly a small one.
+and the last one, often a large one, is rounded to the nearer end. The words that this leaves
+over go to smaller documents, so what a source gives differs from its target by about a small
+document.
 
 DataFrame functions only.
 """
@@ -29,6 +30,8 @@ CLASSES = 4
 #: Sources, or their size classes, whose table may be joined in memory.
 SMALL_TABLE = 100_000
 MOST = 3
+#: Documents of each doubling of the size that may settle what is left over.
+CHOICES = 4
 
 
 def source_targets(sizes: DataFrame, most: int = MOST) -> DataFrame:
@@ -135,7 +138,40 @@ def mix(docs: DataFrame, seed: int = 0, most: int = MOST, doc_id: str = "doc_id"
         rows = rows.join(extra, "key", "left")
     else:
         rows = rows.withColumn("extra", F.lit(None).cast("long"))
-    return rows.select("doc_id", "k", "nth", "source", "size", "source_size", "target", (F.col("base") + F.coalesce("extra", F.lit(0))).alias("copies"))
+    taken = stage.write(rows.select("doc_id", "k", "nth", "source", "size", "source_size", "target", "key", (F.col("base") + F.coalesce("extra", F.lit(0))).alias("copies")), "taken")
+    moved = stage.write(_corrections(taken, seed, most), "corrections")
+    if moved.count() <= SMALL_TABLE:
+        moved = F.broadcast(moved)
+    copies = (F.col("copies") + F.coalesce("change", F.lit(0))).alias("copies")
+    return taken.join(moved, "key", "left").select("doc_id", "k", "nth", "source", "size", "source_size", "target", copies)
+
+
+def _corrections(taken: DataFrame, seed: int, most: int) -> DataFrame:
+    """``key, change`` of the documents whose copies change by one, so that each source meets its target.
+
+    What rounding the last open document of a source leaves over goes to smaller ones, from large
+    to small: a document is taken once more or once less if that lowers the error. ``CHOICES``
+    documents of each doubling of the size that can give and as many that can take are enough, so
+    a source is one array of bounded size.
+    """
+    doc = F.struct("size", "key")
+    draw = lambda can, i: F.min_by(doc, F.when(can, F.xxhash64("key", F.lit(seed), F.lit(i))))
+    chosen = lambda can: F.array_distinct(F.array_compact(F.array(*[draw(can, i) for i in range(CHOICES)])))
+    source = F.struct(F.xxhash64("source", F.col("source").isNull()).alias("h"), "source")
+    kinds = taken.groupBy(source.alias("s"), F.floor(F.log2(F.greatest("size", F.lit(1)).cast("double"))).alias("kind")).agg(
+        F.sum(F.col("copies") * F.col("size")).alias("words"), F.max("target").alias("target"),
+        chosen((F.col("size") > 0) & (F.col("copies") < most)).alias("up"), chosen((F.col("size") > 0) & (F.col("copies") > 0)).alias("down"))
+    marked = lambda c, change: F.transform(c, lambda d: F.struct(d["size"].alias("size"), d["key"].alias("key"), F.lit(change).alias("change")))
+    per = kinds.groupBy("s").agg((F.max("target") - F.sum("words")).alias("left"), F.flatten(F.collect_list(F.concat(marked("up", 1), marked("down", -1)))).alias("docs"))
+
+    def step(state: Column, d: Column) -> Column:
+        left = state["left"]
+        better = (d["change"] * left > 0) & (2 * d["size"] <= 3 * F.abs(left)) & ~F.exists(state["moved"], lambda m: m["key"] == d["key"])
+        return F.when(better, F.struct((left - d["change"] * d["size"]).alias("left"), F.concat(state["moved"], F.array(d)).alias("moved"))).otherwise(state)
+
+    start = F.struct(F.col("left"), F.array().cast("array<struct<size:bigint,key:string,change:int>>").alias("moved"))
+    moved = F.aggregate(F.reverse(F.array_sort("docs")), start, step, lambda s: s["moved"])
+    return per.select(F.explode(moved).alias("m")).select("m.key", F.col("m.change").alias("change"))
 
 
 def repeat(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
