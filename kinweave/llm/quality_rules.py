@@ -13,6 +13,8 @@ from kinweave.llm.common import SPACES, let, possibly_in, split_words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+#: Frequent lines that may be joined in memory, eight bytes each.
+SMALL_TABLE = 200_000
 
 
 def _without(text: Column, letters: str) -> Column:
@@ -69,8 +71,9 @@ def _normal(line: Column) -> Column:
 def depleted(docs: DataFrame, host: str, text: str, max_docs: int | None, min_left: float, share: float, least: int) -> DataFrame:
     """``_key`` of documents of which removed lines leave less than ``min_left`` of the characters of their distinct lines.
 
-    A line of a host is one 64-bit hash from here on; only hashes and lengths are shuffled.
-    Lines that few documents hold go before the limits of the hosts are joined.
+    A line of a host is one 64-bit hash from here on; only hashes and lengths are shuffled. Lines
+    that few rows hold go first; of the others each document counts once, however often its row is
+    repeated.
     """
     stage = Staging(docs.sparkSession, "lines")
     distinct = F.filter(F.array_distinct(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.trim(_normal(x)))), lambda x: x != "")
@@ -78,14 +81,18 @@ def depleted(docs: DataFrame, host: str, text: str, max_docs: int | None, min_le
     of_host = F.xxhash64(F.col(host), F.col(host).isNull())
     rows = docs.select("_key", host, hashed.alias("x")).select("_key", F.aggregate("x", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("all"), of_host.alias("host"), F.explode("x").alias("x")).select("_key", "all", "host", "x.h", "x.n")
     lines = stage.write(rows, "lines")
-    held = lines.groupBy("h").agg(F.count("*").alias("held"), F.first("host").alias("host"))
+    some = lines.groupBy("h").agg(F.count("*").alias("rows")).filter(F.col("rows") > (least if max_docs is None else max_docs)).select("h")
+    shared = stage.write(possibly_in(lines, "h", stage.write(some, "some")).dropDuplicates(["_key", "h"]), "shared")
+    held = shared.groupBy("h").agg(F.count("*").alias("held"), F.first("host").alias("host"))
     if max_docs is not None:
         often = held.filter(F.col("held") > max_docs)
     else:
-        hosts = docs.select(of_host.alias("host")).groupBy("host").agg(F.count("*").alias("docs"))
+        hosts = docs.select("_key", of_host.alias("host")).distinct().groupBy("host").agg(F.count("*").alias("docs"))
         often = held.filter(F.col("held") > least).join(hosts, "host").filter(F.col("held") > F.col("docs") * share)
     often = stage.write(often.select("h"), "often")
-    cut = possibly_in(lines, "h", often).join(often, "h").groupBy("_key").agg(F.first("all").alias("all"), F.sum("n").alias("cut"))
+    if often.count() <= SMALL_TABLE:  # their lists are long by definition; beyond, the join shuffles and long lists are split
+        often = F.broadcast(often)
+    cut = shared.join(often, "h").groupBy("_key").agg(F.first("all").alias("all"), F.sum("n").alias("cut"))
     return cut.filter(F.col("all") - F.col("cut") < F.col("all") * min_left).select("_key")
 
 
@@ -96,8 +103,10 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc
     them in repeated windows), or if removing lines that too many distinct documents of
     its host hold leaves less than ``min_left`` of the characters of its distinct normalised
     lines. Too many are over ``share`` of the host's documents and over ``least``, or over
-    ``max_docs`` where that is given. Null ids and repeated rows are fine (a repeated row counts each time);
-    a null host is a host of its own; a null or empty text has no words and fails.
+    ``max_docs`` where that is given. Rows equal in id, text and host are one document, which counts
+    once and is judged once; each of them gets its verdict. Null ids are fine; a null host is a
+    host of its own; a null or empty text has no words and fails. Columns of ``docs`` that are named like
+    a result are replaced.
     """
     docs = docs.withColumn("_key", F.xxhash64(F.col(doc_id).cast("string"), F.col(text), F.col(host), F.col(doc_id).isNull()))
     gone = depleted(docs, host, text, max_docs, min_left, share, least).withColumn("_gone", F.lit(True))
