@@ -37,6 +37,21 @@ def remainder(doc_id: Column, n: int = 3) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before those that ``df`` has a column of."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def others(df: DataFrame, *names: str) -> list[str]:
+    """Columns of ``df`` but for those that a result replaces."""
+    return [c for c in df.columns if c.lower() not in names]
+
+
 def bounded_sample(df: DataFrame, key: Column, most: int) -> DataFrame:
     """All rows if there are up to ``most``, else about that many, chosen by a hash of the key."""
     n = df.count()

@@ -94,7 +94,7 @@ def fit(labelled: DataFrame, most: int = SAMPLE, least_share: float = LEAST_SHAR
     The driver holds, for each language, the n-grams that at least ``least_share`` of its sampled
     documents hold; that share and the size of a document bound their number.
     """
-    rows = bounded_sample(labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text"), F.col("doc_id"), most)
+    rows = bounded_sample(labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text"), F.struct("doc_id", "text"), most)
     schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

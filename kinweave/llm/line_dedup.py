@@ -4,7 +4,7 @@ Two lines within ``tau`` edits agree exactly on one of ``tau + 1`` segments of t
 one, at a place that their lengths bound. So each distinct line is indexed by its length
 and segments and probes, for its own and each smaller length, the substrings that could
 be such a segment. Pairs that meet are verified by banded bit-parallel edit distance on
-what is left after their common prefix and suffix.
+what is left after their common prefix and suffix. Exact repeats go at any length.
 
 For ``tau = 1`` a list of many distinct lines (templates, copies with changed words) is
 split before any pair is made: agreeing but for one of ``PARTS`` parts, and where that still
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.staging import Staging
-from kinweave.llm.common import let
+from kinweave.llm.common import free, let, others
 
 #: Distinct lines of a list that give all their pairs.
 SMALL = 64
@@ -102,8 +102,7 @@ def within(a: Column, b: Column, tau: int) -> Column:
             return let(both, near)
 
         def near(z: Column) -> Column:
-            short = F.greatest(F.length(z["x"]), F.length(z["y"])) <= tau
-            return short if tau <= 1 else short | (_banded(z["x"], z["y"], tau) <= tau)
+            return _banded(z["x"], z["y"], tau) <= tau
 
         return let(F.struct(pair["a"].alias("a"), pair["b"].alias("b"), _common_prefix(pair["a"], pair["b"]).alias("p")), tails)
 
@@ -181,9 +180,10 @@ def removed_lines(docs: DataFrame, tau: int = 1, min_chars: int = 32) -> DataFra
     counts as earlier) and ``text``. See :func:`dedup_lines` for which lines go.
     """
     stage = Staging(docs.sparkSession, "lines")
-    all_ = docs.select("doc_key", "rank", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("n", F.length("line")).filter(F.col("n") >= min_chars)
-    lines = all_.withColumn("h", F.xxhash64("line"))
-    placed = stage.write(lines.groupBy("h", "doc_key", "rank").agg(F.min("pos").alias("first"), F.collect_list("pos").alias("places")), "places")
+    all_ = docs.select("doc_key", "rank", F.posexplode(F.split("text", "\n")).alias("pos", "line")).filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    every = all_.withColumn("n", F.length("line")).withColumn("h", F.xxhash64("line"))
+    lines = every.filter(F.col("n") >= min_chars)
+    placed = stage.write(every.groupBy("h", "doc_key", "rank").agg(F.min("pos").alias("first"), F.collect_list("pos").alias("places")), "places")
     firsts = placed.groupBy("h").agg(F.min("rank").alias("rank"), F.count("*").alias("docs"))
 
     keys = lines.select("h", F.explode(segment_keys(F.col("line"), F.col("n"), tau)).alias("k")).select("h", "k.key", "k.probe").groupBy("key", "h").agg(F.min("probe").alias("probe"))
@@ -209,12 +209,12 @@ def removed_lines(docs: DataFrame, tau: int = 1, min_chars: int = 32) -> DataFra
             dense = finer.join(finer_lists.filter(F.col("held") > SMALL).select("key"), "key").drop("key")
             rest = dense.join(texts, "h").select("h", F.explode(_without_character(F.col("line"), F.col("probe"), F.col("m"), F.col("a"), F.col("b"))).alias("key")).distinct()
             rest = stage.write(rest.join(firsts, "h").select("key", "h", "rank"), "characters")
-            winner = rest.groupBy("key").agg(F.min(F.struct("rank", "h")).alias("w"), F.count("*").alias("held")).filter("held > 1")
-            beaten.append(rest.join(winner, "key").filter((F.col("rank") != F.col("w.rank")) | (F.col("h") != F.col("w.h"))).select("h"))
+            winner = rest.groupBy("key").agg(F.min("rank").alias("best"), F.count("*").alias("held")).filter("held > 1")
+            beaten.append(rest.join(winner, "key").filter("rank > best").select("h"))
 
     pairs = reduce(DataFrame.unionByName, candidates).distinct()
-    side = lambda c: texts.join(firsts, "h").select(F.col("h").alias(c), F.col("line").alias(f"{c}_line"), F.struct("rank", "h").alias(f"{c}_at"))
-    linked = pairs.join(side("a"), "a").join(side("b"), "b").filter(within(F.col("a_line"), F.col("b_line"), tau))
+    side = lambda c: texts.join(firsts, "h").select(F.col("h").alias(c), F.col("line").alias(f"{c}_line"), F.col("rank").alias(f"{c}_at"))
+    linked = pairs.join(side("a"), "a").join(side("b"), "b").filter("a_at != b_at").filter(within(F.col("a_line"), F.col("b_line"), tau))
     beaten.append(linked.select(F.when(F.col("a_at") < F.col("b_at"), F.col("b")).otherwise(F.col("a")).alias("h")))
     lost = stage.write(reduce(DataFrame.unionByName, beaten).distinct().withColumn("lost", F.lit(True)), "lost")
 
@@ -225,22 +225,25 @@ def removed_lines(docs: DataFrame, tau: int = 1, min_chars: int = 32) -> DataFra
 
 
 def dedup_lines(docs: DataFrame, tau: int = 1, min_chars: int = 32, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns, ``text`` without the lines that go, ``n_lines`` and ``n_kept``.
-
-    Lines are the parts between line feeds; those under ``min_chars`` characters always
-    stay. Of equal lines, the first one of the document with the smallest id stays. A line
-    goes everywhere if it is within ``tau`` edits of a line that begins in an earlier
-    document (of the same document: with a smaller hash). Texts without lines left become
-    empty. Null ids come last; null texts stay null, with no lines. Rows equal in id and
-    text are one document and lose the same lines.
+    """All columns, ``text`` without the lines that go, ``n_lines`` and ``n_kept`` (columns of these names are replaced).
+
+    Lines are the parts between line feeds; those without a word always stay. Of equal lines,
+    the first one of the document with the smallest id stays. A line of ``min_chars`` characters
+    or more goes everywhere if it is within ``tau`` edits of a line that begins in an earlier document,
+    be that one kept or not; near lines that begin in the same document both stay. Texts without
+    lines left become empty. Null ids come last and count as one id; null texts stay null, with
+    no lines. Rows equal in id and text are one document and lose the same lines. Lines and
+    documents are told apart by 64-bit hashes.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(doc_id).cast("string"), F.col(text)))
+    key, lost = free(docs, "_key", "_gone")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(doc_id).cast("string"), F.col(text)))
     rank = F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1))
-    gone = removed_lines(keyed.filter(F.col(text).isNotNull()).select(F.col("_key").alias("doc_key"), rank.alias("rank"), F.col(text).alias("text")), tau, min_chars)
-    joined = keyed.join(gone.select(F.col("doc_key").alias("_key"), F.col("gone").alias("_gone")), "_key", "left")
+    gone = removed_lines(keyed.filter(F.col(text).isNotNull()).select(F.col(key).alias("doc_key"), rank.alias("rank"), F.col(text).alias("text")), tau, min_chars)
+    joined = keyed.join(gone.select(F.col("doc_key").alias(key), F.col("gone").alias(lost)), key, "left")
     lines = F.split(F.col(text), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce("_gone", F.array().cast("array<int>")))
-    out = joined.withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long"))
-    out = out.withColumn("n_kept", F.when(F.col(text).isNull(), 0).when(F.col("_gone").isNull(), F.col("n_lines")).otherwise(F.size(left)).cast("long"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce(lost, F.array().cast("array<int>")))
     rest = let(lines, lambda x: F.array_join(F.transform(left, lambda i: F.get(x, i)), "\n"))
-    return out.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(rest)).select(*docs.columns, "n_lines", "n_kept")
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long")
+    n_kept = F.when(F.col(text).isNull(), 0).when(F.col(lost).isNull(), F.size(lines)).otherwise(F.size(left)).cast("long")
+    kept = [F.when(F.col(lost).isNull(), F.col(c)).otherwise(rest).alias(c) if c == text else F.col(c) for c in others(docs, "n_lines", "n_kept")]
+    return joined.select(*kept, n_lines.alias("n_lines"), n_kept.alias("n_kept"))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.functions.staging import Staging
-from kinweave.llm.common import n_words
+from kinweave.llm.common import free, n_words
 
 #: Documents of a chunk; a source's chunks shrink by this at each level.
 CHUNK = 64
@@ -176,9 +176,9 @@ def _corrections(taken: DataFrame, seed: int, most: int) -> DataFrame:
 
 def repeat(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    k = F.xxhash64(F.col(text), F.col(source))
-    nth = F.row_number().over(Window.partitionBy(doc_id, "_k").orderBy("_k")).cast("long")
-    keyed = docs.withColumn("_k", k).withColumn("_nth", nth)
-    taken = mixed.filter("copies > 0").select(F.col("doc_id").alias("_id"), F.col("k").alias("_k"), F.col("nth").alias("_nth"), "copies")
-    joined = keyed.join(taken.withColumnRenamed("copies", "_copies"), ["_k", "_nth"]).filter(F.col(doc_id).eqNullSafe(F.col("_id")))
-    return joined.withColumn("_c", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(docs.columns)
+    k, nth, id_, copies, one = free(docs, "_k", "_nth", "_id", "_copies", "_one")
+    keyed = docs.withColumn(k, F.xxhash64(F.col(text), F.col(source)))
+    keyed = keyed.withColumn(nth, F.row_number().over(Window.partitionBy(doc_id, k).orderBy(k)).cast("long"))
+    taken = mixed.filter("copies > 0").select(F.col("doc_id").alias(id_), F.col("k").alias(k), F.col("nth").alias(nth), F.col("copies").alias(copies))
+    joined = keyed.join(taken, [k, nth]).filter(F.col(doc_id).eqNullSafe(F.col(id_)))
+    return joined.withColumn(one, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(docs.columns)

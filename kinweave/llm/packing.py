@@ -4,7 +4,7 @@ Pieces are dealt to groups of bounded size and each group is packed by best-fit
 Dual-feasible functions give a lower bound on any packing of a group's pieces; a group that
 meets its bound is certified. Groups with a gap hand all pieces of sequences that are not
 nearly full to the next round, as every group does with its least filled sequence; these
-are dealt anew, among each other, and packed again until a round wins nothing.
+are dealt anew, among each other, and packed again until a round saves next to nothing.
 """
 
 from __future__ import annotations
@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.staging import Staging
-from kinweave.llm.common import tasks
+from kinweave.llm.common import free, others, tasks
 from kinweave.llm.tokens import binaries, encode_column
 
 CAPACITY = 4096
 #: Pieces of a group; a task's memory follows from it.
 GROUP_PIECES = 8192
-MAX_ROUNDS = 6
+#: A round must save this share of the sequences that it repacks, and one at least.
+LEAST_WIN = 0.001
 
 
 def best_fit_decreasing(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
@@ -54,22 +55,23 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np
     return bins, offsets
 
 
-def lower_bound(sizes: np.ndarray, capacity: int = CAPACITY) -> int:
-    """Largest of two families of dual-feasible functions, and of the plain volume.
+def lower_bound(sizes: np.ndarray, capacity: int = CAPACITY, times: np.ndarray | None = None) -> int:
+    """Largest of two families of dual-feasible functions, and of the plain volume; ``times`` counts repeated sizes.
 
     With threshold k, the first counts pieces above capacity - k as full and drops those
     below k; the second rounds x up to multiples of 1/k of the capacity (k + 1 pieces that
     fill it exactly stay themselves).
     """
-    sizes = sizes[sizes > 0].astype(np.int64)
-    best = -(-int(sizes.sum()) // capacity)
+    times = np.ones(len(sizes), np.int64) if times is None else times[sizes > 0]
+    sizes, times = sizes[sizes > 0].astype(np.int64), times[: (sizes > 0).sum()]
+    best = -(-int((sizes * times).sum()) // capacity)
     for k in np.unique(sizes[sizes <= capacity // 2])[:: max(1, len(sizes) // 256)]:
-        total = capacity * int((sizes > capacity - k).sum()) + int(sizes[(sizes >= k) & (sizes <= capacity - k)].sum())
+        total = capacity * int(times[sizes > capacity - k].sum()) + int((sizes * times)[(sizes >= k) & (sizes <= capacity - k)].sum())
         best = max(best, -(-total // capacity))
     for k in range(1, 33):
         scaled = sizes * (k + 1)
         value = np.where(scaled % capacity == 0, sizes * k, (scaled // capacity) * capacity)
-        best = max(best, -(-int(value.sum()) // (k * capacity)))
+        best = max(best, -(-int((value * times).sum()) // (k * capacity)))
     return best
 
 
@@ -107,30 +109,39 @@ def _pack_group(capacity: int):
 
 
 def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to a table of pieces of 0 to ``capacity`` tokens.
+    """Adds ``sequence_id`` and ``offset`` to a table of pieces of 0 to ``capacity`` tokens (columns of these names are replaced).
 
     Placement works on row numbers and lengths alone and is joined back, so other columns
-    (texts, ids, digests) pass through untouched. The table must read the same when read
-    twice; stage it first if it doesn't. Groups are dealt by row number, so that no key,
-    source or size can crowd one.
+    (texts, ids, digests) pass through untouched. Groups are dealt by row number, so that no key,
+    source or size can crowd one. Rounds end when one saves less than ``LEAST_WIN``; see
+    :func:`certificate` for the gap that is left.
     """
     stage = Staging(pieces.sparkSession, "packing")
-    pieces = stage.write(pieces.withColumn("row_id", F.monotonically_increasing_id()), "pieces")
-    todo = pieces.select("row_id", F.col(length).cast("long").alias("length"))
-    n, base, placed, last = todo.count(), 0, [], None
-    for round_ in range(MAX_ROUNDS):
+    kept, (row,) = others(pieces, "sequence_id", "offset"), free(pieces, "row_id")
+    pieces = stage.write(pieces.select(*kept).withColumn(row, F.monotonically_increasing_id()), "pieces")
+    todo = pieces.select(F.col(row).alias("row_id"), F.col(length).cast("long").alias("length"))
+    n, base, placed, last, done, round_ = todo.count(), 0, [], None, False, 0
+    while not done:
         groups = max(1, -(-n // GROUP_PIECES), min(4 * tasks(pieces), n // 1024))
         dealt = todo.withColumn("dealt", F.pmod(F.xxhash64("row_id", F.lit(round_)), F.lit(groups)).cast("int"))
         out = stage.write(dealt.groupBy("dealt").applyInPandas(_pack_group(capacity), "row_id long, length long, dealt int, bin long, offset long, again boolean, gap long"), f"round{round_}")
         ids = out.withColumn("sequence_id", (F.col("dealt").cast("long") + base) * F.lit(1 << 24) + F.col("bin"))
         base += groups
         sizes = out.filter("again").agg(F.count("*").alias("n"), F.countDistinct("dealt", "bin").alias("bins")).first()
-        done = groups == 1 or sizes.bins <= 1 or round_ == MAX_ROUNDS - 1 or (last is not None and sizes.bins >= last)
+        done = groups == 1 or sizes.bins <= 1 or (last is not None and last - sizes.bins < max(1, LEAST_WIN * last))
         placed.append((ids if done else ids.filter("NOT again")).select("row_id", "sequence_id", "offset"))
-        if done:
-            break
-        todo, n, last = out.filter("again").select("row_id", "length"), sizes.n, sizes.bins
+        todo, n, last, round_ = out.filter("again").select("row_id", "length"), sizes.n, sizes.bins, round_ + 1
     where = placed[0]
     for x in placed[1:]:
         where = where.unionByName(x)
-    return pieces.join(where, "row_id").drop("row_id")
+    return pieces.join(where.withColumnRenamed("row_id", row), row).drop(row)
+
+
+def certificate(packed: DataFrame, length: str = "length", capacity: int = CAPACITY) -> DataFrame:
+    """One row ``sequences, bound``: how many sequences there are and that any packing of the pieces needs.
+
+    The bound comes from the number of pieces of each length, a table of ``capacity`` rows at most.
+    """
+    sizes = packed.groupBy(F.col(length).cast("long").alias("length")).agg(F.count("*").alias("n")).toPandas()
+    bound = lower_bound(sizes["length"].to_numpy(np.int64), capacity, sizes["n"].to_numpy(np.int64))
+    return packed.agg(F.countDistinct("sequence_id").alias("sequences"), F.lit(bound).cast("long").alias("bound"))

@@ -92,12 +92,13 @@ class RuleModel:
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, seed: int = 0) -> RuleModel:
     """Model of ``doc_id, text`` and ``doc_id, label`` (0 or 1), from about ``most`` labels at most.
 
-    The sampled labels are joined in memory, so texts aren't shuffled. With no label, or
-    only one kind, the model is a constant.
+    The sampled labels are joined in memory, so texts aren't shuffled. An id with both labels
+    counts as unlabelled; each row of a repeated document counts. With no label, or only one kind,
+    the model is a constant.
     """
     stage = Staging(docs.sparkSession, "quality")
-    chosen = bounded_sample(labels.filter("label IN (0, 1) AND doc_id IS NOT NULL").dropDuplicates(["doc_id"]), F.col("doc_id"), most)
-    chosen = stage.write(chosen.select("doc_id", F.col("label").cast("double").alias("label")), "labels")
+    known = labels.filter("label IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("label").cast("double").alias("label"), F.max("label").alias("most")).filter("label = most")
+    chosen = stage.write(bounded_sample(known.select("doc_id", "label"), F.col("doc_id"), most), "labels")
     data = stage.write(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", statistics(F.col("text")).alias("stats")), "statistics")
     sums = data.agg(F.count("*").alias("n"), F.sum("label").alias("ones")).first()
     ones = sums.ones or 0.0
@@ -116,6 +117,6 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, seed: int = 0) -
 
 
 def classify(docs: DataFrame, model: RuleModel, text: str = "text") -> DataFrame:
-    """All columns, ``score`` (0 to 1) and ``predicted`` (1 if score >= 0.5, else 0); null texts count as empty."""
+    """All columns, ``score`` (0 to 1) and ``predicted`` (1 if score >= 0.5, else 0), which replace columns of these names; null texts count as empty."""
     scored = docs.withColumn("score", let(statistics(F.col(text)), model.score))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

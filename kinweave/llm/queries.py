@@ -105,17 +105,17 @@ reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, b
 comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT s.doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept FROM sized s JOIN comp USING (doc_id)
 """,
-    "op4_line_dedup": """
+    "op4_line_dedup": r"""
 WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM split),
-firsts AS (SELECT line, min(doc_id) AS doc_id FROM lines WHERE length(line) >= 32 GROUP BY line),
+firsts AS (SELECT line, min(doc_id) AS doc_id FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line),
 met AS (
-  SELECT x.line AS a, y.line AS b, x.doc_id AS da, y.doc_id AS db FROM firsts x JOIN firsts y ON left(x.line, 16) = left(y.line, 16) WHERE abs(length(x.line) - length(y.line)) <= 1 AND x.doc_id < y.doc_id
+  SELECT x.line AS a, y.line AS b FROM firsts x JOIN firsts y ON left(x.line, 16) = left(y.line, 16) WHERE least(length(x.line), length(y.line)) >= 32 AND abs(length(x.line) - length(y.line)) <= 1 AND x.doc_id < y.doc_id
   UNION
-  SELECT x.line, y.line, x.doc_id, y.doc_id FROM firsts x JOIN firsts y ON right(x.line, 15) = right(y.line, 15) WHERE abs(length(x.line) - length(y.line)) <= 1 AND x.doc_id < y.doc_id),
+  SELECT x.line, y.line FROM firsts x JOIN firsts y ON right(x.line, 15) = right(y.line, 15) WHERE least(length(x.line), length(y.line)) >= 32 AND abs(length(x.line) - length(y.line)) <= 1 AND x.doc_id < y.doc_id),
 lost AS (SELECT DISTINCT b AS line FROM met WHERE levenshtein(a, b) <= 1),
 judged AS (
-  SELECT l.doc_id, l.pos, l.line, length(l.line) < 32 OR (l.line NOT IN (SELECT line FROM lost) AND l.doc_id = f.doc_id
+  SELECT l.doc_id, l.pos, l.line, f.line IS NULL OR (l.line NOT IN (SELECT line FROM lost) AND l.doc_id = f.doc_id
     AND row_number() OVER (PARTITION BY l.doc_id, l.line ORDER BY l.pos) = 1) AS stays
   FROM lines l LEFT JOIN firsts f ON f.line = l.line),
 joined AS (
@@ -131,5 +131,26 @@ scores AS (
   FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
 ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scores)
 SELECT * FROM ranked WHERE rank <= 5
+""",
+    "op10_line_frequency_rules": r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x != '') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i+7], ' ') AS v FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, v) AS c FROM windows) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(8) t(k) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+worded AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+normal AS (SELECT DISTINCT doc_id, source, trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line FROM lines JOIN documents USING (doc_id)),
+held AS (SELECT source, line, count(*) AS n FROM normal WHERE line <> '' GROUP BY source, line),
+hosts AS (SELECT source, count(*) AS docs FROM documents GROUP BY source),
+often AS (SELECT h.source, h.line FROM held h JOIN hosts s ON h.source IS NOT DISTINCT FROM s.source WHERE n > 5 AND n > 0.02 * docs),
+gone AS (
+  SELECT doc_id FROM (SELECT n.doc_id, sum(length(n.line)) AS every, coalesce(sum(CASE WHEN o.line IS NOT NULL THEN length(n.line) END), 0) AS cut
+    FROM normal n LEFT JOIN often o ON o.line = n.line AND o.source IS NOT DISTINCT FROM n.source WHERE n.line <> '' GROUP BY n.doc_id)
+  WHERE cut > 0 AND every - cut < 0.25 * every),
+base AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(l.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words FROM d LEFT JOIN worded l USING (doc_id) LEFT JOIN covered c USING (doc_id)),
+failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM gone) AS kept FROM failed
 """,
 }

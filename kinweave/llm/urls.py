@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.staging import Staging
-from kinweave.llm.common import ASCII_LOWER, ASCII_UPPER
+from kinweave.llm.common import ASCII_LOWER, ASCII_UPPER, free, others
 
 #: (verdict, host, path): fits the host and its subdomains if the path starts with the rule's.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 LABEL = "verdict="
-#: Rows of the rule index that may be joined in memory.
+#: Rows of the rule index, or distinct token sets with their verdicts, that may be joined in memory.
 SMALL_INDEX = 20_000
 
 
@@ -84,7 +84,7 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, url: str = "url", rules=RULES, default: str = "allow", min_support: float = 0.02, min_confidence: float = 0.9) -> DataFrame:
-    """All columns, ``host``, ``path``, ``rule`` and ``verdict`` (allow or block).
+    """All columns, ``host``, ``path``, ``rule`` and ``verdict`` (allow or block; columns of these names are replaced).
 
     Urls that a fixed rule fits take its verdict and are the labels; the others take the
     verdict of the surest mined rule that fits, or ``default``. A null url has an empty host
@@ -92,14 +92,18 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, default: str = "allow
     token sets, so a url that is repeated a million times is matched once.
     """
     stage = Staging(pages.sparkSession, "urls")
-    judged = parsed(pages, url).withColumn("_fixed", fitting_rule(rules)).withColumn("_tokens", tokens(F.coalesce(F.col(url), F.lit("")), F.col("host"), F.col("path")))
-    judged = judged.withColumn("url_key", F.xxhash64("_tokens"))
-    sets = stage.write(judged.groupBy("url_key", F.col("_fixed.verdict").alias("verdict")).agg(F.first("_tokens").alias("tokens"), F.count("*").alias("n")), "sets")
-    labelled = judged.filter("_fixed IS NOT NULL").select(F.col("_tokens").alias("tokens"), F.col("_fixed.verdict").alias("verdict"))
-    if sets.filter("verdict IS NOT NULL").limit(1).count():
-        mined = stage.write(mine_rules(labelled, min_support, min_confidence), "rules")
-        found = match_rules(sets.filter("verdict IS NULL").select("url_key", "tokens").dropDuplicates(["url_key"]), mined)
+    fixed, held, key, mined = free(pages, "_fixed", "_tokens", "_key", "_mined")
+    judged = parsed(pages, url).withColumn(fixed, fitting_rule(rules)).withColumn(held, tokens(F.coalesce(F.col(url), F.lit("")), F.col("host"), F.col("path")))
+    judged = judged.withColumn(key, F.xxhash64(held))
+    verdict = F.col(fixed)["verdict"]
+    sets = stage.write(judged.groupBy(F.col(key).alias("url_key"), verdict.alias("verdict")).agg(F.first(held).alias("tokens"), F.count("*").alias("n")), "sets")
+    labelled = judged.filter(F.col(fixed).isNotNull()).select(F.col(held).alias("tokens"), verdict.alias("verdict"))
+    size = sets.agg(F.count("verdict").alias("labelled"), F.count("*").alias("sets")).first()
+    if size.labelled:
+        found = match_rules(sets.filter("verdict IS NULL").select("url_key", "tokens").dropDuplicates(["url_key"]), stage.write(mine_rules(labelled, min_support, min_confidence), "rules"))
     else:
         found = sets.select("url_key", F.lit(None).cast("string").alias("mined")).limit(0)
-    out = judged.join(found, "url_key", "left")
-    return out.withColumn("rule", F.col("_fixed.rule")).withColumn("verdict", F.coalesce("_fixed.verdict", "mined", F.lit(default))).drop("_fixed", "_tokens", "url_key", "mined")
+    found = found.select(F.col("url_key").alias(key), F.col("mined").alias(mined))
+    out = judged.join(F.broadcast(found) if size.sets <= SMALL_INDEX else found, key, "left")
+    kept = others(pages, "host", "path", "rule", "verdict")
+    return out.select(*kept, "host", "path", F.col(fixed)["rule"].alias("rule"), F.coalesce(verdict, F.col(mined), F.lit(default)).alias("verdict"))
