@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a temporary one only where that is unset.
 
-    An unset folder happens in local tests, where driver and executors share a disk.
+    Only a local master may go without the setting: there, driver and executors share a disk.
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     known = spark.sparkContext.getCheckpointDir()
     if not known:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         known = spark.sparkContext.getCheckpointDir()
     return known.rstrip("/")

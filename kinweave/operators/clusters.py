@@ -53,10 +53,12 @@ def cluster_map(components: DataFrame, numbered: DataFrame) -> DataFrame:
 
 
 def cluster_info(numbered: DataFrame) -> DataFrame:
+    """Both numbers and both sizes of each cluster."""
     return numbered.select("cluster_num_by_seq", F.col("num_seqs").alias("cluster_size_by_seq"), "cluster_num_by_node", F.col("num_nodes").alias("cluster_size_by_node")).orderBy("cluster_num_by_seq")
 
 
 def singletons(components: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Nodes of components with one sequence at most, sorted."""
     return components.join(sizes.filter("is_singleton").select("component"), "component", "left_semi").select("node").orderBy("node")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinweave.functions.staging import Staging
 
-#: Rounds are logarithmic in the longest shortest path; this only stops a runaway loop.
+#: Rounds are logarithmic in the longest shortest path; more than this are an error.
 MAX_ROUNDS = 100
 
 
@@ -41,6 +41,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", n
         after = stage.write(small, "edges")
         stage.drop(now)
         now = after
+    else:
+        raise RuntimeError(f"components did not converge in {MAX_ROUNDS} rounds")
     found = now.select(F.col("u").alias(node), F.col("v").alias("component"))
     every = ends.select(F.col("s").alias(node)).unionByName(ends.select(F.col("d").alias(node)))
     if nodes is not None:

@@ -47,6 +47,7 @@ def alignment_score(query_length: Column, subject_length: Column, bitscore: Colu
 
 
 def add_alignment_score(edges: DataFrame, rounding: str = "floor") -> DataFrame:
+    """Adds ``alignment_score``: the bit score less the logarithm of both lengths, as int, rounded down (``trunc``: toward zero); null if a length is missing."""
     return edges.withColumn("alignment_score", alignment_score(F.col("query_length"), F.col("subject_length"), F.col("bitscore"), rounding))
 
 
@@ -87,8 +88,8 @@ def filter_edges_within_groups(edges: DataFrame, groups: DataFrame, q: str = "qs
 
 
 def guard_edge_count(edges: DataFrame, max_edges: int = EDGE_MAX) -> tuple[bool, DataFrame]:
-    """Whether there are at most ``max_edges``, and the edges (none if there are more). Reads no further than the limit."""
-    fits = edges.limit(max_edges + 1).count() <= max_edges
+    """Whether there are at most ``max_edges``, and the edges (none if there are more)."""
+    fits = edges.count() <= max_edges
     return fits, edges if fits else edges.limit(0)
 
 

@@ -40,8 +40,9 @@ def sample_every_nth(rows: DataFrame, n: int, family: str = "family", accession:
 
 
 def sample_random(rows: DataFrame, fraction: float, seed: int = 0, accession: str = "accession") -> DataFrame:
-    """A reproducible share of the rows, by a hash of the accession."""
-    return rows.filter(F.pmod(F.xxhash64(accession, F.lit(seed)), F.lit(1 << 30)) < int(fraction * (1 << 30)))
+    """A reproducible share of the rows, by the first 32 bits of the MD5 of ``seed:accession``; null accessions hash as empty."""
+    least = "%08x" % min(int(fraction * (1 << 32)), (1 << 32) - 1)
+    return rows.filter(F.substr(F.md5(F.concat_ws(":", F.lit(str(seed)), accession)), F.lit(1), F.lit(8)) < least)
 
 
 #: Names of ranks that differ from their columns.
@@ -81,6 +82,7 @@ def taxonomy_preset(name: str) -> Column:
 
 
 def filter_taxonomy_preset(ids: DataFrame, taxonomy: DataFrame, name: str, tax_id: str = "taxonomy_id") -> DataFrame:
+    """Ids whose taxon fits a named preset; ids without a known taxon go."""
     return ids.join(taxonomy.filter(taxonomy_preset(name)).select(tax_id), tax_id, "left_semi").select(ids.columns)
 
 
@@ -173,17 +175,20 @@ def domain_regions(domains: DataFrame, side: str, accession: str = "accession",
 # --- ids --------------------------------------------------------------------------------
 
 
+#: Kinds of ids and their patterns; the first that fits decides.
+ID_KINDS = (
+    ("gi", r"^\d+$"),
+    ("genbank", r"^[A-Za-z]{3}\d{5}(\.\d+)?$"),
+    ("ncbi", r"^[A-Za-z]{2}_\d+(\.\d+)?$"),
+    ("uniprot", r"^[A-Za-z]\d[A-Za-z0-9]{3,8}(\.\d+)?$"),
+    ("pdb", r"^[A-Za-z0-9]{4}$"),
+)
+
+
 def classify_id(id: Column) -> Column:
-    """Kind of an id by the first pattern that fits."""
-    kinds = [
-        ("gi", r"^\d+$"),
-        ("genbank", r"^[A-Za-z]{3}\d{5}(\.\d+)?$"),
-        ("ncbi", r"^[A-Za-z]{2}_\d+(\.\d+)?$"),
-        ("uniprot", r"^[A-Za-z]\d[A-Za-z0-9]{3,8}(\.\d+)?$"),
-        ("pdb", r"^[A-Za-z0-9]{4}$"),
-    ]
+    """Kind of an id by the first pattern that fits, ``unknown`` if none does or the id is null."""
     out = F.lit("unknown")
-    for name, pattern in reversed(kinds):
+    for name, pattern in reversed(ID_KINDS):
         out = F.when(id.rlike(pattern), name).otherwise(out)
     return out
 

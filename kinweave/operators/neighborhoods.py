@@ -86,14 +86,20 @@ def query_status(queries: DataFrame, chosen: DataFrame, neighbors: DataFrame, si
 
 
 def family_neighbors(clusters: DataFrame, neighbors: DataFrame) -> DataFrame:
-    """Per cluster and family: queries with it, neighbours, mean and median distance (cut to two decimals), arrangements.
+    """Per cluster and family: queries with it, neighbours, mean and median distance (cut to two decimals).
 
-    ``clusters``: ``cluster_num, query``; ``neighbors``: with ``family``.
+    ``clusters``: ``cluster_num, query``; ``neighbors``: with ``family``. A window has few distinct
+    distances, so the median's counts stay small however large a cluster is.
     """
     rows = clusters.join(neighbors, "query").withColumn("away", F.abs("distance"))
-    arranged = F.array_sort(F.collect_set(F.concat_ws(":", "query", "query_direction", "neighbor", "direction", "distance"))).alias("arrangement")
-    out = rows.groupBy("cluster_num", "family").agg(F.countDistinct("query").alias("num_queries"), F.count("*").alias("num_neighbors"), F.sum("away").alias("_s"), F.median("away").alias("_m"), arranged)
-    return out.select("cluster_num", "family", "num_queries", "num_neighbors", cut2(F.col("_s"), F.col("num_neighbors")).alias("average_distance"), (F.floor(F.col("_m") * 100) / 100).alias("median_distance"), "arrangement")
+    out = rows.groupBy("cluster_num", "family").agg(F.countDistinct("query").alias("num_queries"), F.count("*").alias("num_neighbors"), F.sum("away").alias("_s"), F.median("away").alias("_m"))
+    return out.select("cluster_num", "family", "num_queries", "num_neighbors", cut2(F.col("_s"), F.col("num_neighbors")).alias("average_distance"), (F.floor(F.col("_m") * 100) / 100).alias("median_distance"))
+
+
+def family_arrangements(clusters: DataFrame, neighbors: DataFrame) -> DataFrame:
+    """``cluster_num, family, arrangement``: a row for each distinct ``query:direction:neighbor:direction:distance``."""
+    text = F.concat_ws(":", "query", "query_direction", "neighbor", "direction", "distance")
+    return clusters.join(neighbors, "query").select("cluster_num", "family", text.alias("arrangement")).distinct()
 
 
 def cluster_denominators(clusters: DataFrame, neighbors: DataFrame) -> DataFrame:
@@ -109,7 +115,7 @@ def cooccurrence(clusters: DataFrame, neighbors: DataFrame, threshold: float = 0
     """
     den = cluster_denominators(clusters, neighbors).filter("num_seqs >= 2")
     out = family_neighbors(clusters, neighbors).join(den, "cluster_num").withColumn("cooccurrence", cut2(F.col("num_queries"), F.col("num_with_neighbors")))
-    return out.filter(F.col("cooccurrence") > threshold if strict else F.col("cooccurrence") >= threshold).drop("arrangement")
+    return out.filter(F.col("cooccurrence") > threshold if strict else F.col("cooccurrence") >= threshold)
 
 
 def cooccurrence_table(cooccurrences: DataFrame) -> DataFrame:

@@ -129,28 +129,31 @@ def neighborhood_connectivity(edges: DataFrame, q: str = "qseqid", s: str = "sse
 RAMP = ((20, 50, 110), (255, 255, 0), (255, 50, 50), (255, 10, 150))
 
 
-def color_ramp(low: int, high: int) -> list[str]:
-    """Hex colours of a ramp over ``low..high``: each stretch has its two ends and steps that grow with the width."""
-    steps = max(int((high - low + 1) / 3 - 0.5), 0)
-    out = []
-    for a, b in zip(RAMP, RAMP[1:], strict=False):
-        inner = [tuple(int(x + (y - x) * i / max(steps - 1, 1)) for x, y in zip(a, b, strict=True)) for i in range(steps)]
-        out += [a, *inner, b]
-    return ["#%02X%02X%02X" % c for c in out]
+def connectivity_colors(connectivity: DataFrame) -> DataFrame:
+    """Adds ``color``, a hex colour on the ramp over the range of ``connectivity``; null connectivity takes the first one.
+
+    The ramp runs through the fixed colours in stretches of equal size. A stretch holds its two
+    ends and about a third as many steps between them as the range is wide, the first and last
+    of which repeat the ends; each value takes the colour at its share of the range.
+    """
+    ends = connectivity.agg(F.min("connectivity").alias("low"), F.max("connectivity").alias("high")).first()  # one row
+    low, high = int(ends.low or 0), int((ends.high or 0) + 0.5)
+    inner = max(int((high - low + 1) / 3 - 0.5), 0)
+    size = inner + 2
+    at = F.floor((F.col("connectivity") - low) * (size * (len(RAMP) - 1)) / (high - low)) - 1 if high > low else F.lit(0)
+    at = F.least(F.greatest(F.coalesce(at, F.lit(0)), F.lit(0)), F.lit(size * (len(RAMP) - 1) - 1))
+    share = F.least(F.greatest((F.pmod(at, F.lit(size)) - 1) / max(inner - 1, 1), F.lit(0.0)), F.lit(1.0))
+    stretch = (F.floor(at / size) + 1).cast("int")
 
+    def channel(i: int) -> Column:
+        a, b = (F.element_at(F.array(*[F.lit(c[i]) for c in colors]), stretch) for colors in (RAMP[:-1], RAMP[1:]))
+        return F.floor(a + (b - a) * share)
 
-def connectivity_colors(connectivity: DataFrame) -> DataFrame:
-    """Adds ``color`` on a ramp over the range of ``connectivity``; the ramp has a few hundred rows at most in practice."""
-    ends = connectivity.agg(F.min("connectivity").alias("a"), F.max("connectivity").alias("b")).first()
-    low, high = int(ends.a or 0), int((ends.b or 0) + 0.5)
-    ramp = color_ramp(low, high)
-    table = connectivity.sparkSession.createDataFrame(list(enumerate(ramp, 1)), "_i int, color string")
-    at = F.when(F.lit(high == low), 1).otherwise(F.floor((F.col("connectivity") - low) * len(ramp) / max(high - low, 1)))
-    numbered = connectivity.withColumn("_i", F.greatest(F.lit(1), F.least(F.lit(len(ramp)), at)).cast("int"))
-    return numbered.join(table if len(ramp) > 100_000 else F.broadcast(table), "_i").drop("_i")
+    return connectivity.withColumn("color", F.format_string("#%02X%02X%02X", channel(0), channel(1), channel(2)))
 
 
 def network_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """One row ``num_nodes, num_edges``."""
     return nodes.agg(F.count("*").alias("num_nodes")).join(F.broadcast(edges.agg(F.count("*").alias("num_edges"))))  # one row each
 
 
@@ -174,12 +177,14 @@ def cluster_centers(members: DataFrame, degrees: DataFrame) -> DataFrame:
     return known.groupBy("cluster_num").agg(best).select("cluster_num", F.col("x.node").alias("center"), (-F.col("x.d")).alias("degree"))
 
 
-def taxonomy_tree(rows: DataFrame, ranks: list[str], accession: str = "accession", species: str | None = None, seeds: tuple[str, ...] = ()) -> DataFrame:
+def taxonomy_tree(rows: DataFrame, ranks: list[str], accession: str = "accession", species: str | None = None, seeds: tuple[str, ...] = (), additive: bool = False) -> DataFrame:
     """Every node of the rank tree: path columns, depth, sequences, species and distinct seeds.
 
     A missing rank is ``None``; rows without any rank go; each accession counts once. The
     rollup runs on counts per lineage, so its copies of rows don't grow with the sequences;
-    distinct seeds are counted on the distinct (lineage, seed) rows.
+    distinct seeds are counted on the distinct (lineage, seed) rows. With ``additive``, seeds are
+    distinct within each full lineage only and inner nodes add up their children, so that a
+    seed under two children counts twice.
     """
     some = F.coalesce(*ranks).isNotNull()
     species = species or ranks[-1]
@@ -188,7 +193,8 @@ def taxonomy_tree(rows: DataFrame, ranks: list[str], accession: str = "accession
     lineages = rows.groupBy(*ranks, "_sp").agg(F.count("*").alias("_n"))
     tree = lineages.rollup(*ranks).agg(depth, F.sum("_n").alias("num_sequences"), F.countDistinct("_sp").alias("num_species"))
     for s in seeds:
-        counts = rows.select(*ranks, s).distinct().rollup(*ranks).agg(depth, F.countDistinct(s).alias(f"num_{s}"))
+        distinct = rows.select(*ranks, s).distinct()
+        counts = distinct.rollup(*ranks).agg(depth, (F.count(s) if additive else F.countDistinct(s)).alias(f"num_{s}"))
         same = [tree[r].eqNullSafe(counts[r]) for r in ranks] + [tree["depth"] == counts["depth"]]
         on = same[0]
         for c in same[1:]:

@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kinweave.functions.ranking import running_max
+
 
 def read_flat_records(spark: SparkSession, path: str) -> DataFrame:
     """``value``: records that end with a line ``//``."""
@@ -52,6 +54,7 @@ MATCH_SCHEMA = "_id string, match array<struct<_id:string,_dbname:string,_name:s
 
 
 def read_family_matches(spark: SparkSession, path: str) -> DataFrame:
+    """Protein elements of a family match file, one row each, with nested matches."""
     return spark.read.format("xml").option("useLegacyXMLParser", True).option("rowTag", "protein").schema(MATCH_SCHEMA).load(path)
 
 
@@ -71,11 +74,11 @@ def family_hierarchy(lines: DataFrame, order: str = "line_no", line: str = "line
     """``family, parent, is_leaf, depth`` from a tree listing whose depth is the number of leading dashes.
 
     The parent is the last earlier line that is one step less deep. Depth 0 begins a tree, so
-    trees are numbered first and the windows run within one tree each.
+    trees are told apart by the line of their root and the windows run within one tree each.
     """
     rows = lines.select(F.col(order).alias("n"), F.regexp_extract(line, r"^-*", 0).alias("d"), F.regexp_extract(line, r"^-*([^:\s]+)", 1).alias("family")).filter("family != ''")
     rows = rows.withColumn("depth", (F.length("d") / 2).cast("int"))
-    roots = rows.withColumn("tree", F.sum((F.col("depth") == 0).cast("int")).over(Window.orderBy("n")))  # a small listing of families
+    roots = running_max(rows, F.when(F.col("depth") == 0, F.col("n")), "n", "tree")
     w = Window.partitionBy("tree").orderBy("n")
     before = lambda k: F.last(F.when(F.col("depth") == k, F.col("family")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     parent = F.coalesce(*[F.when(F.col("depth") == k + 1, before(k)) for k in range(max_depth)])
@@ -101,6 +104,7 @@ SEED_SCHEMA = f"_id string, representativeMember struct<dbReference:{_MEMBER}>,
 
 
 def read_seed_clusters(spark: SparkSession, path: str) -> DataFrame:
+    """Entry elements of a seed cluster file, one row each."""
     return spark.read.format("xml").option("useLegacyXMLParser", True).option("rowTag", "entry").schema(SEED_SCHEMA).load(path)
 
 
@@ -128,6 +132,7 @@ TAXON_SCHEMA = f"_taxId int, _scientificName string, _rank string, lineage struc
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
+    """Taxon elements of a taxonomy file, one row each, with nested lineage and children."""
     return spark.read.format("xml").option("useLegacyXMLParser", True).option("rowTag", "entry").schema(f"taxon struct<{TAXON_SCHEMA.replace('_taxId int', '_taxId:int').replace('_scientificName string', '_scientificName:string').replace('_rank string', '_rank:string').replace('lineage struct', 'lineage:struct').replace('children struct', 'children:struct')}>").load(path).select("taxon.*")
 
 

@@ -123,7 +123,7 @@ def blast_hit_table(spark, d):
 
 @query(r"""WITH words AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: w <> '') AS w FROM documents),
 grams AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))) AS g FROM words),
-often AS (SELECT g FROM grams GROUP BY g HAVING count(*) BETWEEN 2 AND 1000), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+often AS (SELECT g FROM grams GROUP BY g HAVING count(*) >= 2), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 rare AS (SELECT * FROM grams SEMI JOIN often USING (g)),
 shared AS (SELECT x.doc_id AS q, y.doc_id AS s, count(*) AS k FROM rare x JOIN rare y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL HAVING count(*) >= 3),
 both AS (SELECT q, s, k FROM shared UNION ALL SELECT s, q, k FROM shared),
@@ -219,7 +219,14 @@ def neighborhood_connectivity(spark, d):
     return S.neighborhood_connectivity(view(spark, d, "edges"), ids=table(spark, d, "part").select(F.concat(F.lit("N"), "p_partkey").alias("id")))
 
 
-@query()
+_CONNECTED = f"(SELECT a AS node, floor(100 * CAST(sum(degree) AS BIGINT) / count(*)) / 100 AS connectivity FROM {_LINKS} JOIN (SELECT a AS b, count(*) AS degree FROM {_LINKS} GROUP BY a) USING (b) GROUP BY a)"
+
+
+@query(f"""SELECT node, connectivity, printf('#%02X%02X%02X', CAST(floor([20, 255, 255][k] + ([255, 255, 255][k] - [20, 255, 255][k]) * f) AS BIGINT), CAST(floor([50, 255, 50][k] + ([255, 50, 10][k] - [50, 255, 50][k]) * f) AS BIGINT), CAST(floor([110, 0, 50][k] + ([0, 50, 150][k] - [110, 0, 50][k]) * f) AS BIGINT)) AS color
+FROM (SELECT node, connectivity, CAST(floor(place / (inside + 2)) AS INT) + 1 AS k, least(greatest((place % (inside + 2) - 1) / CAST(greatest(inside - 1, 1) AS DOUBLE), 0), 1) AS f
+FROM (SELECT *, greatest(least(CASE WHEN high > low THEN CAST(floor((connectivity - low) * (3 * inside + 6) / (high - low)) AS BIGINT) - 1 ELSE 0 END, 3 * inside + 5), 0) AS place
+FROM (SELECT *, greatest(CAST(trunc((high - low + 1) / 3.0 - 0.5) AS BIGINT), 0) AS inside
+FROM (SELECT *, CAST(trunc(min(connectivity) OVER ()) AS BIGINT) AS low, CAST(trunc(max(connectivity) OVER () + 0.5) AS BIGINT) AS high FROM {_CONNECTED}))))""")
 def connectivity_colors(spark, d):
     return S.connectivity_colors(S.neighborhood_connectivity(view(spark, d, "net")))
 
@@ -248,6 +255,14 @@ def taxonomy_tree(spark, d):
     return out.withColumn("depth", F.col("depth").cast("long"))
 
 
+@query("""SELECT domain, kingdom, segment, 3 - grouping(domain) - grouping(kingdom) - grouping(segment) AS depth, CAST(sum(n) AS BIGINT) AS num_sequences, CAST(sum(s) AS BIGINT) AS num_seed50
+FROM (SELECT domain, kingdom, segment, count(*) AS n, count(DISTINCT seed50) AS s FROM (SELECT domain, kingdom, segment, concat('C', CAST(substr(accession, 2) AS INT) % 7) AS seed50 FROM people JOIN taxonomy USING (taxonomy_id)) GROUP BY ALL) GROUP BY ROLLUP (domain, kingdom, segment)""")
+def taxonomy_tree_additive(spark, d):
+    rows = view(spark, d, "people").join(view(spark, d, "taxonomy"), "taxonomy_id").withColumn("seed50", F.concat(F.lit("C"), F.substr("accession", F.lit(2)).cast("int") % 7))
+    out = S.taxonomy_tree(rows, ["domain", "kingdom", "segment"], seeds=("seed50",), additive=True)
+    return out.select("domain", "kingdom", "segment", F.col("depth").cast("long").alias("depth"), "num_sequences", "num_seed50")
+
+
 @query("SELECT family, count(*) AS num_rows, count(DISTINCT accession) AS num_members, count(DISTINCT seed50) AS num_seed50, count(DISTINCT seed90) AS num_seed90 FROM (SELECT f.family, f.accession, s.seed50, s.seed90 FROM (SELECT family, accession FROM fams UNION ALL SELECT clan, accession FROM fams JOIN clans USING (family)) f LEFT JOIN seeds s USING (accession)) GROUP BY family")
 def family_sizes(spark, d):
     return S.family_sizes(view(spark, d, "fams"), view(spark, d, "seeds"), view(spark, d, "clans"))

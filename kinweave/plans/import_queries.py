@@ -55,7 +55,7 @@ def sample_every_nth(spark, d):
     return I.sample_every_nth(p, 5, reviewed="reviewed").drop("reviewed")
 
 
-@query()
+@query("SELECT p_partkey AS accession FROM part WHERE substr(md5(concat('7:', p_partkey)), 1, 8) < '4ccccccc'")
 def sample_random(spark, d):
     return I.sample_random(table(spark, d, "part").select(F.col("p_partkey").alias("accession")), 0.3, 7)
 
@@ -513,10 +513,10 @@ def parse_interpro_matches(spark, d):
     return _matches(spark, d)[1]
 
 
-@query("SELECT concat('F', n_nationkey) AS family, CASE WHEN n_nationkey % 3 > 0 THEN concat('F', n_nationkey - 1) END AS parent, n_nationkey % 3 = 2 OR n_nationkey = 24 AS is_leaf, CAST(n_nationkey % 3 AS INT) AS depth FROM nation")
+@query("SELECT concat('F', p_partkey) AS family, CASE WHEN p_partkey % 3 > 0 THEN concat('F', p_partkey - 1) END AS parent, p_partkey % 3 = 2 OR p_partkey = (SELECT max(p_partkey) FROM part) AS is_leaf, CAST(p_partkey % 3 AS INT) AS depth FROM part")
 def family_hierarchy(spark, d):
-    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("line_no"), F.concat(F.repeat(F.lit("--"), (F.col("n_nationkey") % 3).cast("int")), F.lit("F"), "n_nationkey", F.lit("::name::")).alias("line"))
-    return T.family_hierarchy(n)
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("line_no"), F.concat(F.repeat(F.lit("--"), (F.col("p_partkey") % 3).cast("int")), F.lit("F"), "p_partkey", F.lit("::name::")).alias("line"))
+    return T.family_hierarchy(p)
 
 
 _COUNTS = "(SELECT family, count(DISTINCT accession) AS num_members, count(DISTINCT seed50) AS num_seed50, count(DISTINCT seed90) AS num_seed90 FROM fams LEFT JOIN seeds USING (accession) GROUP BY family)"
@@ -551,13 +551,13 @@ def merge_seed_tables(spark, d):
     return T.merge_seed_tables(rows.filter("is_reviewed").select(F.col("seed50").alias("seed"), F.col("accession").alias("member")), rows.filter("gdna").select(F.col("seed90").alias("seed"), F.col("accession").alias("member")))
 
 
-@query("""SELECT CAST(n_nationkey AS INT) AS taxonomy_id, r_name AS domain, 'NA' AS kingdom, 'NA' AS phylum, 'NA' AS class, 'NA' AS tax_order, 'NA' AS family, n_name AS genus, 'NA' AS species FROM nation JOIN region ON r_regionkey = n_regionkey
-UNION ALL SELECT CAST(n_nationkey + 1000 AS INT), r_name, 'NA', 'NA', 'NA', 'NA', 'NA', n_name, concat(n_name, ' child') FROM nation JOIN region ON r_regionkey = n_regionkey""")
+@query("""SELECT CAST(c_custkey AS INT) AS taxonomy_id, n_name AS domain, 'NA' AS kingdom, 'NA' AS phylum, 'NA' AS class, 'NA' AS tax_order, 'NA' AS family, c_name AS genus, 'NA' AS species FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL SELECT CAST(c_custkey + 1000000 AS INT), n_name, 'NA', 'NA', 'NA', 'NA', 'NA', c_name, concat(c_name, ' child') FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def parse_taxonomy(spark, d):
     t = lambda *x: F.concat(*[F.lit(i) if isinstance(i, str) else i for i in x])
-    n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    n = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     path = _path(spark, "taxa")
-    _xml(n, path, t('<entry><taxon taxId="', F.col("n_nationkey"), '" scientificName="', F.col("n_name"), '" rank="genus"><lineage><taxon taxId="900" scientificName="', F.col("r_name"), '" rank="superkingdom"/><taxon taxId="1" scientificName="root"/></lineage><children><taxon taxId="', F.col("n_nationkey") + 1000, '" scientificName="', F.col("n_name"), ' child"/></children></taxon></entry>'))
+    _xml(n, path, t('<entry><taxon taxId="', F.col("c_custkey"), '" scientificName="', F.col("c_name"), '" rank="genus"><lineage><taxon taxId="900" scientificName="', F.col("n_name"), '" rank="superkingdom"/><taxon taxId="1" scientificName="root"/></lineage><children><taxon taxId="', F.col("c_custkey") + 1000000, '" scientificName="', F.col("c_name"), ' child"/></children></taxon></entry>'))
     return T.parse_taxonomy(T.read_taxonomy(spark, path))
 
 

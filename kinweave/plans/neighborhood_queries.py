@@ -9,7 +9,7 @@ from kinweave.operators import neighborhoods as N
 from kinweave.plans.views import oracle, table, view
 
 QUERIES, ORACLES = {}, {}
-SIZE = 5
+SIZE = N.MAX_SIZE
 
 
 def query(sql: str | None = None):
@@ -73,7 +73,7 @@ def with_families(spark, d):
     return _neighbors(spark, d)
 
 
-@query("SELECT q.accession AS query, CASE WHEN c.accession IS NULL THEN 'nomatch' WHEN c.accession NOT IN (SELECT query FROM neighbors) THEN 'noneighbor' ELSE 'ok' END AS status, CASE WHEN c.num IS NOT NULL THEN CAST((CASE WHEN c.num - 5 < 1 THEN 1 ELSE 0 END) | (CASE WHEN c.num + 5 > c.max_num THEN 2 ELSE 0 END) AS INT) END AS edge FROM (SELECT accession FROM asked UNION ALL SELECT 'E-none') q LEFT JOIN chosen c USING (accession)")
+@query("SELECT q.accession AS query, CASE WHEN c.accession IS NULL THEN 'nomatch' WHEN c.accession NOT IN (SELECT query FROM neighbors) THEN 'noneighbor' ELSE 'ok' END AS status, CASE WHEN c.num IS NOT NULL THEN CAST((CASE WHEN c.num - 20 < 1 THEN 1 ELSE 0 END) | (CASE WHEN c.num + 20 > c.max_num THEN 2 ELSE 0 END) AS INT) END AS edge FROM (SELECT accession FROM asked UNION ALL SELECT 'E-none') q LEFT JOIN chosen c USING (accession)")
 def query_status(spark, d):
     asked = view(spark, d, "asked").select("accession")
     extra = asked.limit(1).select(F.lit("E-none").alias("accession"))
@@ -82,7 +82,12 @@ def query_status(spark, d):
 
 @query("SELECT * FROM famnb")
 def family_neighbors(spark, d):
-    return N.family_neighbors(_clusters(spark, d), _neighbors(spark, d)).drop("arrangement")
+    return N.family_neighbors(_clusters(spark, d), _neighbors(spark, d))
+
+
+@query("SELECT DISTINCT cluster_num, family, concat_ws(':', query, query_direction, neighbor, direction, distance) AS arrangement FROM clustered JOIN neighbors USING (query)")
+def family_arrangements(spark, d):
+    return N.family_arrangements(_clusters(spark, d), _neighbors(spark, d))
 
 
 @query("SELECT * FROM denom")

@@ -13,8 +13,8 @@ VIEWS = {
     "pairs": "SELECT least(upper(qseqid), upper(sseqid)) AS qseqid, greatest(upper(qseqid), upper(sseqid)) AS sseqid, pident, alignment_length, bitscore FROM hits WHERE qseqid <> sseqid",
     "best": "SELECT qseqid, sseqid, pident, alignment_length, bitscore FROM (SELECT *, row_number() OVER (PARTITION BY qseqid, sseqid ORDER BY bitscore DESC, pident, alignment_length) AS rn FROM pairs) x WHERE rn = 1",
     "edges": "SELECT b.qseqid, b.sseqid, b.pident, b.alignment_length, b.bitscore, q.sequence_length AS query_length, s.sequence_length AS subject_length, CAST(floor(-log10(CAST(q.sequence_length AS DOUBLE) * CAST(s.sequence_length AS DOUBLE)) + log10(2) * b.bitscore) AS INT) AS alignment_score FROM best b LEFT JOIN lengths q ON q.seqid = b.qseqid LEFT JOIN lengths s ON s.seqid = b.sseqid",
-    "net": "SELECT * FROM edges WHERE bitscore >= 1000",
-    "netnodes": "SELECT DISTINCT concat('N', p_partkey) AS node FROM part WHERE p_size >= 40",
+    "net": "SELECT * FROM edges",
+    "netnodes": "SELECT DISTINCT concat('N', p_partkey) AS node FROM part",
     "taxonomy": "SELECT n_nationkey AS taxonomy_id, r_name AS domain, n_name AS kingdom, CASE WHEN n_nationkey % 5 = 0 THEN 'Ascomycota' ELSE concat('Phylum', n_nationkey % 3) END AS phylum, concat('Species', n_nationkey % 4) AS species FROM nation JOIN region ON r_regionkey = n_regionkey",
     "people": "SELECT concat('C', c_custkey) AS accession, c_nationkey AS taxonomy_id, c_mktsegment AS segment, c_acctbal > 5000 AS is_reviewed, c_acctbal < 0 AS is_fragment, c_custkey % 2 = 0 AS gdna, concat(c_name, '; ') AS description FROM customer",
     "seeds": "SELECT concat('C', c_custkey) AS accession, concat('C', min(c_custkey) OVER (PARTITION BY c_nationkey)) AS seed50, concat('C', min(c_custkey) OVER (PARTITION BY c_nationkey, c_mktsegment)) AS seed90 FROM customer",
@@ -22,25 +22,26 @@ VIEWS = {
     "clans": "SELECT DISTINCT p_brand AS family, concat('CL', length(p_brand)) AS clan FROM part",
     "foreign_": "SELECT concat('C', o_custkey) AS uniprot_id, CASE WHEN o_orderkey % 2 = 0 THEN 'gi' ELSE 'pdb' END AS foreign_id_type, CAST(o_orderkey AS VARCHAR(20)) AS foreign_id FROM orders",
     "genes": "SELECT concat('G', user_id) AS genome, concat('E', event_id) AS accession, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INT) AS num, user_id % 2 = 1 AS linear, value > 50 AS normal, CAST(event_id * 10 AS INT) AS start, CAST(event_id * 10 + 100 + event_id % 900 AS INT) AS stop, event_type AS family FROM events",
-    "asked": "SELECT concat('E', event_id) AS accession, CAST(event_id % 37 AS INT) AS cluster_num FROM events WHERE event_id % 20 = 0",
+    "asked": "SELECT concat('E', event_id) AS accession, CAST(floor(event_id / 37) AS INT) AS cluster_num FROM events",
     "colors": "SELECT CAST(p_partkey + 1 AS INT) AS num, concat('#', lpad(CAST(p_partkey * 37 % 999999 AS VARCHAR(9)), 6, '0')) AS color FROM part WHERE p_partkey < 12",
 }
 
-#: Views with recursion, for oracles only.
+#: Views for oracles only. Labels spread over nine links, more than any path in the tables is long.
 ORACLE_VIEWS = {
-    "links": "SELECT qseqid AS a, sseqid AS b FROM net UNION ALL SELECT sseqid, qseqid FROM net",
-    "reach": "SELECT a AS node, a AS other FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other",
-    "netcomp": "SELECT node, min(other) AS component FROM reach GROUP BY node",
+    "links": "SELECT qseqid AS a, sseqid AS b FROM net UNION SELECT sseqid, qseqid FROM net UNION SELECT qseqid, qseqid FROM net UNION SELECT sseqid, sseqid FROM net",
+    "label0": "SELECT a AS node, min(b) AS label FROM links GROUP BY a",
+    **{f"label{i}": f"SELECT b AS node, min(label) AS label FROM label{i - 1} JOIN links ON a = node GROUP BY b" for i in range(1, 9)},
+    "netcomp": "SELECT node, label AS component FROM label8",
     "comps": "SELECT node, component FROM netcomp UNION ALL SELECT node, node FROM netnodes WHERE node NOT IN (SELECT node FROM netcomp)",
     "sizes": "SELECT component, count(*) AS num_nodes, CAST(sum(CAST(substr(node, 2) AS BIGINT) % 3 + 1) AS BIGINT) AS num_seqs FROM comps GROUP BY component",
     "numbered": "SELECT component, num_nodes, num_seqs, row_number() OVER (ORDER BY num_seqs DESC, component) AS cluster_num_by_seq, row_number() OVER (ORDER BY num_nodes DESC, component) AS cluster_num_by_node FROM sizes WHERE num_seqs > 1",
     "picked": "SELECT *, row_number() OVER (PARTITION BY accession ORDER BY linear, CASE WHEN NOT linear THEN -max_num END, CASE WHEN linear THEN num > 10 END DESC, CASE WHEN linear THEN num < max_num - 10 END DESC, CASE WHEN linear THEN abs(num / max_num - 0.5) END, genome, num) AS r FROM (SELECT g.*, max(num) OVER (PARTITION BY genome) AS max_num, last_value(stop) OVER (PARTITION BY genome ORDER BY num ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS max_stop FROM genes g) WHERE accession IN (SELECT accession FROM asked)",
     "chosen": "SELECT * EXCLUDE (r) FROM picked WHERE r = 1",
     "near": """SELECT c.accession AS query, c.genome, g.accession AS neighbor, g.num, c.num AS q_num, c.linear AS q_linear, c.max_num, c.max_stop, c.start AS q_start, c.normal AS q_normal, g.start, g.stop, g.normal, g.linear, g.family,
-  NOT c.linear AND 5 < c.max_num AND c.num - 5 < 1 AND g.num > c.num + 5 AS before, NOT c.linear AND 5 < c.max_num AND c.num + 5 > c.max_num AND g.num < c.num - 5 AS after
-  FROM chosen c JOIN genes g ON g.genome = c.genome AND ((g.num BETWEEN c.num - 5 AND c.num + 5)
-    OR (NOT c.linear AND 5 < c.max_num AND c.num - 5 < 1 AND g.num >= c.max_num + c.num - 5)
-    OR (NOT c.linear AND 5 < c.max_num AND c.num + 5 > c.max_num AND g.num <= c.num + 5 - c.max_num))""",
+  NOT c.linear AND 20 < c.max_num AND c.num - 20 < 1 AND g.num > c.num + 20 AS before, NOT c.linear AND 20 < c.max_num AND c.num + 20 > c.max_num AND g.num < c.num - 20 AS after
+  FROM chosen c JOIN genes g ON g.genome = c.genome AND ((g.num BETWEEN c.num - 20 AND c.num + 20)
+    OR (NOT c.linear AND 20 < c.max_num AND c.num - 20 < 1 AND g.num >= c.max_num + c.num - 20)
+    OR (NOT c.linear AND 20 < c.max_num AND c.num + 20 > c.max_num AND g.num <= c.num + 20 - c.max_num))""",
     "neighbors": """SELECT query, genome, neighbor, num, CAST(num - q_num + CASE WHEN before THEN -max_num WHEN after THEN max_num ELSE 0 END AS BIGINT) AS distance,
   CAST(CASE WHEN before THEN start - max_stop WHEN after THEN max_stop + start ELSE start END - q_start AS BIGINT) AS rel_start,
   CAST(CASE WHEN before THEN start - max_stop WHEN after THEN max_stop + start ELSE start END - q_start + abs(stop - start) AS BIGINT) AS rel_stop,

@@ -12,10 +12,12 @@ def write_edges(edges: DataFrame, path: str) -> None:
 
 
 def write_tab(rows: DataFrame, path: str, header: bool = False) -> None:
+    """Tab-separated files, with a header line if asked for."""
     rows.write.mode("overwrite").csv(path, sep="\t", header=header, quote="", emptyValue="")
 
 
 def fasta_text(id: Column, sequence: Column, fold: int = 0) -> Column:
+    """One FASTA record of each row as text, folded if a width is given."""
     body = F.regexp_replace(F.regexp_replace(sequence, f"(.{{{fold}}})", "$1\n"), "\n$", "") if fold else sequence
     return F.concat(F.lit(">"), id, F.lit("\n"), body)
 
@@ -33,6 +35,7 @@ def long_metadata(wide: DataFrame, id: str = "id") -> DataFrame:
 
 
 def write_metadata(wide: DataFrame, path: str, id: str = "id") -> None:
+    """Wide attributes as long ``id, attribute, value`` rows in order; nulls go."""
     rows = long_metadata(wide, id).select(F.col("id").alias("UniProt_ID"), F.col("attribute").alias("Attribute"), F.col("value").alias("Value"))
     rows.write.mode("overwrite").csv(path, sep="\t", header=True)
 
@@ -87,5 +90,6 @@ def write_cluster_fasta(ids: DataFrame, sequences: DataFrame, path: str) -> None
 
 
 def cluster_fasta_rows(ids: DataFrame, sequences: DataFrame) -> DataFrame:
+    """FASTA records with their cluster, for files by cluster."""
     both = ids.select("cluster_num", "id").distinct().join(sequences.select(F.col("seq_id").alias("id"), "sequence"), "id")
     return both.select("cluster_num", fasta_text(F.col("id"), F.col("sequence")).alias("value"))
