@@ -23,8 +23,8 @@ _BLANK = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 #: Runs of white space with two spaces, or with a space at the end of the text: their length
 #: decides how they are split, so a text that holds one is a string by itself.
 RUNS = f" {_BLANK}* |{_BLANK} $"
-#: Pieces whose ids are gathered at a time.
-STEP = 1 << 20
+#: Bytes of text that are cut at a time (a longer text stands alone), and pieces whose ids are gathered at a time.
+BYTES, STEP = 12 << 20, 1 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -59,7 +59,7 @@ class ColumnEncoder:
     can't be cut at spaces; the library encodes all texts of such a file.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 500_000):
         import regex
         from tokenizers import Tokenizer
 
@@ -118,9 +118,18 @@ class ColumnEncoder:
 
         Null texts have none. ``end_id`` follows each text where it is given.
         """
+        texts = pc.fill_null(texts, "")
+        sizes, first = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)), 0
+        while first < len(texts):
+            start = sizes[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(sizes, start + BYTES, side="right")))
+            for a, b, ids, counts in self._encode(texts.slice(first, last - first), end_id):
+                yield first + a, first + b, ids, counts
+            first = last
+
+    def _encode(self, texts: pa.Array, end_id: int | None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         if len(self.known) > self.most:
             self.reset()
-        texts = pc.fill_null(texts, "")
         added = pa.array([not self.plain] * len(texts), pa.bool_())
         for content in self.added:
             added = pc.or_(added, pc.match_substring(texts, content))

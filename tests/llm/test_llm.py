@@ -60,6 +60,7 @@ def test_columns_equal_the_unmodified_tokenizer(name, monkeypatch):
     texts += ["".join(x) for n in range(6) for x in itertools.product([" ", "\n", "a", "\xa0"], repeat=n)]
     want = [t.encode(x, add_special_tokens=False).ids for x in texts]
     monkeypatch.setattr(tokens, "STEP", 50)
+    monkeypatch.setattr(tokens, "BYTES", 500)
     monkeypatch.setattr(tokens, "_encoders", {path: tokens.ColumnEncoder(path, most=50)})
     assert ids_of(path, texts) == want
     assert ids_of(path, texts[:500], 7) == [[*x, 7] for x in want[:500]]  # forgets its words before
