@@ -9,8 +9,8 @@ share one of their ``K - LEAST + 1`` rarest values, and only these go to inverte
 the sketch of their union shows enough common values, and confirmed on full sets.
 
 A list of up to ``SMALL`` documents gives all its pairs. For the shortest and the longest of
-its longer ones, each document is paired with four leaders: two at random, and the two most typical ones,
-whose values are in the most other sketches and which are therefore similar to most. Confirmed
+its longer ones, each document is paired with a few leaders, some at random and some that are typical: their
+values are in the most other sketches, so they are similar to most. Confirmed
 pairs merge components, and what then lies outside the largest component of its list is compared
 with all documents of such lists that share one of the rarest shingles of the full sets.
 So no link between components is left out, and a large group of copies costs a linear
@@ -33,8 +33,8 @@ from kinweave.operators.components import connected_components
 K = 40
 LEAST = 18
 SMALL = 32
-#: Leaders of a long list that are chosen at random.
-LEADERS = 2
+#: Leaders of a long list that are chosen at random, and because they are typical.
+LEADERS, TYPICAL = 2, 6
 #: Bits of the filter that keeps unrelated texts out of the verification; it only saves work.
 FILTER_BITS = 22
 
@@ -230,17 +230,14 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     long_ = live.filter(F.col("held") > SMALL).select("value", "doc_id", "n", "held", "typical")
     by_size = Window.partitionBy("doc_id").orderBy("held", "value")
     ends = long_.withColumn("end", F.lag("value").over(by_size).isNull() | F.lead("value").over(by_size).isNull()).filter("end")
-    doc, typical, half = F.struct("doc_id", "n"), F.struct("typical", "doc_id"), F.pmod(F.xxhash64("doc_id"), F.lit(2))
-    chosen = [*[F.min_by(doc, F.xxhash64("doc_id", F.lit(i))) for i in range(LEADERS)], *[F.max_by(doc, F.when(half == i, typical)) for i in (0, 1)]]
+    doc, typical, part = F.struct("doc_id", "n"), F.struct("typical", "doc_id"), F.pmod(F.xxhash64("doc_id"), F.lit(TYPICAL))
+    chosen = [*[F.min_by(doc, F.xxhash64("doc_id", F.lit(i))) for i in range(LEADERS)], *[F.max_by(doc, F.when(part == i, typical)) for i in range(TYPICAL)]]
     leaders = long_.groupBy("value").agg(F.array_distinct(F.array_compact(F.array(*chosen))).alias("l"))
     leaders = leaders.select("value", F.explode("l").alias("l")).select("value", F.col("l.doc_id").alias("b"), F.col("l.n").alias("m"))
     led = ends.join(leaders, "value").filter((F.col("doc_id") != F.col("b")) & fits(n, F.col("m"))).select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b"))
     first = stage.write(_estimated(pairs.unionByName(led).distinct(), reps, percent), "pairs")
 
-    def linked(pairs: DataFrame) -> list[DataFrame]:
-        return [pairs.filter("sure").select("a", "b"), _confirmed(pairs.filter("NOT sure").select("a", "b"), docs, size, percent, stage)]
-
-    links = linked(first)
+    links = [first.filter("sure").select("a", "b"), _confirmed(first.filter("NOT sure").select("a", "b"), docs, size, percent, stage)]
     # Long lists: what isn't in the largest component of its list meets all documents of its lists
     # with which it shares one of the rarest values of the full sets: as many as two similar sets
     # can't both lack.
@@ -259,9 +256,9 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     shared = F.ceil((n + F.col("m")) * percent / (100.0 + percent) - 1e-9)
     early = (F.col("at") <= n - shared) & (F.col("x_at") <= F.col("m") - shared)
     met = outside.join(rare, ["value", "bucket"]).filter(differ & early).select(pair).distinct()
-    late = stage.write(_estimated(met, reps, percent), "late")
+    met = stage.write(met, "late")
     stage.drop(rare)
-    links += linked(late)
+    links.append(_confirmed(met, docs, size, percent, stage))  # the prefixes of full sets say more than sketches
     comps = connected_components(reduce(DataFrame.unionByName, [*links, members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))]), "a", "b")
 
     named = all_.select("doc_id", "n_shingles").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
