@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -92,3 +93,26 @@ def test_similarity_counts_common_shingles(spark, rows, k, held):
     got = E.all_by_all_similarity(data, k, max_held=held)
     assert rows(got.select("qseqid", "sseqid", F.round("pident", 6), "alignment_length")) == sorted(want, key=repr)
     assert E.all_by_all_similarity(data.limit(0)).count() == 0
+
+
+def test_colours_of_a_ramp(spark):
+    """Nine steps in each of three stretches between the fixed colours, whose ends stand twice."""
+    rows = [(i, float(i)) for i in range(31)] + [(99, None)]
+    got = {r.node: r.color for r in S.connectivity_colors(spark.createDataFrame(rows, "node int, connectivity double")).collect()}
+    inner = int(31 / 3 - 0.5)
+    ramp = []
+    for a, b in zip(S.RAMP, S.RAMP[1:], strict=False):
+        ramp += [a, *[[int(x + (y - x) * i / (inner - 1)) for x, y in zip(a, b, strict=True)] for i in range(inner)], b]
+    for i, x in rows:
+        at = max(1, min(len(ramp), math.floor((x or 0) * len(ramp) / 30)))
+        assert got[i] == "#%02X%02X%02X" % tuple(ramp[at - 1])
+    df = spark.createDataFrame([(3, 3.0)], "node int, connectivity double")
+    assert S.connectivity_colors(df).first().color == "#14326E" and S.connectivity_colors(df.limit(0)).count() == 0
+
+
+def test_running_max(spark):
+    from kinweave.functions.ranking import running_max
+
+    rows = [(i, i if i % 7 == 3 else None) for i in range(100)]
+    got = {r.n: r.last for r in running_max(spark.createDataFrame(rows, "n int, v int").repartition(5), F.col("v"), "n").collect()}
+    assert got == {i: (None if i < 3 else (i - 3) // 7 * 7 + 3) for i in range(100)}

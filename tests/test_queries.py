@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry
 
 DIR = "/root/testdata/sf0.001"
-NAMES = ["score_statistics", "top_hits_per_query", "demultiplex", "taxonomy_tree", "merge_metadata", "cooccurrence", "read_network", "parse_taxonomy"]
+NAMES = ["score_statistics", "top_hits_per_query", "demultiplex", "taxonomy_tree", "merge_metadata", "cooccurrence", "read_network", "parse_taxonomy", "connectivity_colors", "sample_random", "taxonomy_tree_additive", "family_hierarchy", "family_arrangements", "parse_protein_records", "annotate", "connected_components"]
 
 
 def test_registry():
