@@ -197,7 +197,7 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame
             open_cells = [cell[row] for row in (both - apart**2) / 2 + 1e-6 * (both + 1) >= least[:, None]]
         else:
             open_cells = [[0]] * len(q)
-        return q[["dim", "length", "cell", "part", "vec_id", "v", "far"]].assign(least=least, open=open_cells, ids=ids, scores=scores)
+        return q[["dim", "length", "cell", "part", "vec_id", "v", "far"]].assign(least=least, **{c: pd.Series(values, q.index, dtype=object) for c, values in (("open", open_cells), ("ids", ids), ("scores", scores))})
 
     def further(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         found = search(q, x, q["least"].to_numpy())

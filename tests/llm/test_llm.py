@@ -302,6 +302,46 @@ def test_top_k(spark, monkeypatch, rows):
     assert topk.exact_top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def best_products(vectors, queries, k):
+    """Brute force: (query id, rank) to (id, score), pairs of one length only."""
+    out = {}
+    for qid, q in queries:
+        scores = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), i) for i, v in vectors if i != qid and len(v) == len(q))
+        out.update({(qid, r + 1): (i, -s) for r, (s, i) in enumerate(scores[:k])})
+    return out
+
+
+@pytest.mark.parametrize("lengths", [16, 1])
+def test_top_k_of_clusters_lengths_and_repeats(spark, monkeypatch, lengths):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 7)
+    monkeypatch.setattr(topk, "LENGTHS", lengths)
+    rnd = np.random.default_rng(2)
+    centres = rnd.normal(0, 200, (6, 12)).round()
+    rows = [(i, (centres[i % 6] + rnd.normal(0, 3, 12)).round().astype(int).tolist()) for i in range(400)]
+    rows += [(500 + i, rnd.normal(0, 9, 5).round().astype(int).tolist()) for i in range(60)] + [(600, [0] * 12), (601, [7]), (602, [3]), (603, [1, 2])]
+    rows += [(7, rows[7][1])] * 3 + [(8, rows[9][1])] * 100
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>").repartition(5)
+    queries = [r for r in rows[:464] if r[0] % 11 == 0 or r[0] >= 600]
+    got = topk.exact_top_k(df, spark.createDataFrame(queries + queries[:3], "vec_id long, v array<long>"), 4).collect()
+    assert {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in got} == best_products(rows, queries, 4)
+    assert len(got) == len({(r.query_id, r["rank"]) for r in got})
+
+
+def test_pivots_exclude_candidates():
+    rnd = np.random.default_rng(3)
+    centres = rnd.normal(0, 100, (20, 16)).round()
+    x = (centres[np.arange(4000) % 20] + rnd.normal(0, 2, (4000, 16))).round()
+    pivots = np.vstack([centres, np.zeros(16)])
+    far = np.sqrt(((x[:, None] - pivots) ** 2).sum(2)).astype(np.float32)
+    found, evaluated = topk.search_block(np.arange(100), x[:100], far[:100], np.full(100, -np.inf), np.arange(4000), x, far, 5)
+    assert 0 < evaluated < 0.2 * 100 * 4000 and len(found) == 100
+    for i, scores, ids in found:
+        s = x @ x[i]
+        best = [j for j in np.lexsort((np.arange(4000), -s)) if j != i][:5]
+        assert list(ids) == best and list(scores) == list(s[best])
+
+
 def test_url_rules(spark):
     given = ["http://www.Example.com/en/1?a", "https://x.example.com/en/2", "http://a.net/es/3", "http://a.com/", "http://a.com", "no scheme", None, "http://example.net/fr#x", "http://b.org/x"]
     rows = {r.url: r for r in urls.judge(spark.createDataFrame([(u, 1) for u in given], "url string, host int")).collect()}
