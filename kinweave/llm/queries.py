@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.functions.staging import Staging
-from kinweave.llm import huffman, language, line_dedup, minhash, mixing, packing, quality_model, quality_rules, topk, urls
+from kinweave.llm import centroids, huffman, importance, language, line_dedup, minhash, mixing, packing, quality_model, quality_rules, ring, topk, urls
 from kinweave.llm.common import remainder, table
 
 
@@ -70,6 +70,26 @@ def op10_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_prefix_crc_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draws a quarter of the documents toward the n-grams of ``benchmark``; undrawn documents have a null rank."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = importance.resample(docs, table(spark, sf_dir, "benchmark"), percent=25, least_words=20, most=2, buckets=10_000, seed=7)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_ns_bounds_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """16 clusters of all vectors of 64 components after three updates of the centroids."""
+    return centroids.clustered(centroids.quantized(table(spark, sf_dir, "embeddings"), size=64, scale=64), k=16, rounds=3, seed=1)
+
+
+def op13_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 shards of equal numbers of documents; equal texts share a place on the ring."""
+    text = F.coalesce("text", F.lit(""))
+    sized = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    placed = ring.shard(sized, 40, key="text_crc32", hashed=True)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_pivotal_mixing": op2_pivotal_mixing,
@@ -81,11 +101,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_rules": op9_url_rules,
     "op10_line_frequency_rules": op10_line_frequency_rules,
+    "op11_prefix_crc_resampling": op11_prefix_crc_resampling,
+    "op12_ns_bounds_kmeans": op12_ns_bounds_kmeans,
+    "op13_bounded_ring_shards": op13_bounded_ring_shards,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x != '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: CRC-32 of hex digits: the table of a byte, and a fold over the bytes.
+_CRC_TABLE = "crcs AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t)"
+_CRC = "xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(len({0}) // 2), lambda i: CAST('0x' || substr({0}, 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)))"
+_RUNS = "list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+
+
+def _kmeans_sql(rounds: int = 3, k: int = 16) -> str:
+    """All distances in every round, without bounds."""
+    parts = [f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, e) - 1 AS INTEGER) AS cluster, e AS c FROM (SELECT sha256('1:' || vec_id) AS h, e FROM v ORDER BY h, e LIMIT {k}))"""]
+    for t in range(rounds + 1):
+        parts.append(f"""a{t} AS MATERIALIZED (
+  SELECT i, min(struct_pack(d := d, cluster := cluster)) AS x
+  FROM (SELECT i, cluster, CAST(list_sum(list_transform(range(1, 65), lambda j: (e[j] - c[j]) * (e[j] - c[j]))) AS BIGINT) AS d FROM v, c{t}) GROUP BY i)""")
+        if t < rounds:
+            parts.append(f"""m{t} AS MATERIALIZED (
+  SELECT cluster, list(m ORDER BY j) AS c FROM (
+    SELECT x.cluster AS cluster, j, CAST(floor(CAST(sum(e[j]) AS DOUBLE) / count(*)) AS BIGINT) AS m FROM a{t} JOIN v USING (i), (SELECT unnest(range(1, 65)) AS j) GROUP BY 1, 2) GROUP BY cluster),
+c{t + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.c, c.c) AS c FROM c{t} c LEFT JOIN m{t} m USING (cluster))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, x.cluster AS cluster, x.d AS distance, CAST(sum(x.d) OVER (PARTITION BY x.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(x.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a{rounds} JOIN v USING (i) JOIN c{rounds} q ON q.cluster = x.cluster
+"""
+
+
 ORACLES: dict[str, str] = {
     "op3_minhash_near_dedup": f"""
 WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
@@ -153,4 +203,24 @@ base AS (
 failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
 SELECT *, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM gone) AS kept FROM failed
 """,
+    "op11_prefix_crc_resampling": rf"""
+WITH {_CRC_TABLE},
+words AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x != '') AS w FROM documents),
+aims AS (SELECT list_filter(regexp_split_to_array({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x != '') AS w FROM benchmark),
+own AS (SELECT doc_id, unnest({_RUNS}) AS f FROM words),
+aimed AS (SELECT unnest({_RUNS}) AS f FROM aims),
+hashed AS (SELECT f, {_CRC.format("hex(encode(f))")} % 10000 AS bucket FROM (SELECT f FROM own UNION SELECT f FROM aimed), crcs),
+s AS (SELECT bucket, count(*) AS s FROM own JOIN hashed USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM aimed JOIN hashed USING (f) GROUP BY bucket),
+totals AS (SELECT CAST((SELECT count(*) FROM own) AS DOUBLE) AS n_s, CAST((SELECT count(*) FROM aimed) AS DOUBLE) AS n_t),
+gains AS (SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * (n_s + 10000) / (CAST(s + 1 AS DOUBLE) * (n_t + 10000)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket), totals),
+means AS (SELECT doc_id, count(*) AS n, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight FROM own JOIN hashed USING (f) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS fine,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || left(sha256('7:' || doc_id), 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM words LEFT JOIN means USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM scored WHERE fine)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= (SELECT count(*) FROM scored WHERE fine) * 25 // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+""",
+    "op12_ns_bounds_kmeans": _kmeans_sql(),
 }
