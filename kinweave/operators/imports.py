@@ -237,18 +237,22 @@ def parse_fasta_headers(headers: DataFrame, known: DataFrame, id: str = "seq_id"
     return headers.select(F.col(id).alias("seq_id")).join(out, "seq_id", "left").select("seq_id", "match", F.coalesce("others", F.array().cast("array<string>")).alias("others"))
 
 
-def import_fasta(records: DataFrame, known: DataFrame, order: str = "seq_no") -> DataFrame:
+def import_fasta(records: DataFrame, known: DataFrame, order: str = "seq_no", first: int = 1) -> DataFrame:
     """``id, header, sequence, length, match, description``: matched ids, or a running number padded with Z to seven characters.
 
-    ``records``: ``seq_no`` (file order), ``header, sequence``; empty sequences go, and so do later
-    records that match the same id. The description of a match is cut at 150 characters.
+    ``records``: ``seq_no`` (file order, unique), ``header, sequence``; empty and null sequences go, and
+    so do later records that match the same id. Records without a match all stay; numbers run
+    from ``first`` and may be longer than seven characters. A null header has no match. The
+    description of a match is cut at 150 characters.
     """
     some = records.filter(F.length(F.coalesce("sequence", F.lit(""))) > 0)
     matched = some.join(parse_fasta_headers(some, known, order).select(F.col("seq_id").alias(order), "match"), order)
-    numbered = dense_index(matched, order, name="_i", start=1)
-    id = F.coalesce("match", F.lpad(F.col("_i").cast("string"), 7, "Z"))
+    numbered = dense_index(matched, order, name="_i", start=first)
+    number = F.col("_i").cast("string")
+    id = F.coalesce("match", F.when(F.length(number) < 7, F.lpad(number, 7, "Z")).otherwise(number))
     out = numbered.select(order, id.alias("id"), "header", "sequence", F.length("sequence").cast("long").alias("length"), "match", F.when(F.col("match").isNotNull(), F.substring("header", 1, 150)).otherwise(F.col("header")).alias("description"))
-    return out.withColumn("_r", F.row_number().over(Window.partitionBy("id").orderBy(order))).filter("_r = 1").drop("_r")
+    once = F.row_number().over(Window.partitionBy("id", F.col("match").isNull()).orderBy(order))
+    return out.withColumn("_r", once).filter("match IS NULL OR _r = 1").drop("_r")
 
 
 def import_hits(hits: DataFrame, max_results: int = 0, s: str = "sseqid", order: str = "hit_no") -> DataFrame:
@@ -267,13 +271,20 @@ def append_query_sequence(metadata: DataFrame, sequence: str, source: str = "INP
 def seed_members(ids: DataFrame, seeds: DataFrame) -> DataFrame:
     """``id, members50, members90, seeds90``: members under both seed levels and the 90 % seeds under a 50 % seed.
 
-    ``seeds``: ``accession, seed50, seed90``; ids match as seed.
+    ``seeds``: ``accession, seed50, seed90``. An id that is a seed of a level stands for itself
+    there; one that isn't, but is an accession, stands for the accession's seed of that level (the
+    smallest, if it has several rows). Unknown ids get empty lists, null ids go.
     """
-    one = ids.select(F.col(ids.columns[0]).alias("id")).distinct()
-    by50 = seeds.groupBy(F.col("seed50").alias("id")).agg(F.array_sort(F.collect_set("accession")).alias("members50"), F.array_sort(F.collect_set("seed90")).alias("seeds90"))
-    by90 = seeds.groupBy(F.col("seed90").alias("id")).agg(F.array_sort(F.collect_set("accession")).alias("members90"))
+    one = ids.select(F.col(ids.columns[0]).alias("id")).filter("id IS NOT NULL").distinct()
+    own = seeds.groupBy(F.col("accession").alias("id")).agg(F.min("seed50").alias("of50"), F.min("seed90").alias("of90"))
+    out = one.join(own, "id", "left")
+    for level in ("50", "90"):
+        lists = [F.array_sort(F.collect_set("accession")).alias(f"members{level}")] + [F.array_sort(F.collect_set("seed90")).alias("seeds90")] * (level == "50")
+        lists = seeds.filter(F.col(f"seed{level}").isNotNull()).groupBy(F.col(f"seed{level}").alias("key")).agg(*lists)
+        is_seed = seeds.select(F.col(f"seed{level}").alias("id")).distinct().withColumn("_is", F.lit(True))
+        out = out.join(is_seed, "id", "left").withColumn("key", F.when(F.col("_is"), F.col("id")).otherwise(F.col(f"of{level}"))).join(lists, "key", "left").drop("key", "_is", f"of{level}")
     empty = F.array().cast("array<string>")
-    return one.join(by50, "id", "left").join(by90, "id", "left").select("id", *[F.coalesce(c, empty).alias(c) for c in ("members50", "members90", "seeds90")])
+    return out.select("id", *[F.coalesce(c, empty).alias(c) for c in ("members50", "members90", "seeds90")])
 
 
 def make_metadata(ids: DataFrame, source: str, members: DataFrame | None = None) -> DataFrame:
