@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.staging import Staging
-from kinweave.llm.common import SPACES, let, possibly_in, split_words
+from kinweave.llm.common import SPACES, free, let, others, possibly_in, split_words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -49,7 +49,12 @@ def _repeat_words(words: Column) -> Column:
 
 
 def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed``; a null text counts as empty."""
+    """Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed``; a null text counts as empty.
+
+    Columns of these names are replaced, all others stay.
+    """
+    docs = docs.select(*[c for c in others(docs, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")])
+    (counts,) = free(docs, "_counts")
     t = F.coalesce(F.col(text), F.lit(""))
     bare = _without(t, SPACES)
     lines = F.filter(F.split(t, "\n"), lambda x: _without(x, SPACES) != "")
@@ -57,9 +62,9 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "word_chars": F.length(bare).cast("long"),
         "n_symbols": (F.length(t) - F.length(_without(t, SYMBOLS))).cast("long"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "_counts": let(split_words(t), lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeat_words(w).alias("r"))),
+        counts: let(split_words(t), lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeat_words(w).alias("r"))),
     })
-    out = out.withColumns({"n_words": F.col("_counts.n"), "n_repeat_words": F.col("_counts.r")}).drop("_counts")
+    out = out.withColumns({"n_words": F.col(counts)["n"], "n_repeat_words": F.col(counts)["r"]}).drop(counts)
     return out.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
@@ -108,8 +113,11 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc
     host of its own; a null or empty text has no words and fails. Columns of ``docs`` that are named like
     a result are replaced.
     """
-    docs = docs.withColumn("_key", F.xxhash64(F.col(doc_id).cast("string"), F.col(text), F.col(host), F.col(doc_id).isNull()))
-    gone = depleted(docs, host, text, max_docs, min_left, share, least).withColumn("_gone", F.lit(True))
+    docs = docs.select(*others(docs, "kept"))
+    key, lost = free(docs, "_key", "_gone")
+    of_row = F.xxhash64(F.col(doc_id).cast("string"), F.col(text), F.col(host), F.col(doc_id).isNull())
+    gone = depleted(docs.select(of_row.alias("_key"), F.col(host).alias("_host"), F.col(text).alias("_text")), "_host", "_text", max_docs, min_left, share, least)
+    gone = gone.select(F.col("_key").alias(key), F.lit(True).alias(lost))
     # Keys and numbers of the documents meet here, no texts unless the caller asks for them.
-    joined = text_statistics(docs, text).join(gone, "_key", "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & F.col("_gone").isNull()).drop("_key", "_gone")
+    joined = text_statistics(docs.withColumn(key, of_row), text).join(gone, key, "left")
+    return joined.withColumn("kept", ~F.col("base_failed") & F.col(lost).isNull()).drop(key, lost)

@@ -20,52 +20,68 @@ def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents; a null or empty text is scored like any other. Learns from labels that aren't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality_model.classify(docs, quality_model.fit(docs, quality_labels(spark, sf_dir)))
     return scored.select("doc_id", (remainder(F.col("doc_id")) == 1).alias("held_out"), "score", "predicted")
 
 
 def op2_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document; a null text has size 0 and is taken 0 times."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of 2-word shingles; documents without words are linked with nothing."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that stay of each document, with one edit; a null text stays null, with null counts as in the SQL."""
     left = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_lines", "n_kept", F.length("text").cast("long").alias("n_chars_kept"), F.md5("text").alias("text_md5"))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents; ``und`` for null texts and those without a letter."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.filter(remainder(F.col("doc_id")) != 1))
     return language.identify(docs, model).select("doc_id", (remainder(F.col("doc_id")) == 1).alias("held_out"), "lang_pred", "score")
 
 
 def op6_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best inner products of every 50th vector; vectors that are null or hold null or non-finite components take no part, components beyond 2**62 are an error."""
     vectors = topk.quantized(table(spark, sf_dir, "embeddings"))
     return topk.exact_top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
 
 
 def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids written as Huffman blocks and read back; a null text has only the end id."""
     path = Staging(spark, "ids").root
     huffman.write_blocks(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path, end_id=2)
     return huffman.digest(spark, path)
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of each token piece in a sequence of 4096; a null text is a piece of the end id."""
     pieces = packing.pieces_of(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of all urls; null urls have an empty host and path and take the default."""
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def url_fixed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixed half of op9: host, path, rule and its verdict, null where none fits."""
+    pages = urls.parsed(table(spark, sf_dir, "pages").select("page_id", "url")).withColumn("fixed", urls.fitting_rule())
+    return pages.select("page_id", "host", "path", "fixed.rule", "fixed.verdict")
+
+
 def op10_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and verdicts of all documents; null and empty texts fail the base rules."""
     judged = quality_rules.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
@@ -100,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_huffman_ids": op7_huffman_ids,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_rules": op9_url_rules,
+    "url_fixed_rules": url_fixed_rules,
     "op10_line_frequency_rules": op10_line_frequency_rules,
     "op11_prefix_crc_resampling": op11_prefix_crc_resampling,
     "op12_ns_bounds_kmeans": op12_ns_bounds_kmeans,
@@ -177,10 +194,20 @@ WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scores AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
 ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scores)
 SELECT * FROM ranked WHERE rank <= 5
+""",
+    "url_fixed_rules": r"""
+WITH rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+split AS (SELECT page_id, regexp_extract(r, '^[^/?#]*') AS h, regexp_extract(substr(r, length(regexp_extract(r, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM rest),
+lowered AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM split),
+fits AS (
+  SELECT page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(verdict, length(r.host || r.path)) AS verdict
+  FROM lowered l JOIN rules r ON (l.host = r.host OR ends_with(l.host, '.' || r.host)) AND starts_with(l.path, r.path) GROUP BY page_id)
+SELECT page_id, host, path, rule, verdict FROM lowered LEFT JOIN fits USING (page_id)
 """,
     "op10_line_frequency_rules": r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x != '') AS w FROM documents),

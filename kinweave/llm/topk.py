@@ -36,12 +36,16 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, q_far: np.ndarray, least: np.
 
     Candidates of a query's own id or of a score below its ``least`` are left out. Where bounds
     leave over a quarter of a block to a query, its scores are one row of a matrix product.
-    Sums of up to 2**53 are exact.
+    Scores are exact: in 32-bit or 64-bit floats where products of norms leave room for it, else
+    in 64-bit integers; pairs whose scores might not fit these raise an error.
     """
     order = np.argsort(ids, kind="stable")
     ids, x, far = ids[order], x[order], np.ascontiguousarray(x_far[order].T)
-    norms, q_norms = (x * x).sum(1), (q * q).sum(1)
-    kind = np.float32 if norms.max() * q_norms.max() < 2.0**48 else np.float64
+    norms, q_norms = ((v.astype(float) ** 2).sum(1) for v in (x, q))
+    most = norms.max() * q_norms.max()
+    if most >= 2.0**124:
+        raise OverflowError("inner products of these vectors may not fit 64 bits")
+    kind = np.float32 if most < 2.0**48 else np.float64 if most < 2.0**106 else np.int64
     x, q = x.astype(kind), q.astype(kind)
     # Distances are stored as 32-bit floats.
     slack = 1e-6 * max(far.max(initial=0), q_far.max(initial=0))
@@ -92,11 +96,15 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, q_far: np.ndarray, least: np.
 
 
 def quantized(vectors: DataFrame, scale: int = 256, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """``vec_id, v``: floor(scale * x) of each component; null ids and vectors that are null or hold null, NaN or infinity go."""
+    """``vec_id, v``: floor(scale * x) of each component; null ids and vectors that are null or hold null, NaN or infinity go.
+
+    A component beyond 2**62 after scaling is an error: no score with it fits 64 bits.
+    """
     v = F.transform(F.col(embedding), lambda x: x.cast("double"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & fine)
-    return rows.select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("long")).alias("v"))
+    whole = lambda x: F.when(F.abs(x * scale) > 2.0**62, F.raise_error(F.lit("a component is beyond 2**62: scores don't fit 64 bits")).cast("long")).otherwise(F.floor(x * scale).cast("long"))
+    return rows.select("vec_id", F.transform("v", whole).alias("v"))
 
 
 def choose_pivots(rows: DataFrame) -> dict[int, np.ndarray]:
@@ -179,14 +187,15 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame
     def search(q: pd.DataFrame, x: pd.DataFrame, least: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
         if not len(q) or not len(x):
             return []
-        return search_block(q["vec_id"].to_numpy(), matrix(q["v"]), matrix(q["far"], np.float32), least, x["vec_id"].to_numpy(), matrix(x["v"]), matrix(x["far"], np.float32), k)[0]
+        return search_block(q["vec_id"].to_numpy(), matrix(q["v"], np.int64), matrix(q["far"], np.float32), least, x["vec_id"].to_numpy(), matrix(x["v"], np.int64), matrix(x["far"], np.float32), k)[0]
 
     def at_home(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         """Each query with its best of one block, its k-th score there and the cells that may hold as good ones."""
         least, ids, scores = np.full(len(q), -np.inf), [[]] * len(q), [[]] * len(q)
         for i, s, found in search(q, x, least.copy()):
             ids[i], scores[i] = found, s.astype(np.int64)
-            least[i] = s[-1] if len(s) == k else -np.inf
+            # A little less, where a float can't hold the score.
+            least[i] = float(s[-1]) - abs(float(s[-1])) * 2.0**-52 if len(s) == k else -np.inf
         dim = q["dim"].iloc[0] if len(q) else None
         if dim in reach:
             cell, lo, hi = reach[dim]

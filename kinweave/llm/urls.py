@@ -1,6 +1,9 @@
 """URL filtering: fixed rules first, mined token combinations for the rest.
 
-DataFrame functions and Spark's FP-growth only.
+The labels are the urls that fixed rules judge. What such a rule tests itself implies its
+verdict by construction and says nothing of urls beyond its reach, so domains, the rules' own
+hosts and paths, and host labels that are seen under one rule's host only are in no mined
+rule. DataFrame functions and Spark's FP-growth only.
 """
 
 from __future__ import annotations
@@ -54,6 +57,30 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.filter(F.array_distinct(F.concat(*kinds)), lambda x: x.isNotNull() & ~x.endswith(":"))
 
 
+def telling_tokens(labelled: DataFrame, rules, min_support: float, min_rows: int = 20) -> list[str]:
+    """Tokens that a mined rule may hold; ``labelled`` has ``tokens`` and ``rule``.
+
+    They are frequent, so there are at most (tokens of a url) / ``min_support`` of them.
+    """
+    spark = labelled.sparkSession
+    n = labelled.count()
+    least = max(min_support * n, min_rows)
+    own = spark.createDataFrame([(h, p) for _, h, p in rules], "host string, path string").select(F.explode(tokens(F.lit(""), F.col("host"), F.col("path"))).alias("token")).distinct()
+    own = [r.token for r in own.collect()] + [f"label:{x}" for _, h, _ in rules for x in h.split(".")]
+    hosts = F.countDistinct(F.substring_index("rule", "/", 1))
+    seen = labelled.select("rule", F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"), hosts.alias("hosts"))
+    fine = ~F.col("token").rlike("^(top|site):") & ~F.col("token").isin(own) & (~F.col("token").startswith("label:") | (F.col("hosts") > 1))
+    return sorted(r.token for r in seen.filter((F.col("n") >= least) & fine).collect())
+
+
+def without_redundant(rules: DataFrame) -> DataFrame:
+    """Rules but for those of which some of the parts imply the same verdict as surely."""
+    index = rules.select(F.col("rule_id").alias("less"), F.col("verdict").alias("v"), F.col("confidence").alias("c"), F.size("parts").alias("need"), F.explode("parts").alias("token"))
+    own = rules.select("rule_id", "verdict", "confidence", F.size("parts").alias("size"), F.explode("parts").alias("token"))
+    met = own.join(index, "token").filter("v = verdict AND c >= confidence AND need < size").groupBy("rule_id", "less").agg(F.count("*").alias("met"), F.first("need").alias("need"))
+    return rules.join(met.filter("met = need").select("rule_id").distinct(), "rule_id", "left_anti")
+
+
 def mine_rules(labelled: DataFrame, min_support: float = 0.02, min_confidence: float = 0.9, min_rows: int = 20) -> DataFrame:
     """``rule_id, parts, verdict, confidence, support`` of token combinations that imply a verdict.
 
@@ -87,7 +114,7 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, default: str = "allow
     """All columns, ``host``, ``path``, ``rule`` and ``verdict`` (allow or block; columns of these names are replaced).
 
     Urls that a fixed rule fits take its verdict and are the labels; the others take the
-    verdict of the surest mined rule that fits, or ``default``. A null url has an empty host
+    verdict of the surest mined rule that fits, or ``default`` if none does or none is mined. A null url has an empty host
     and path, holds hardly a token and mostly takes the default. Matching runs on distinct
     token sets, so a url that is repeated a million times is matched once.
     """
@@ -97,10 +124,13 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, default: str = "allow
     judged = judged.withColumn(key, F.xxhash64(held))
     verdict = F.col(fixed)["verdict"]
     sets = stage.write(judged.groupBy(F.col(key).alias("url_key"), verdict.alias("verdict")).agg(F.first(held).alias("tokens"), F.count("*").alias("n")), "sets")
-    labelled = judged.filter(F.col(fixed).isNotNull()).select(F.col(held).alias("tokens"), verdict.alias("verdict"))
+    labelled = judged.filter(F.col(fixed).isNotNull()).select(F.col(held).alias("tokens"), verdict.alias("verdict"), F.col(fixed)["rule"].alias("rule"))
     size = sets.agg(F.count("verdict").alias("labelled"), F.count("*").alias("sets")).first()
-    if size.labelled:
-        found = match_rules(sets.filter("verdict IS NULL").select("url_key", "tokens").dropDuplicates(["url_key"]), stage.write(mine_rules(labelled, min_support, min_confidence), "rules"))
+    telling = telling_tokens(labelled, rules, min_support) if size.labelled else []
+    if telling:
+        labelled = labelled.withColumn("tokens", F.array_intersect("tokens", F.array(*map(F.lit, telling))))
+        mined_rules = stage.write(without_redundant(stage.write(mine_rules(labelled, min_support, min_confidence), "mined")), "rules")
+        found = match_rules(sets.filter("verdict IS NULL").select("url_key", "tokens").dropDuplicates(["url_key"]), mined_rules)
     else:
         found = sets.select("url_key", F.lit(None).cast("string").alias("mined")).limit(0)
     found = found.select(F.col("url_key").alias(key), F.col("mined").alias(mined))

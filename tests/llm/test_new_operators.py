@@ -215,3 +215,53 @@ def test_one_more_shard_moves_a_part(spark):
     a, b = ring.shard(df, 10), ring.shard(df, 11).withColumnRenamed("shard", "grown")
     moved = a.join(b, "doc_id").filter("shard != grown").count()
     assert moved < 2400  # of which 364 is the least; a plain remainder would move 3636
+
+
+@pytest.mark.parametrize("large,k", [(1 << 20, 5), (150_000_000, 5), (1 << 29, 3)])
+def test_top_k_of_large_components_is_exact(spark, large, k):
+    from kinweave.llm import topk
+
+    rnd = random.Random(7)
+    data = [(i, [rnd.randrange(-large, large) for _ in range(4)]) for i in range(60)] + [(100 + i, [large - 1, large - 2, large - 3, large - 4 - i % 2]) for i in range(6)]
+    df = spark.createDataFrame(data, "vec_id long, v array<long>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.exact_top_k(df, df.filter("vec_id % 20 = 0"), k).collect())
+    want = []
+    for i, q in data:
+        if i % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in data if j != i)[:k]
+            want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    assert got == sorted(want)
+
+
+def test_top_k_beyond_64_bits_says_so(spark):
+    from kinweave.llm import topk
+
+    with pytest.raises(Exception, match="don't fit 64 bits"):
+        topk.quantized(spark.createDataFrame([(0, [1e30])], "vec_id long, embedding array<double>")).collect()
+    far = spark.createDataFrame([(i, [1 << 40, 1 << 40]) for i in range(3)], "vec_id long, v array<long>")
+    with pytest.raises(Exception, match="may not fit 64 bits"):
+        topk.exact_top_k(far, far).collect()
+
+
+def test_quality_rules_keep_clashing_columns(spark):
+    from kinweave.llm import quality_rules
+
+    names = ["_key", "_gone", "_counts", "_host", "_text", "n_words", "kept", "rows"]
+    df = spark.createDataFrame([(1, "s", "word " * 30, *"abcdefgh"), (2, None, "x " * 200_000, *"abcdefgh"), (3, "s", None, *"abcdefgh")], f"doc_id long, source string, text string, {', '.join(f'{n} string' for n in names)}")
+    out = {r.doc_id: r for r in quality_rules.quality_rules(df).collect()}
+    assert all((r._key, r._gone, r._counts, r._host, r._text, r.rows) == ("a", "b", "c", "d", "e", "h") for r in out.values())
+    assert [(out[i].n_words, out[i].kept) for i in (1, 2, 3)] == [(30, False), (200_000, False), (0, False)]
+
+
+def test_mined_rules_do_not_restate_fixed_ones(spark):
+    from kinweave.llm import urls
+
+    fixed = [f"http://h{i % 7}.example.net/{'es' if i % 2 else 'fr'}/{i}" for i in range(100)] + [f"http://h{i % 7}.a.com/en/{i}" for i in range(100)]
+    fixed += [f"http://bad-{i}.example.com/en/{i}" for i in range(60)] + [f"http://only.example.net/es/{i}" for i in range(60)]
+    asked = ["http://h1.example.net/en/1", "http://only.example.net/en/1", "http://h1.example.org/en/1", "http://x.org/es/1", "http://bad-7.b.org/7", None]
+    out = {r.url: r.verdict for r in urls.judge(spark.createDataFrame([(u,) for u in fixed + asked], "url string")).collect()}
+    assert [out[u] for u in asked] == ["allow", "allow", "allow", "allow", "block", "allow"]
+    rules = spark.createDataFrame([(1, ["a"], "block", 0.9), (2, ["a", "b"], "block", 0.9), (3, ["a", "c"], "block", 0.95), (4, ["a", "b", "c"], "allow", 0.9), (5, ["a", "b", "c"], "block", 0.92)], "rule_id long, parts array<string>, verdict string, confidence double")
+    assert sorted(r.rule_id for r in urls.without_redundant(rules).collect()) == [1, 3, 4]
+    long = urls.judge(spark.createDataFrame([("http://a.net/es/" + "x" * 200_000,), ("http://a.net/es/1",)], "url string"))
+    assert {r.verdict for r in long.collect()} == {"block"}
