@@ -204,9 +204,9 @@ def append_query_sequence(spark, d):
     return I.append_query_sequence(view(spark, d, "lengths").select(F.col("seqid").alias("id"), "sequence_length", F.lit("FAMILY").alias("source")), "MKTAYIAKQRQ")
 
 
-@query("""WITH ids AS (SELECT accession AS id, seed50, seed90 FROM seeds UNION ALL SELECT 'C', NULL, NULL),
-keyed AS (SELECT id, CASE WHEN id IN (SELECT seed50 FROM seeds) THEN id ELSE seed50 END AS k50, CASE WHEN id IN (SELECT seed90 FROM seeds) THEN id ELSE seed90 END AS k90 FROM ids)
-SELECT i.id, coalesce(a.m, []) AS members50, coalesce(b.m, []) AS members90, coalesce(a.s, []) AS seeds90 FROM keyed i
+@query("""SELECT i.id, coalesce(a.m, []) AS members50, coalesce(b.m, []) AS members90, coalesce(a.s, []) AS seeds90 FROM (
+  SELECT id, CASE WHEN id IN (SELECT seed50 FROM seeds) THEN id ELSE seed50 END AS k50, CASE WHEN id IN (SELECT seed90 FROM seeds) THEN id ELSE seed90 END AS k90
+  FROM (SELECT accession AS id, seed50, seed90 FROM seeds UNION ALL SELECT 'C', NULL, NULL)) i
 LEFT JOIN (SELECT seed50, list_sort(list(DISTINCT accession)) AS m, list_sort(list(DISTINCT seed90)) AS s FROM seeds GROUP BY 1) a ON a.seed50 = k50
 LEFT JOIN (SELECT seed90, list_sort(list(DISTINCT accession)) AS m FROM seeds GROUP BY 1) b ON b.seed90 = k90""")
 def seed_members(spark, d):
