@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.functions.ranking import dense_index
+from kinweave.functions.staging import Staging
 from kinweave.operators.stats import cut2
 
 #: Largest window to either side.
@@ -85,15 +86,29 @@ def query_status(queries: DataFrame, chosen: DataFrame, neighbors: DataFrame, si
     return queries.select(F.col("accession").alias("query")).distinct().join(at, "query", "left").join(some, "query", "left").select("query", status.alias("status"), "edge")
 
 
+def _of_families(rows: DataFrame) -> DataFrame:
+    """:func:`family_neighbors` of written rows ``cluster_num, family, query, away``.
+
+    Queries are counted once for each family before they meet the family's row, and the median runs
+    over counts of distances, of which a window has few; a family of all clusters stays spread.
+    """
+    keys = ["cluster_num", "family"]
+    queries = rows.select(*keys, "query").distinct().groupBy(*keys).agg(F.count("*").alias("num_queries"))
+    away = rows.groupBy(*keys, "away").agg(F.count("*").alias("n"))
+    out = away.groupBy(*keys).agg(F.sum("n").alias("num_neighbors"), F.sum(F.col("n") * F.col("away")).alias("_s"), F.percentile("away", F.lit(0.5), F.col("n")).alias("_m"))
+    out = out.join(queries, keys)
+    return out.select(*keys, "num_queries", "num_neighbors", cut2(F.col("_s"), F.col("num_neighbors")).alias("average_distance"), (F.floor(F.col("_m") * 100) / 100).alias("median_distance"))
+
+
 def family_neighbors(clusters: DataFrame, neighbors: DataFrame) -> DataFrame:
     """Per cluster and family: queries with it, neighbours, mean and median distance (cut to two decimals).
 
-    ``clusters``: ``cluster_num, query``; ``neighbors``: with ``family``. A window has few distinct
-    distances, so the median's counts stay small however large a cluster is.
+    ``clusters``: ``cluster_num, query``; ``neighbors``: with ``family`` (not null; ``none`` where there is none).
+    Neighbours are evaluated once and written to the shared folder.
     """
-    rows = clusters.join(neighbors, "query").withColumn("away", F.abs("distance"))
-    out = rows.groupBy("cluster_num", "family").agg(F.countDistinct("query").alias("num_queries"), F.count("*").alias("num_neighbors"), F.sum("away").alias("_s"), F.median("away").alias("_m"))
-    return out.select("cluster_num", "family", "num_queries", "num_neighbors", cut2(F.col("_s"), F.col("num_neighbors")).alias("average_distance"), (F.floor(F.col("_m") * 100) / 100).alias("median_distance"))
+    stage = Staging(neighbors.sparkSession, "families")
+    near = neighbors.select("query", "family", F.abs("distance").alias("away"))
+    return _of_families(stage.write(clusters.join(near, "query").select("cluster_num", "family", "query", "away"), "rows"))
 
 
 def family_arrangements(clusters: DataFrame, neighbors: DataFrame) -> DataFrame:
@@ -112,9 +127,14 @@ def cooccurrence(clusters: DataFrame, neighbors: DataFrame, threshold: float = 0
     """Share of a cluster's queries with neighbours that have the family nearby, cut to two decimals.
 
     Clusters with fewer than two queries go; so do shares below the threshold (``strict``: at it).
+    Neighbours are evaluated once and written to the shared folder.
     """
-    den = cluster_denominators(clusters, neighbors).filter("num_seqs >= 2")
-    out = family_neighbors(clusters, neighbors).join(den, "cluster_num").withColumn("cooccurrence", cut2(F.col("num_queries"), F.col("num_with_neighbors")))
+    stage = Staging(neighbors.sparkSession, "cooccurrence")
+    near = neighbors.select("query", "family", F.abs("distance").alias("away"))
+    rows = stage.write(clusters.select("cluster_num", "query").join(near, "query", "left").select("cluster_num", "family", "query", "away"), "rows")
+    some = F.when(F.col("away").isNotNull(), F.col("query"))
+    den = rows.groupBy("cluster_num").agg(F.countDistinct("query").alias("num_seqs"), F.countDistinct(some).alias("num_with_neighbors")).filter("num_seqs >= 2")
+    out = _of_families(rows.filter("away IS NOT NULL")).join(den, "cluster_num").withColumn("cooccurrence", cut2(F.col("num_queries"), F.col("num_with_neighbors")))
     return out.filter(F.col("cooccurrence") > threshold if strict else F.col("cooccurrence") >= threshold)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.functions.selection import quantiles
+
 
 def cut2(numerator: Column, denominator: Column) -> Column:
     """A ratio cut (not rounded) to two decimals, from integers; 0 if the denominator is."""
@@ -15,16 +17,25 @@ def cut2(numerator: Column, denominator: Column) -> Column:
 def score_statistics(edges: DataFrame, score: str = "alignment_score", approximate: bool = False) -> DataFrame:
     """Edge count and five-number summaries of identity and alignment length for each score.
 
-    Exact quartiles hold the distinct values of a group with their counts; ``approximate``
-    bounds that for groups with very many distinct values.
+    Quartiles are exact and interpolated: values are counted, put in order over all tasks
+    and picked by rank, so a group of any number of distinct values stays spread.
+    ``approximate`` sketches them in one pass instead. Null values don't count in the
+    summaries, whose columns are null for a group without any; null scores are a group.
     """
-    def five(c: str, p: str) -> list[Column]:
-        q = (F.percentile_approx(c, [0.25, 0.5, 0.75]) if approximate else F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).alias(f"{p}_q")
-        return [F.min(c).cast("double").alias(f"{p}_whislo"), q, F.max(c).cast("double").alias(f"{p}_whishi")]
-
-    out = edges.groupBy(score).agg(F.count("*").alias("edge_count"), *five("pident", "pident"), *five("alignment_length", "al"))
-    quart = lambda p: [F.col(f"{p}_q")[i].cast("double").alias(f"{p}_{n}") for i, n in enumerate(("q1", "med", "q3"))]
-    return out.select(score, "edge_count", "pident_whislo", *quart("pident"), "pident_whishi", "al_whislo", *quart("al"), "al_whishi")
+    names = {"pident": "pident", "alignment_length": "al"}
+    ends = [f(c).cast("double").alias(f"{p}_{n}") for c, p in names.items() for f, n in ((F.min, "whislo"), (F.max, "whishi"))]
+    order = [f"{p}_{n}" for p in names.values() for n in ("whislo", "q1", "med", "q3", "whishi")]
+    if approximate:
+        sketches = [F.percentile_approx(c, [0.25, 0.5, 0.75]).alias(f"{p}_q") for c, p in names.items()]
+        out = edges.groupBy(score).agg(F.count("*").alias("edge_count"), *ends, *sketches)
+        quart = {f"{p}_{n}": F.col(f"{p}_q")[i].cast("double") for p in names.values() for i, n in enumerate(("q1", "med", "q3"))}
+        return out.withColumns(quart).select(score, "edge_count", *order)
+    # One row for each score: joins of these are small.
+    out = edges.groupBy(score).agg(F.count("*").alias("edge_count"), *ends)
+    for c, p in names.items():
+        picked = quantiles(edges, [score], c, {f"{p}_q1": 0.25, f"{p}_med": 0.5, f"{p}_q3": 0.75}).withColumnRenamed(score, "_score")
+        out = out.join(picked, F.col(score).eqNullSafe(F.col("_score")), "left").drop("_score")
+    return out.select(score, "edge_count", *order)
 
 
 def cumulative_edge_counts(edges: DataFrame, score: str = "alignment_score") -> DataFrame:
@@ -177,30 +188,45 @@ def cluster_centers(members: DataFrame, degrees: DataFrame) -> DataFrame:
     return known.groupBy("cluster_num").agg(best).select("cluster_num", F.col("x.node").alias("center"), (-F.col("x.d")).alias("degree"))
 
 
+def _distinct_in_tree(rows: DataFrame, value: str, name: str, additive: bool) -> DataFrame:
+    """``_path, name``: numbers at nodes whose sums over subtrees are counts of distinct values.
+
+    A value counts once at each of its lineages. In order of visit, it counts once too often
+    at the lowest common ancestor of each two neighbours, so one is taken off there.
+    """
+    held = rows.filter(F.col(value).isNotNull()).select("_path", F.col(value).alias("_v")).distinct()
+    ones = held.select("_path", F.lit(1).cast("long").alias(name))
+    if additive:
+        return ones
+    pairs = held.withColumn("_before", F.lag("_path").over(Window.partitionBy("_v").orderBy("_path"))).filter("_before IS NOT NULL")
+    same = F.zip_with("_path", "_before", lambda a, b: a == b)
+    common = F.coalesce(F.array_position(same, False), F.size("_path") + 1) - 1
+    return ones.unionByName(pairs.select(F.slice("_path", F.lit(1), common.cast("int")).alias("_path"), F.lit(-1).cast("long").alias(name)))
+
+
 def taxonomy_tree(rows: DataFrame, ranks: list[str], accession: str = "accession", species: str | None = None, seeds: tuple[str, ...] = (), additive: bool = False) -> DataFrame:
     """Every node of the rank tree: path columns, depth, sequences, species and distinct seeds.
 
-    A missing rank is ``None``; rows without any rank go; each accession counts once. The
-    rollup runs on counts per lineage, so its copies of rows don't grow with the sequences;
-    distinct seeds are counted on the distinct (lineage, seed) rows. With ``additive``, seeds are
-    distinct within each full lineage only and inner nodes add up their children, so that a
+    A missing rank is ``None``; rows without any rank go; each accession counts once, with the
+    first of its lineages if it has several. Null seeds don't count. Rows are summed to one for each node before they
+    are copied to its ancestors, so copies grow with the tree only. With ``additive``, seeds
+    are distinct within each full lineage only and inner nodes add up their children, so that a
     seed under two children counts twice.
     """
     some = F.coalesce(*ranks).isNotNull()
-    species = species or ranks[-1]
-    rows = rows.filter(some).select(*[F.coalesce(F.col(r).cast("string"), F.lit("None")).alias(r) for r in ranks], F.coalesce(F.col(species).cast("string"), F.lit("None")).alias("_sp"), accession, *seeds).dropDuplicates([accession])
-    depth = sum((F.lit(1) - F.grouping(r) for r in ranks), F.lit(0)).cast("int").alias("depth")
-    lineages = rows.groupBy(*ranks, "_sp").agg(F.count("*").alias("_n"))
-    tree = lineages.rollup(*ranks).agg(depth, F.sum("_n").alias("num_sequences"), F.countDistinct("_sp").alias("num_species"))
-    for s in seeds:
-        distinct = rows.select(*ranks, s).distinct()
-        counts = distinct.rollup(*ranks).agg(depth, (F.count(s) if additive else F.countDistinct(s)).alias(f"num_{s}"))
-        same = [tree[r].eqNullSafe(counts[r]) for r in ranks] + [tree["depth"] == counts["depth"]]
-        on = same[0]
-        for c in same[1:]:
-            on = on & c
-        tree = tree.join(counts, on, "left").select(*[tree[c] for c in tree.columns], counts[f"num_{s}"])
-    return tree
+    word = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("None"))
+    one = F.min(F.struct(F.array(*[word(r) for r in ranks]).alias("_path"), word(species or ranks[-1]).alias("_sp"), *seeds)).alias("x")
+    rows = rows.filter(some).groupBy(accession).agg(one).select("x.*")
+    counts = {"num_sequences": rows.groupBy("_path").agg(F.count("*").alias("num_sequences")), "num_species": _distinct_in_tree(rows, "_sp", "num_species", False)}
+    counts |= {f"num_{s}": _distinct_in_tree(rows, s, f"num_{s}", additive) for s in seeds}
+    parts = [df.groupBy("_path").agg(*[(F.sum(name) if c == name else F.lit(0).cast("long")).alias(c) for c in counts]) for name, df in counts.items()]
+    every = parts[0]
+    for df in parts[1:]:
+        every = every.unionByName(df)
+    sums = [F.sum(c).alias(c) for c in counts]
+    nodes = every.groupBy("_path").agg(*sums).select(F.explode(F.transform(F.sequence(F.lit(0), F.size("_path")), lambda i: F.slice("_path", F.lit(1), i))).alias("_path"), *counts)
+    tree = nodes.groupBy("_path").agg(*sums)
+    return tree.select(*[F.get("_path", F.lit(i)).alias(r) for i, r in enumerate(ranks)], F.size("_path").alias("depth"), *counts)
 
 
 def family_sizes(members: DataFrame, seeds: DataFrame | None = None, clans: DataFrame | None = None, seed_in_family: bool = False) -> DataFrame:

@@ -283,8 +283,13 @@ def _components(spark, d):
     return connected_components(view(spark, d, "net"), "qseqid", "sseqid", view(spark, d, "netnodes"))
 
 
+def _many_components(spark, d):
+    """Customers with their orders, copies of documents and thousands of nodes without an edge."""
+    return connected_components(view(spark, d, "shop"), "qseqid", "sseqid", view(spark, d, "shopnodes"))
+
+
 def _sized(spark, d):
-    comps = Staging(spark, "network").write(_components(spark, d), "components")
+    comps = Staging(spark, "network").write(_many_components(spark, d), "components")
     weights = comps.select("node", (F.substr("node", F.lit(2)).cast("long") % 3 + 1).alias("node_size"))
     return comps, C.component_sizes(comps, weights)
 
@@ -299,6 +304,11 @@ def connected_components_(spark, d):
     return _components(spark, d)
 
 
+@query("SELECT node, component FROM starcomps")
+def connected_components_many(spark, d):
+    return _many_components(spark, d)
+
+
 QUERIES["connected_components"] = QUERIES.pop("connected_components_")
 ORACLES["connected_components"] = ORACLES.pop("connected_components_")
 
@@ -313,7 +323,7 @@ def number_clusters(spark, d):
     return _numbered(spark, d)[2]
 
 
-@query("SELECT node AS node_label, cluster_num_by_seq, cluster_num_by_node FROM comps JOIN numbered USING (component)")
+@query("SELECT node AS node_label, cluster_num_by_seq, cluster_num_by_node FROM starcomps JOIN numbered USING (component)")
 def cluster_map(spark, d):
     comps, _, numbered = _numbered(spark, d)
     return C.cluster_map(comps, numbered)
@@ -324,14 +334,14 @@ def cluster_info(spark, d):
     return C.cluster_info(_numbered(spark, d)[2])
 
 
-@query("SELECT node FROM comps JOIN sizes USING (component) WHERE num_seqs <= 1")
+@query("SELECT node FROM starcomps JOIN sizes USING (component) WHERE num_seqs <= 1")
 def singletons(spark, d):
     return C.singletons(*_sized(spark, d))
 
 
 @query("SELECT count(*) FILTER (num_nodes > 1) AS num_clusters, count(*) FILTER (num_nodes <= 1) AS num_singletons, CAST(sum(num_nodes) AS BIGINT) AS num_nodes, CAST(sum(num_nodes) AS BIGINT) AS num_ids FROM sizes")
 def cluster_stats(spark, d):
-    return S.cluster_stats(_components(spark, d))
+    return S.cluster_stats(_many_components(spark, d))
 
 
 @query("SELECT a.i AS source_index, b.i AS target_index FROM net JOIN (SELECT node, row_number() OVER (ORDER BY node) - 1 AS i FROM netnodes) a ON a.node = qseqid JOIN (SELECT node, row_number() OVER (ORDER BY node) - 1 AS i FROM netnodes) b ON b.node = sseqid")
@@ -374,7 +384,7 @@ def cluster_colors(spark, d):
 
 @query("""SELECT node, cluster_num_by_seq, cluster_num_by_node, CASE WHEN cluster_num_by_seq IS NOT NULL THEN coalesce(a.color, '#6495ED') END AS seq_color, CASE WHEN cluster_num_by_node IS NOT NULL THEN coalesce(b.color, '#6495ED') END AS node_color,
 CASE WHEN s.num_seqs > 1 THEN s.num_seqs END AS num_seqs, CASE WHEN s.num_seqs > 1 THEN s.num_nodes END AS num_nodes, CASE WHEN s.num_seqs <= 1 THEN row_number() OVER (PARTITION BY s.num_seqs <= 1 ORDER BY node) END AS singleton_num
-FROM comps JOIN sizes s USING (component) LEFT JOIN numbered n USING (component) LEFT JOIN colors a ON a.num = cluster_num_by_seq LEFT JOIN colors b ON b.num = cluster_num_by_node""")
+FROM starcomps JOIN sizes s USING (component) LEFT JOIN numbered n USING (component) LEFT JOIN colors a ON a.num = cluster_num_by_seq LEFT JOIN colors b ON b.num = cluster_num_by_node""")
 def color_network(spark, d):
     return C.color_network(*_numbered(spark, d), view(spark, d, "colors"))
 

@@ -122,7 +122,7 @@ def neighbor_details(spark, d):
 
 @query("SELECT n.query, n.neighbor, n.family, c.cluster_num, color, distance, query_direction, direction FROM clustered c JOIN neighbors n USING (query) JOIN cooc o ON o.cluster_num = c.cluster_num AND o.family = n.family LEFT JOIN colors ON colors.num = c.cluster_num")
 def neighbor_details_above_threshold(spark, d):
-    nb = _neighbors(spark, d)
+    nb = Staging(spark, "neighbors").write(_neighbors(spark, d), "neighbors")
     return N.neighbor_details(_clusters(spark, d), nb, view(spark, d, "colors").select(F.col("num").alias("cluster_num"), "color"), N.cooccurrence(_clusters(spark, d), nb, 0.3), split=True)
 
 

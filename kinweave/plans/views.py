@@ -15,6 +15,8 @@ VIEWS = {
     "edges": "SELECT b.qseqid, b.sseqid, b.pident, b.alignment_length, b.bitscore, q.sequence_length AS query_length, s.sequence_length AS subject_length, CAST(floor(-log10(CAST(q.sequence_length AS DOUBLE) * CAST(s.sequence_length AS DOUBLE)) + log10(2) * b.bitscore) AS INT) AS alignment_score FROM best b LEFT JOIN lengths q ON q.seqid = b.qseqid LEFT JOIN lengths s ON s.seqid = b.sseqid",
     "net": "SELECT * FROM edges",
     "netnodes": "SELECT DISTINCT concat('N', p_partkey) AS node FROM part",
+    "shop": "SELECT concat('O', o_orderkey) AS qseqid, concat('C', o_custkey) AS sseqid FROM orders UNION ALL SELECT concat('D', doc_id) AS qseqid, concat('D', min(doc_id) OVER (PARTITION BY md5(text))) AS sseqid FROM documents",
+    "shopnodes": "SELECT concat('O', o_orderkey) AS node FROM orders UNION ALL SELECT concat('C', c_custkey) AS node FROM customer UNION ALL SELECT concat('D', doc_id) AS node FROM documents",
     "taxonomy": "SELECT n_nationkey AS taxonomy_id, r_name AS domain, n_name AS kingdom, CASE WHEN n_nationkey % 5 = 0 THEN 'Ascomycota' ELSE concat('Phylum', n_nationkey % 3) END AS phylum, concat('Species', n_nationkey % 4) AS species FROM nation JOIN region ON r_regionkey = n_regionkey",
     "people": "SELECT concat('C', c_custkey) AS accession, c_nationkey AS taxonomy_id, c_mktsegment AS segment, c_acctbal > 5000 AS is_reviewed, c_acctbal < 0 AS is_fragment, c_custkey % 2 = 0 AS gdna, concat(c_name, '; ') AS description FROM customer",
     "seeds": "SELECT concat('C', c_custkey) AS accession, concat('C', min(c_custkey) OVER (PARTITION BY c_nationkey)) AS seed50, concat('C', min(c_custkey) OVER (PARTITION BY c_nationkey, c_mktsegment)) AS seed90 FROM customer",
@@ -33,7 +35,9 @@ ORACLE_VIEWS = {
     **{f"label{i}": f"SELECT b AS node, min(label) AS label FROM label{i - 1} JOIN links ON a = node GROUP BY b" for i in range(1, 9)},
     "netcomp": "SELECT node, label AS component FROM label8",
     "comps": "SELECT node, component FROM netcomp UNION ALL SELECT node, node FROM netnodes WHERE node NOT IN (SELECT node FROM netcomp)",
-    "sizes": "SELECT component, count(*) AS num_nodes, CAST(sum(CAST(substr(node, 2) AS BIGINT) % 3 + 1) AS BIGINT) AS num_seqs FROM comps GROUP BY component",
+    "stars": "SELECT qseqid AS node, sseqid AS center FROM shop UNION SELECT sseqid, sseqid FROM shop UNION SELECT node, node FROM shopnodes WHERE node NOT IN (SELECT qseqid FROM shop) AND node NOT IN (SELECT sseqid FROM shop)",
+    "starcomps": "SELECT node, min(node) OVER (PARTITION BY center) AS component FROM stars",
+    "sizes": "SELECT component, count(*) AS num_nodes, CAST(sum(CAST(substr(node, 2) AS BIGINT) % 3 + 1) AS BIGINT) AS num_seqs FROM starcomps GROUP BY component",
     "numbered": "SELECT component, num_nodes, num_seqs, row_number() OVER (ORDER BY num_seqs DESC, component) AS cluster_num_by_seq, row_number() OVER (ORDER BY num_nodes DESC, component) AS cluster_num_by_node FROM sizes WHERE num_seqs > 1",
     "picked": "SELECT *, row_number() OVER (PARTITION BY accession ORDER BY linear, CASE WHEN NOT linear THEN -max_num END, CASE WHEN linear THEN num > 10 END DESC, CASE WHEN linear THEN num < max_num - 10 END DESC, CASE WHEN linear THEN abs(num / max_num - 0.5) END, genome, num) AS r FROM (SELECT g.*, max(num) OVER (PARTITION BY genome) AS max_num, last_value(stop) OVER (PARTITION BY genome ORDER BY num ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS max_stop FROM genes g) WHERE accession IN (SELECT accession FROM asked)",
     "chosen": "SELECT * EXCLUDE (r) FROM picked WHERE r = 1",
