@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,9 +130,10 @@ def blast_hit_table(hits: DataFrame, metadata: DataFrame, s: str = "sseqid") ->
 
 
 def _shingles(sequence: str, shingle: int) -> Column:
-    """Sorted distinct hashes of the word shingles of a text; none for null."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(sequence), F.lit(""))), r"\s+"), lambda w: w != "")
-    return F.transform(F.array(words), lambda w: F.when(F.size(w) >= shingle, F.array_sort(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (shingle - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, shingle)))))).otherwise(F.array().cast("array<bigint>")))[0]
+    """Sorted distinct hashes of the word shingles of a text; none for null. Each word is hashed once."""
+    words = F.transform(F.filter(F.split(F.lower(F.coalesce(F.col(sequence), F.lit(""))), r"\s+"), lambda w: w != ""), lambda w: F.xxhash64(w))
+    runs = lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - shingle, F.lit(0))), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(shingle)]))
+    return F.transform(F.array(words), lambda w: F.when(F.size(w) >= shingle, F.array_sort(F.array_distinct(runs(w)))).otherwise(F.array().cast("array<bigint>")))[0]
 
 
 def _first_rows(df: DataFrame, n: int, group: str, *order: Column | str) -> DataFrame:
@@ -148,6 +151,9 @@ def _shared_shingles(held: DataFrame, k: int, max_held: int, min_shared: int, st
     grams = held.groupBy("g").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("c")).alias("x")).filter("n > 1")
     bundles = stage.write(grams.groupBy("n", "x").agg(F.min("g").alias("g"), F.count("*").alias("w")).drop("x"), "bundles")
     posts = stage.write(held.join(bundles, "g"), "posts")
+    # No pair shares more than either of its ends shares with anyone, so who shares too little goes before pairs are made.
+    fine = posts.groupBy("c").agg(F.sum("w").alias("most")).filter(F.col("most") >= min_shared).select("c")
+    posts = stage.write(posts.join(fine, "c"), "posts-fine")
     rare, hot = posts.filter(F.col("n") <= max_held), posts.filter(F.col("n") > max_held)
     x, y = rare.select("g", "w", F.col("c").alias("a")), rare.select("g", F.col("c").alias("b"))
     pairs = x.join(y, "g").filter("a < b").groupBy("a", "b").agg(F.sum("w").alias("shared"))
@@ -172,17 +178,30 @@ def _shared_shingles(held: DataFrame, k: int, max_held: int, min_shared: int, st
     return met.unionByName(alike).groupBy("a", "b").agg(F.max("shared").alias("shared"))
 
 
-def all_by_all_similarity(sequences: DataFrame, k: int = 250, shingle: int = 5, max_held: int = 1000, min_shared: int = 3, seq_id: str = "seq_id", sequence: str = "sequence") -> DataFrame:
+def least_shared(min_score: float, min_shared: int = 1) -> int:
+    """The number of shared shingles from which the score ``10 * log2(1 + shared)`` is ``min_score`` at least."""
+    n = max(min_shared, 1)
+    while 10 * math.log2(1 + n) < min_score:
+        # Close from below, then one by one, so that rounding doesn't matter.
+        n = max(n + 1, int(2 ** (min_score / 10)) - 3)
+    return n
+
+
+def all_by_all_similarity(sequences: DataFrame, k: int = 250, shingle: int = 5, max_held: int = 1000, min_shared: int = 3, min_score: float = 0.0, seq_id: str = "seq_id", sequence: str = "sequence") -> DataFrame:
     """All-against-all hits of texts by shared word shingles.
 
     Columns as hits: identity is the Jaccard similarity in percent, alignment length the number
-    of shared shingles, bit score ``10 * log2(1 + shared)``. All shingles count, however many
-    sequences hold them; ``max_held`` only chooses the way in which they are counted. Texts
-    with the same shingles are one class until each class has its best ``k`` others. Ids are unique.
+    of shared shingles, bit score ``10 * log2(1 + shared)``. Hits below ``min_shared`` or
+    ``min_score`` are left out; sequences whose number of shingles, or of shingles that
+    others hold too, keeps every score of theirs below the floor go before any pair is made. All
+    shingles count, however many sequences hold them; ``max_held`` only chooses the way in
+    which they are counted. Texts with the same shingles are one class until each class has its
+    best ``k`` others. Ids are unique; null ids go, null and short texts have no hits.
     """
+    min_shared = least_shared(min_score, min_shared)
     stage = Staging(sequences.sparkSession, "similarity")
     texts = sequences.select(F.col(seq_id).alias("id"), F.col(sequence).alias("_text")).filter("id IS NOT NULL")
-    keyed = texts.select("id", _shingles("_text", shingle).alias("s")).select("id", F.size("s").alias("n"), F.xxhash64("s").alias("h"), F.xxhash64(F.reverse("s")).alias("h2")).filter(F.col("n") > 0)
+    keyed = texts.select("id", _shingles("_text", shingle).alias("s")).select("id", F.size("s").alias("n"), F.xxhash64("s").alias("h"), F.xxhash64(F.reverse("s")).alias("h2")).filter(F.col("n") >= min_shared)
     keyed = stage.write(keyed, "keys")
     reps = keyed.groupBy("h", "h2", "n").agg(F.min("id").alias("c"), F.count("*").alias("members"))
     members = stage.write(keyed.join(reps, ["h", "h2", "n"]).select("c", "id", "n", "members"), "members")
@@ -190,7 +209,7 @@ def all_by_all_similarity(sequences: DataFrame, k: int = 250, shingle: int = 5,
     held = stage.write(texts.join(classes.select(F.col("c").alias("id")), "id", "left_semi").select(F.col("id").alias("c"), F.explode(_shingles("_text", shingle)).alias("g")), "shingles")
 
     others = _first_rows(_shared_shingles(held, k, max_held, min_shared, stage), k, "a", F.desc("shared"), "b")
-    own = classes.filter((F.col("members") > 1) & (F.col("n") >= min_shared)).select(F.col("c").alias("a"), F.col("c").alias("b"), F.col("n").alias("shared"))
+    own = classes.filter(F.col("members") > 1).select(F.col("c").alias("a"), F.col("c").alias("b"), F.col("n").alias("shared"))
     # A sequence meets at most k others, or k + 1 with itself, so of a class the first k + 1 do.
     heads = _first_rows(members.select(F.col("c").alias("b"), F.col("id").alias("s"), F.col("n").alias("ns")), k + 1, "b", "s")
     listed = _first_rows(others.unionByName(own).join(heads, "b"), k + 1, "a", F.desc("shared"), "s")

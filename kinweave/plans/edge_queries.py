@@ -121,7 +121,7 @@ def blast_hit_table(spark, d):
     return E.blast_hit_table(view(spark, d, "hits").withColumn("evalue", 1000 - F.col("bitscore")), meta, "qseqid")
 
 
-@query(r"""WITH words AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: w <> '') AS w FROM documents),
+_SIMILAR = r"""WITH words AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: w <> '') AS w FROM documents),
 grams AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))) AS g FROM words),
 often AS (SELECT g FROM grams GROUP BY g HAVING count(*) >= 2), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 rare AS (SELECT * FROM grams SEMI JOIN often USING (g)),
@@ -129,11 +129,20 @@ shared AS (SELECT x.doc_id AS q, y.doc_id AS s, count(*) AS k FROM rare x JOIN r
 both AS (SELECT q, s, k FROM shared UNION ALL SELECT s, q, k FROM shared),
 ranked AS (SELECT q AS qseqid, s AS sseqid, 100.0 * k / (a.n + b.n - k) AS pident, CAST(k AS INT) AS alignment_length, 10 * log2(1 + k) AS bitscore FROM both JOIN sizes a ON a.doc_id = q JOIN sizes b ON b.doc_id = s),
 top AS (SELECT *, row_number() OVER (PARTITION BY qseqid ORDER BY bitscore DESC, sseqid) AS r FROM ranked)
-SELECT qseqid, sseqid, round(pident, 6) AS pident, alignment_length, round(bitscore, 6) AS bitscore FROM top WHERE r <= 250""".replace("both AS", "mirrored AS").replace("FROM both", "FROM mirrored"))
+SELECT qseqid, sseqid, round(pident, 6) AS pident, alignment_length, round(bitscore, 6) AS bitscore FROM top WHERE r <= 250""".replace("both AS", "mirrored AS").replace("FROM both", "FROM mirrored")
+
+
+@query(_SIMILAR)
 def all_by_all_similarity(spark, d):
     return doubles(E.all_by_all_similarity(table(spark, d, "documents").select("doc_id", "text"), seq_id="doc_id", sequence="text"))
 
 
+@query(_SIMILAR.replace("count(*) >= 3)", "10 * log2(1 + count(*)) >= 50)"))
+def all_by_all_similarity_floor(spark, d):
+    """Hits of a score of 50 or more: 31 shared shingles."""
+    return doubles(E.all_by_all_similarity(table(spark, d, "documents").select("doc_id", "text"), min_score=50, seq_id="doc_id", sequence="text"))
+
+
 # --- statistics -------------------------------------------------------------------------
 
 _FIVE = "round(min({0}), 6) AS {1}_whislo, round(quantile_cont({0}, 0.25), 6) AS {1}_q1, round(quantile_cont({0}, 0.5), 6) AS {1}_med, round(quantile_cont({0}, 0.75), 6) AS {1}_q3, round(max({0}), 6) AS {1}_whishi"
