@@ -21,11 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.staging import Staging
-from kinweave.llm.common import free, let, others
+from kinweave.llm.common import free, let, others, tasks
 
 #: Distinct lines of a list that give all their pairs.
 SMALL = 64
 PARTS = 32
+#: A line is dealt to all tasks if its documents are over this share of a task's, and over so many.
+HOT_SHARE, HOT_ROWS = 0.25, 100
 #: Bits of the filter that keeps texts of unrelated lines out; it only saves work.
 FILTER_BITS = 22
 #: Binary steps of a common prefix: lines up to 2**24 characters that agree are compared whole.
@@ -184,7 +186,7 @@ def removed_lines(docs: DataFrame, tau: int = 1, min_chars: int = 32) -> DataFra
     every = all_.withColumn("n", F.length("line")).withColumn("h", F.xxhash64("line"))
     lines = every.filter(F.col("n") >= min_chars)
     placed = stage.write(every.groupBy("h", "doc_key", "rank").agg(F.min("pos").alias("first"), F.collect_list("pos").alias("places")), "places")
-    firsts = placed.groupBy("h").agg(F.min("rank").alias("rank"), F.count("*").alias("docs"))
+    firsts = stage.write(placed.groupBy("h").agg(F.min("rank").alias("rank"), F.count("*").alias("docs")), "firsts")
 
     keys = lines.select("h", F.explode(segment_keys(F.col("line"), F.col("n"), tau)).alias("k")).select("h", "k.key", "k.probe").groupBy("key", "h").agg(F.min("probe").alias("probe"))
     keys = stage.write(keys, "keys")
@@ -218,8 +220,15 @@ def removed_lines(docs: DataFrame, tau: int = 1, min_chars: int = 32) -> DataFra
     beaten.append(linked.select(F.when(F.col("a_at") < F.col("b_at"), F.col("b")).otherwise(F.col("a")).alias("h")))
     lost = stage.write(reduce(DataFrame.unionByName, beaten).distinct().withColumn("lost", F.lit(True)), "lost")
 
-    known = firsts.filter("docs > 1").select("h", F.col("rank").alias("best"))
-    judged = placed.join(known, "h", "left").join(lost, "h", "left")
+    # Lines that hold over a share of a task's places, at most tasks over that share, are dealt to all tasks.
+    parts = tasks(placed)
+    total = firsts.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("n")).first().n
+    hot = F.broadcast(firsts.filter(F.col("docs") > max(HOT_ROWS, int(total / parts * HOT_SHARE))).select("h", F.lit(True).alias("hot")))
+    known = firsts.filter("docs > 1").select("h", F.col("rank").alias("best")).join(lost, "h", "full_outer").join(hot, "h", "left")
+    copies = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    known = known.select("h", "best", "lost", F.explode(copies).alias("part"))
+    dealt = placed.join(hot, "h", "left").withColumn("part", F.when(F.col("hot"), F.pmod(F.col("doc_key"), F.lit(parts)).cast("int")).otherwise(0))
+    judged = dealt.join(known, ["h", "part"], "left")
     gone = F.when(F.col("lost").isNotNull() | (F.col("rank") != F.coalesce("best", "rank")), F.col("places")).otherwise(F.filter("places", lambda p: p != F.col("first")))
     return judged.select("doc_key", gone.alias("gone")).filter(F.size("gone") > 0).groupBy("doc_key").agg(F.flatten(F.collect_list("gone")).alias("gone"))
 

@@ -20,8 +20,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.functions.ranking import dense_index
 from kinweave.functions.staging import Staging
-from kinweave.llm.common import free, n_words
+from kinweave.llm.common import free, let, n_words
 
 #: Documents of a chunk; a source's chunks shrink by this at each level.
 CHUNK = 64
@@ -32,29 +33,33 @@ SMALL_TABLE = 100_000
 MOST = 3
 #: Documents of each doubling of the size that may settle what is left over.
 CHOICES = 4
+#: Pairs of documents of a source that may trade places to settle the rest.
+SWAPS = 3
+#: Times that all sources are looked at again.
+PASSES = 2
 
 
-def source_targets(sizes: DataFrame, most: int = MOST) -> DataFrame:
+def source_targets(sizes: DataFrame, stage: Staging, most: int = MOST) -> DataFrame:
     """``source, source_size, n, target`` from ``source, size`` rows.
 
     Sources in order of code points, null last, weigh 1, 2, 3, 1, 2, 3, ... and share the total
     of all sizes; none gets over ``most`` times its size, and what it would get beyond goes
-    to the others by weight. Sources that reach their limit are those with the smallest
-    limit / weight, so one pass over the sources in that order settles the shares.
+    to the others by weight, again and again until none is above. Each round is one sum
+    over the table of sources, which is numbered by ranges, so there may be many of them.
     """
-    # One row for each source from here on.
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
-    per = per.withColumn("weight", (rank - 1) % 3 + 1).withColumn("cap", (F.col("source_size") * most).cast("double"))
-    order = Window.orderBy((F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last())
-    below = order.rowsBetween(Window.unboundedPreceding, -1)
-    onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    total = F.sum("source_size").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    rate = (total - F.coalesce(F.sum("cap").over(below), F.lit(0.0))) / F.sum("weight").over(onward)
-    per = per.withColumn("rate", rate).withColumn("capped", F.col("cap") <= F.col("rate") * F.col("weight"))
-    # Limits that are reached come first; the first source that isn't sets the rate of all after it.
-    open_rate = F.min(F.when(~F.col("capped"), F.struct((F.col("cap") / F.col("weight")).alias("o"), F.col("rate")))).over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))["rate"]
-    target = F.least(F.col("cap"), F.coalesce(open_rate * F.col("weight"), F.col("cap")))
+    per = dense_index(per, F.col("source").asc_nulls_last(), name="rank").withColumn("weight", F.col("rank") % 3 + 1).withColumn("cap", F.col("source_size") * most)
+    per = stage.write(per.drop("rank"), "sources")
+    total = per.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n")).first().n
+    capped, rate, kept = -1, 0.0, F.lit(True)
+    while True:
+        open_ = F.when(kept, F.col("weight"))
+        r = per.agg(F.coalesce(F.sum(F.when(~kept, F.col("cap"))), F.lit(0)).alias("cap"), F.count_if(~kept).alias("n"), F.sum(open_).alias("weight")).first()
+        if r.n == capped or not r.weight:
+            break
+        capped, rate = r.n, (total - r.cap) / r.weight
+        kept = F.col("cap") > F.lit(rate) * F.col("weight")
+    target = F.least(F.col("cap").cast("double"), F.lit(float(rate)) * F.col("weight")) if capped >= 0 else F.col("cap").cast("double")
     return per.select("source", "source_size", "n", target.alias("target"))
 
 
@@ -104,9 +109,10 @@ def mix(docs: DataFrame, seed: int = 0, most: int = MOST, doc_id: str = "doc_id"
     """
     stage = Staging(docs.sparkSession, "mixing")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text), F.col(source)).alias("k"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "k").orderBy("size"))
-    rows = stage.write(rows.withColumn("nth", nth.cast("long")), "sizes")
-    targets = stage.write(source_targets(rows.select("source", "size"), most), "targets")
+    # Repeated rows shrink to one with their number before they are shuffled.
+    same = rows.groupBy("doc_id", "k", "source", "size").agg(F.count("*").alias("rows"))
+    rows = stage.write(same.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).drop("rows"), "sizes")
+    targets = stage.write(source_targets(rows.select("source", "size"), stage, most), "targets")
     per = targets.withColumnRenamed("source", "own").drop("n")
     if targets.count() <= SMALL_TABLE:  # else the join shuffles, with skewed sources split
         per = F.broadcast(per)
@@ -139,20 +145,24 @@ def mix(docs: DataFrame, seed: int = 0, most: int = MOST, doc_id: str = "doc_id"
     else:
         rows = rows.withColumn("extra", F.lit(None).cast("long"))
     taken = stage.write(rows.select("doc_id", "k", "nth", "source", "size", "source_size", "target", "key", (F.col("base") + F.coalesce("extra", F.lit(0))).alias("copies")), "taken")
-    moved = stage.write(_corrections(taken, seed, most), "corrections")
-    if moved.count() <= SMALL_TABLE:
-        moved = F.broadcast(moved)
-    copies = (F.col("copies") + F.coalesce("change", F.lit(0))).alias("copies")
-    return taken.join(moved, "key", "left").select("doc_id", "k", "nth", "source", "size", "source_size", "target", copies)
+    copies = F.col("copies") + F.coalesce("change", F.lit(0))
+    for i in range(PASSES):
+        moved = stage.write(_corrections(taken, seed + i, most), "corrections")
+        if moved.count() <= SMALL_TABLE:
+            moved = F.broadcast(moved)
+        taken = taken.join(moved, "key", "left").withColumn("copies", copies).drop("change")
+    return taken.select("doc_id", "k", "nth", "source", "size", "source_size", "target", "copies")
 
 
 def _corrections(taken: DataFrame, seed: int, most: int) -> DataFrame:
     """``key, change`` of the documents whose copies change by one, so that each source meets its target.
 
     What rounding the last open document of a source leaves over goes to smaller ones, from large
-    to small: a document is taken once more or once less if that lowers the error. ``CHOICES``
-    documents of each doubling of the size that can give and as many that can take are enough, so
-    a source is one array of bounded size.
+    to small: a document is taken once more or once less if that lowers the error. Then, while
+    more than the smallest document or a thousandth is left over, two documents may trade: one
+    is taken once more, one once less, and the two are those that bring the source nearest to its
+    target. ``CHOICES`` documents of each doubling of the size that can give and as many that
+    can take are enough, so a source is one array of bounded size.
     """
     doc = F.struct("size", "key")
     draw = lambda can, i: F.min_by(doc, F.when(can, F.xxhash64("key", F.lit(seed), F.lit(i))))
@@ -162,7 +172,7 @@ def _corrections(taken: DataFrame, seed: int, most: int) -> DataFrame:
         F.sum(F.col("copies") * F.col("size")).alias("words"), F.max("target").alias("target"),
         chosen((F.col("size") > 0) & (F.col("copies") < most)).alias("up"), chosen((F.col("size") > 0) & (F.col("copies") > 0)).alias("down"))
     marked = lambda c, change: F.transform(c, lambda d: F.struct(d["size"].alias("size"), d["key"].alias("key"), F.lit(change).alias("change")))
-    per = kinds.groupBy("s").agg((F.max("target") - F.sum("words")).alias("left"), F.flatten(F.collect_list(F.concat(marked("up", 1), marked("down", -1)))).alias("docs"))
+    per = kinds.groupBy("s").agg(F.max("target").alias("target"), (F.max("target") - F.sum("words")).alias("left"), F.flatten(F.collect_list(F.concat(marked("up", 1), marked("down", -1)))).alias("docs"))
 
     def step(state: Column, d: Column) -> Column:
         left = state["left"]
@@ -170,7 +180,21 @@ def _corrections(taken: DataFrame, seed: int, most: int) -> DataFrame:
         return F.when(better, F.struct((left - d["change"] * d["size"]).alias("left"), F.concat(state["moved"], F.array(d)).alias("moved"))).otherwise(state)
 
     start = F.struct(F.col("left"), F.array().cast("array<struct<size:bigint,key:string,change:int>>").alias("moved"))
-    moved = F.aggregate(F.reverse(F.array_sort("docs")), start, step, lambda s: s["moved"])
+
+    def swap(state: Column, _: Column) -> Column:
+        free_of = lambda change: F.filter("docs", lambda d: (d["change"] == change) & ~F.exists(state["moved"], lambda m: m["key"] == d["key"]))
+        pair = lambda u, d: F.struct(F.abs(state["left"] - (u["size"] - d["size"])).alias("off"), u.alias("u"), d.alias("d"))
+        pairs = lambda downs: F.flatten(F.transform(free_of(1), lambda u: F.transform(F.filter(downs, lambda d: d["key"] != u["key"]), lambda d: pair(u, d))))
+        traded = lambda p: F.when(F.coalesce(p["off"] < F.abs(state["left"]), F.lit(False)), F.struct((state["left"] - (p["u"]["size"] - p["d"]["size"])).alias("left"), F.concat(state["moved"], F.array(p["u"], p["d"])).alias("moved"))).otherwise(state)
+        enough = F.greatest(F.array_min(F.transform("docs", lambda d: d["size"])).cast("double"), F.col("target") / 1000)
+        return F.when(F.abs(state["left"]) > enough, let(F.array_min(let(free_of(-1), pairs)), traded)).otherwise(state)
+
+    one_by_one = lambda state: F.aggregate(F.reverse(F.array_sort("docs")), state, step)
+    in_pairs = lambda state: F.aggregate(F.sequence(F.lit(1), F.lit(SWAPS)), state, swap)
+    # In either order, as a document changes once at most; the better one counts.
+    both = [in_pairs(one_by_one(start)), one_by_one(in_pairs(start))]
+    ways = F.array(*[let(state, lambda s: F.struct(F.abs(s["left"]).alias("off"), F.lit(i).alias("i"), s["moved"].alias("moved"))) for i, state in enumerate(both)])
+    moved = F.array_min(ways)["moved"]
     return per.select(F.explode(moved).alias("m")).select("m.key", F.col("m.change").alias("change"))
 
 
@@ -178,7 +202,9 @@ def repeat(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id", text: str
     """The rows of ``docs``, each as often as the mix takes it."""
     k, nth, id_, copies, one = free(docs, "_k", "_nth", "_id", "_copies", "_one")
     keyed = docs.withColumn(k, F.xxhash64(F.col(text), F.col(source)))
-    keyed = keyed.withColumn(nth, F.row_number().over(Window.partitionBy(doc_id, k).orderBy(k)).cast("long"))
+    # Only repeated rows need numbers.
+    repeats = mixed.filter("nth > 1").limit(1).count()
+    keyed = keyed.withColumn(nth, F.row_number().over(Window.partitionBy(doc_id, k).orderBy(k)).cast("long") if repeats else F.lit(1).cast("long"))
     taken = mixed.filter("copies > 0").select(F.col("doc_id").alias(id_), F.col("k").alias(k), F.col("nth").alias(nth), F.col("copies").alias(copies))
     joined = keyed.join(taken, [k, nth]).filter(F.col(doc_id).eqNullSafe(F.col(id_)))
     return joined.withColumn(one, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(docs.columns)

@@ -265,3 +265,52 @@ def test_mined_rules_do_not_restate_fixed_ones(spark):
     assert sorted(r.rule_id for r in urls.without_redundant(rules).collect()) == [1, 3, 4]
     long = urls.judge(spark.createDataFrame([("http://a.net/es/" + "x" * 200_000,), ("http://a.net/es/1",)], "url string"))
     assert {r.verdict for r in long.collect()} == {"block"}
+
+
+def test_mixing_of_few_large_documents(spark):
+    from kinweave.llm import mixing
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = mixing.mix(docs).collect()
+    taken, target, least = Counter(), {}, {}
+    for r in out:
+        taken[r.source] += r.size * r.copies
+        target[r.source] = r.target
+        if r.size:
+            least[r.source] = min(least.get(r.source, 1 << 60), r.size)
+        assert 0 <= r.copies <= 3
+    assert all(abs(taken[s] - target[s]) <= max(0.01 * target[s], least[s]) for s in least)
+
+
+def test_targets_of_many_sources_and_repeats(spark):
+    from kinweave.functions.staging import Staging
+    from kinweave.llm import mixing
+
+    rnd = random.Random(9)
+    sizes = {f"s{i:04d}": rnd.choice([0, 1, 5, 1000]) for i in range(500)} | {None: 7}
+    df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
+    got = {r.source: r.target for r in mixing.source_targets(df, Staging(spark, "t")).collect()}
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight, open_, goal, left = {s: i % 3 + 1 for i, s in enumerate(order)}, set(order), {}, sum(sizes.values())
+    while True:
+        rate = left / sum(weight[x] for x in open_)
+        over = {s for s in open_ if rate * weight[s] >= 3 * sizes[s]}
+        goal |= {s: 3 * sizes[s] for s in over}
+        if not over:
+            break
+        left, open_ = left - sum(3 * sizes[s] for s in over), open_ - over
+    goal |= {s: rate * weight[s] for s in open_}
+    assert got == pytest.approx(goal)
+    same = spark.createDataFrame([(1, "a b c", "x")] * 400 + [(2, "d " * 50_000, "y")], "doc_id long, text string, source string")
+    mixed = mixing.mix(same)
+    assert mixed.filter("source = 'x'").agg(F.max("nth"), F.count("*")).first() == (400, 400)
+    assert mixing.repeat(same, mixed).count() == mixed.agg(F.sum("copies")).first()[0]
+
+
+def test_line_dedup_of_a_very_common_line(spark, monkeypatch):
+    from kinweave.llm import line_dedup
+
+    monkeypatch.setattr(line_dedup, "HOT_ROWS", 3)
+    df = spark.createDataFrame([(i, f"common line\nown line {i}\ncommon line") for i in range(300)], "doc_id long, text string").repartition(8)
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    assert out[0] == "common line\nown line 0" and all(out[i] == f"own line {i}" for i in range(1, 300))
