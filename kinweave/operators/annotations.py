@@ -113,4 +113,4 @@ def repnode_network(clusters: DataFrame, attributes: DataFrame, edges: DataFrame
     nodes = union.join(sizes, "representative").select("representative", "attribute", F.when(F.size("values") == 0, F.array(F.lit("None"))).otherwise(F.col("values")).alias("values"), "cluster_size")
     reps = sizes.select("representative")
     of = lambda c: reps.withColumnRenamed("representative", c)
-    return nodes, edges.join(of("qseqid"), "qseqid", "left_semi").join(of("sseqid"), "sseqid", "left_semi")
+    return nodes, edges.join(of("qseqid"), "qseqid", "left_semi").join(of("sseqid"), "sseqid", "left_semi").select(edges.columns)

@@ -128,9 +128,14 @@ def reviewed_table(ids: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def paint_nodes(nodes: DataFrame, mapping: DataFrame, id_col: int = 0, color_col: int = 1, extra: dict[str, int] | None = None, node: str = "node") -> DataFrame:
-    """Adds ``color`` and extra columns from a mapping table by the positions of its columns."""
+    """Adds ``color`` and extra columns from a mapping table by the positions of its columns.
+
+    Of several rows of a node the one with the smallest colour, then extra columns, counts; null
+    ids and nodes without a row get nulls.
+    """
     at = lambda i: F.col(mapping.columns[i])
-    chosen = mapping.select(at(id_col).alias(node), at(color_col).alias("color"), *[at(i).alias(n) for n, i in (extra or {}).items()]).dropDuplicates([node])
+    shown = F.struct(at(color_col).alias("color"), *[at(i).alias(n) for n, i in (extra or {}).items()])
+    chosen = mapping.groupBy(at(id_col).alias(node)).agg(F.min(shown).alias("_x")).select(node, "_x.*")
     return nodes.join(chosen, node, "left")
 
 

@@ -137,7 +137,11 @@ def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_taxonomy(taxa: DataFrame) -> DataFrame:
-    """One row with 8 ranks per taxon and per child without rank of its own (one rank below its parent); ``NA`` by default."""
+    """One row with 8 ranks per taxon and per child without rank of its own (one rank below its parent); ``NA`` by default.
+
+    A taxon that comes both by itself and as a child keeps its own row; of several own rows, or
+    of several rows as a child, the smallest. Taxa without id go.
+    """
     lineage = F.filter(F.coalesce("lineage.taxon", F.array().cast(f"array<{_TAXON}>")), lambda t: t["_rank"].isNotNull())
     ranks = F.map_from_entries(F.array_distinct(F.transform(F.array_distinct(F.transform(lineage, lambda t: t["_rank"])), lambda r: F.struct(r.alias("k"), F.get(F.transform(F.filter(lineage, lambda t: t["_rank"] == r), lambda t: t["_scientificName"]), F.lit(0)).alias("v")))))
     own = taxa.select(F.col("_taxId").alias("taxonomy_id"), F.col("_scientificName").alias("name"), F.col("_rank").alias("rank"), ranks.alias("r"), F.coalesce("children.taxon", F.array().cast(f"array<{_TAXON}>")).alias("c"))
@@ -145,9 +149,10 @@ def parse_taxonomy(taxa: DataFrame) -> DataFrame:
     below = reduce(lambda out, i: F.when(F.col("rank") == names[i], names[i + 1]).otherwise(out), range(len(names) - 1), F.lit("species"))
     kids = own.select(F.explode("c").alias("k"), "name", "rank", "r", below.alias("next"))
     child = kids.select(F.col("k._taxId").alias("taxonomy_id"), F.col("k._scientificName").alias("name"), F.coalesce("k._rank", "next").alias("rank"), F.map_concat(F.map_filter("r", lambda k, v: k != F.coalesce(F.col("rank"), F.lit(""))), F.when(F.col("rank").isNotNull(), F.create_map("rank", "name")).otherwise(F.create_map().cast("map<string,string>"))).alias("r"))
-    rows = own.drop("c").unionByName(child)
+    rows = own.drop("c").withColumn("as_child", F.lit(0)).unionByName(child.withColumn("as_child", F.lit(1))).filter("taxonomy_id IS NOT NULL")
     value = lambda name: F.coalesce(F.when(F.col("rank") == name, F.col("name")), F.try_element_at("r", F.lit(name)), F.lit("NA"))
-    return rows.select("taxonomy_id", *[value(v).alias(k) for k, v in RANKS.items()]).dropDuplicates(["taxonomy_id"])
+    one = F.min(F.struct("as_child", *[value(v).alias(k) for k, v in RANKS.items()])).alias("x")
+    return rows.groupBy("taxonomy_id").agg(one).select("taxonomy_id", *[f"x.{k}" for k in RANKS])
 
 
 def parse_gene_records(records: DataFrame, mapping: DataFrame) -> DataFrame:

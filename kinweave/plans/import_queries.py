@@ -372,12 +372,13 @@ def read_fasta(spark, d):
     return R.read_fasta(spark, path).drop("seq_no")
 
 
-@query("SELECT concat('>', seqid) || chr(10) || s AS value FROM (SELECT concat('N', p_partkey) AS seqid, replace(p_name, ' ', '') AS s FROM part)")
+@query("SELECT unnest(list_concat(['>' || seqid], list_transform(range((length(s) + 6) // 7), lambda i: substr(s, 7 * i + 1, 7)))) AS value FROM (SELECT concat('N', p_partkey) AS seqid, replace(p_name, ' ', '') AS s FROM part)")
 def write_fasta(spark, d):
+    """The lines of the files, folded at seven characters."""
     rows = table(spark, d, "part").select(F.concat(F.lit("N"), "p_partkey").alias("seq_id"), F.replace("p_name", F.lit(" "), F.lit("")).alias("sequence"))
     path = _path(spark, "fasta")
-    W.write_fasta(rows, path)
-    return R.read_fasta(spark, path).select(W.fasta_text(F.col("seq_id"), F.col("sequence")).alias("value"))
+    W.write_fasta(rows, path, fold=7)
+    return spark.read.text(path)
 
 
 @query(f"SELECT representative, member FROM {_CL}")
@@ -392,17 +393,19 @@ def read_identity_clusters(spark, d):
 _LONG = "SELECT concat('C', c_custkey) AS id, unnest(['c_mktsegment', 'c_name', 'c_nationkey']) AS attribute, unnest([c_mktsegment, c_name, CAST(c_nationkey AS VARCHAR)]) AS value FROM customer"
 
 
-@query(_LONG)
+@query(f"SELECT DISTINCT id || chr(9) || attribute || chr(9) || value AS value FROM ({_LONG}) UNION SELECT 'UniProt_ID' || chr(9) || 'Attribute' || chr(9) || 'Value'")
 def write_metadata(spark, d):
-    return W.long_metadata(_cust(spark, d).select("id", "c_mktsegment", "c_name", "c_nationkey"))
+    """The distinct lines of the files, of which each has the header."""
+    path = _path(spark, "metadata")
+    W.write_metadata(_cust(spark, d).select("id", "c_mktsegment", "c_name", "c_nationkey"), path)
+    return spark.read.text(path).distinct()
 
 
 @query(f"SELECT * FROM ({_LONG}) WHERE id IN (SELECT accession FROM people WHERE is_reviewed)")
 def read_metadata(spark, d):
     path = _path(spark, "metadata")
-    rows = _cust(spark, d).select("id", "c_mktsegment", F.regexp_replace("c_name", "#", "~").alias("c_name"), "c_nationkey")
-    W.write_metadata(rows, path)
-    return R.read_metadata(spark, path, view(spark, d, "people").filter("is_reviewed").select("accession")).withColumn("value", F.regexp_replace("value", "~", "#"))
+    W.write_metadata(_cust(spark, d).select("id", "c_mktsegment", "c_name", "c_nationkey"), path)
+    return R.read_metadata(spark, path, view(spark, d, "people").filter("is_reviewed").select("accession"))
 
 
 def _network(spark, d):

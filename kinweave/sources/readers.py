@@ -51,10 +51,16 @@ def _attributes(att):
 
 
 def read_network(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Nodes ``id, label, attributes`` and edges ``source, target, attributes`` of an XML graph."""
-    nodes = spark.read.format("xml").option("useLegacyXMLParser", True).option("rowTag", "node").schema(schemas.NODE).load(path)
+    """Nodes ``id, label, attributes`` and edges ``source, target, attributes`` of an XML graph.
+
+    Of a graph with a manifest of its parts, nodes are read from the node parts and edges from
+    the edge parts, so each file is scanned once; of other files each table is a scan.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
+    parted = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    of = lambda tag, schema, part: spark.read.format("xml").option("useLegacyXMLParser", True).option("rowTag", tag).schema(schema).load(f"{path}/{part}" if parted else path)
+    nodes, edges = of("node", schemas.NODE, "1-nodes"), of("edge", schemas.EDGE, "2-edges")
     wide = F.transform("att", lambda a: F.struct(a["_name"].alias("_name"), a["_type"].alias("_type"), a["_value"].alias("_value"), F.lit(None).cast("array<struct<_name:string,_type:string,_value:string>>").alias("att")))
-    edges = spark.read.format("xml").option("useLegacyXMLParser", True).option("rowTag", "edge").schema(schemas.EDGE).load(path)
     return nodes.select(F.col("_id").alias("id"), F.col("_label").alias("label"), _attributes(F.col("att")).alias("attributes")), edges.select(F.col("_source").alias("source"), F.col("_target").alias("target"), _attributes(wide).alias("attributes"))
 
 
@@ -63,12 +69,35 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.explode(F.split("value", r"[\s,]+")).alias("id")).filter("id != ''").distinct()
 
 
-def read_reference_tables(spark: SparkSession, uri: str, names: list[str], **jdbc: str) -> dict[str, DataFrame]:
+def _even_predicates(spark: SparkSession, uri: str, table: str, column: str, parts: int, options: dict[str, str]) -> list[str]:
+    """Conditions that cut a table into ranges of a whole-number column; the bounds come from one query, nulls go to the first range."""
+    column = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(uri).quoteIdentifier(column)
+    query = f"SELECT min({column}) AS a, max({column}) AS b FROM {table}"
+    ends = spark.read.format("jdbc").options(url=uri, query=query, **options).load().toDF("a", "b").first()
+    if ends.a is None:
+        return ["1 = 1"]
+    a, b = int(ends.a), int(ends.b)
+    cuts = sorted({a + (b - a + 1) * i // parts for i in range(1, parts)} - {a})
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{column} >= {x} AND {column} < {y}" for x, y in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
+def read_reference_tables(spark: SparkSession, uri: str, names: list[str], partition_columns: dict[str, str] | None = None, parts: int = 8, **jdbc: str) -> dict[str, DataFrame]:
     """Lookup tables by name: Parquet below a folder, or tables of a relational database for a ``jdbc:`` address.
 
-    Options such as ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` let
-    a database be read by many tasks.
+    Database tables with a column of whole numbers in ``partition_columns`` are read by
+    ``parts`` tasks, each a range of it; others by one task. Every row is read once, rows with
+    a null there too. ``jdbc`` holds further options such as ``driver`` and ``user``.
     """
-    if uri.startswith("jdbc:"):
-        return {n: spark.read.format("jdbc").options(url=uri, dbtable=n, **jdbc).load() for n in names}
-    return {n: spark.read.parquet(f"{uri}/{n}.parquet") for n in names}
+    if not uri.startswith("jdbc:"):
+        return {n: spark.read.parquet(f"{uri}/{n}.parquet") for n in names}
+    out = {}
+    for n in names:
+        if n in (partition_columns or {}):
+            predicates = _even_predicates(spark, uri, n, partition_columns[n], parts, jdbc)
+            out[n] = spark.read.jdbc(uri, n, predicates=predicates, properties=jdbc)
+        else:
+            out[n] = spark.read.format("jdbc").options(url=uri, dbtable=n, **jdbc).load()
+    return out

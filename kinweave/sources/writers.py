@@ -54,22 +54,34 @@ def _attribute_xml(a: Column) -> Column:
     return F.when(a["type"] == "list", listed).otherwise(one(a["name"], a["type"], F.get(a["values"], F.lit(0))))
 
 
-def network_rows(nodes: DataFrame, edges: DataFrame, name: str = "network") -> DataFrame:
-    """``part, key, value``: one string per element, header first, then nodes, edges and footer."""
+def network_rows(nodes: DataFrame, edges: DataFrame, name: str = "network") -> list[tuple[str, DataFrame]]:
+    """Parts of an XML graph in order, each with a column ``value`` of one element a row: header, nodes, edges, footer."""
     spark = nodes.sparkSession
     body = F.array_join(F.transform("attributes", _attribute_xml), "")
-    node = F.concat(F.lit('<node id="'), xml_escape(F.col("id")), F.lit('" label="'), xml_escape(F.col("label")), F.lit('">'), body, F.lit("</node>"))
+    node = F.concat(F.lit('<node id="'), xml_escape(F.col("id")), F.lit('" label="'), xml_escape(F.coalesce("label", "id")), F.lit('">'), F.coalesce(body, F.lit("")), F.lit("</node>"))
     ends = F.concat_ws(",", "source", "target")
-    edge = F.concat(F.lit('<edge id="'), xml_escape(ends), F.lit('" label="'), xml_escape(ends), F.lit('" source="'), xml_escape(F.col("source")), F.lit('" target="'), xml_escape(F.col("target")), F.lit('">'), body, F.lit("</edge>"))
-    schema = "part int, key string, value string"
-    head = spark.createDataFrame([(0, "", f'<?xml version="1.0" encoding="UTF-8"?>\n<graph label="{name}" xmlns="http://www.cs.rpi.edu/XGMML">')], schema)
-    foot = spark.createDataFrame([(3, "", "</graph>")], schema)
-    return head.unionByName(nodes.select(F.lit(1).alias("part"), F.col("id").alias("key"), node.alias("value"))).unionByName(edges.select(F.lit(2).alias("part"), ends.alias("key"), edge.alias("value"))).unionByName(foot)
+    edge = F.concat(F.lit('<edge id="'), xml_escape(ends), F.lit('" label="'), xml_escape(ends), F.lit('" source="'), xml_escape(F.col("source")), F.lit('" target="'), xml_escape(F.col("target")), F.lit('">'), F.coalesce(body, F.lit("")), F.lit("</edge>"))
+    one = lambda text: spark.range(1).select(text.alias("value")).coalesce(1)
+    head = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<graph label="'), xml_escape(F.lit(name)), F.lit('" xmlns="http://www.cs.rpi.edu/XGMML">'))
+    rows = lambda df, text: df.select(text.alias("value")).filter("value IS NOT NULL")
+    return [("0-header", one(head)), ("1-nodes", rows(nodes, node)), ("2-edges", rows(edges, edge)), ("3-footer", one(F.lit("</graph>")))]
 
 
 def write_network(nodes: DataFrame, edges: DataFrame, path: str, name: str = "network") -> None:
-    """XML graph elements as text parts that follow one another in order."""
-    network_rows(nodes, edges, name).sort("part", "key").select("value").write.mode("overwrite").text(path)
+    """An XML graph as folders of text parts and a ``manifest`` of their order; joined in that order they are one document.
+
+    Each part is written as its rows lie, without a shuffle. Nodes without id and edges without
+    an end are left out; a null label is the id.
+    """
+    spark = nodes.sparkSession
+    parts = network_rows(nodes, edges, name)
+    for folder, rows in parts:
+        rows.write.mode("overwrite").text(f"{path}/{folder}")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    # A line for each file that the tasks wrote.
+    files = [f"{folder}/{n}" for folder, _ in parts for n in sorted(x.getPath().getName() for x in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}"))) if not n.startswith(("_", "."))]
+    spark.createDataFrame([(i, f) for i, f in enumerate(files)], "i int, value string").coalesce(1).sort("i").select("value").write.mode("overwrite").text(f"{path}/manifest")
 
 
 def id_list_rows(ids: DataFrame) -> DataFrame:
