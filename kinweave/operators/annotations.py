@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.functions.chunks import chunked
+
 #: Separators of member rows and of list items in text output.
 ROW_SEP, LIST_SEP = "^", ","
 
@@ -60,12 +62,20 @@ def format_annotations(rows: DataFrame, text: list[str]) -> DataFrame:
     return rows.select("accession", *[v.alias(k) for k, v in shown.items()])
 
 
-def merge_member_rows(members: DataFrame, rows: DataFrame, fields: list[str]) -> DataFrame:
-    """Values of a seed's members joined with ``^``, the seed first, then by id. ``members``: ``seed, accession``."""
+def merge_member_rows(members: DataFrame, rows: DataFrame, fields: list[str], chunk: int | None = None) -> DataFrame:
+    """Values of a seed's members joined with ``^``, the seed first, then by id. ``members``: ``seed, accession``.
+
+    A null value is an empty one. With ``chunk``, a seed has rows ``seed, chunk`` and texts of up
+    to so many members each, which joined with ``^`` in order of ``chunk`` are the whole.
+    """
     both = members.join(rows, "accession")
-    parts = F.array_sort(F.collect_list(F.struct((F.col("accession") != F.col("seed")).alias("_o"), "accession", *[F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f) for f in fields])))
-    joined = lambda f: F.array_join(F.transform("p", lambda x: _no_tail(x[f])), ROW_SEP).alias(f)
-    return both.groupBy("seed").agg(parts.alias("p")).select("seed", *map(joined, fields))
+    late = F.col("accession") != F.col("seed")
+    values = F.struct(*[F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f) for f in fields])
+    joined = lambda x: [F.array_join(F.transform(x, lambda v: _no_tail(v[f])), ROW_SEP).alias(f) for f in fields]
+    if chunk:
+        return chunked(both, ["seed"], [late.alias("late"), "accession", values.alias("v")], values, chunk).select("seed", "chunk", *joined("values"))
+    parts = F.array_sort(F.collect_list(F.struct(late.alias("_o"), "accession", values.alias("v"))))
+    return both.groupBy("seed").agg(parts.alias("p")).select("seed", F.transform("p", lambda x: x["v"]).alias("p")).select("seed", *joined("p"))
 
 
 def seed_attributes(members: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -102,15 +112,23 @@ def edge_table(edges: DataFrame) -> DataFrame:
     return edges.select(F.concat_ws(",", "qseqid", "sseqid").alias("edge_id"), F.col("qseqid").alias("source"), F.col("sseqid").alias("target"), F.col("pident").alias("percent_id"), "alignment_score", "alignment_length")
 
 
-def repnode_network(clusters: DataFrame, attributes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repnode_network(clusters: DataFrame, attributes: DataFrame, edges: DataFrame, chunk: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Nodes of identity clusters (size, union of member attributes, ``None`` where empty), and edges between representatives.
 
-    ``clusters``: ``representative, member``; ``attributes``: ``id, attribute, value``.
+    ``clusters``: ``representative, member``; ``attributes``: ``id, attribute, value``. With
+    ``chunk``, nodes have a column ``chunk`` and an attribute has rows of up to so many values.
     """
     sizes = clusters.groupBy("representative").agg(F.countDistinct("member").alias("cluster_size"))
     kept = F.when(~F.coalesce(F.col("value"), F.lit("")).isin("", "None"), F.col("value"))
-    union = clusters.join(attributes.withColumnRenamed("id", "member"), "member").groupBy("representative", "attribute").agg(F.array_sort(F.collect_set(kept)).alias("values"))
-    nodes = union.join(sizes, "representative").select("representative", "attribute", F.when(F.size("values") == 0, F.array(F.lit("None"))).otherwise(F.col("values")).alias("values"), "cluster_size")
+    held = clusters.join(attributes.withColumnRenamed("id", "member"), "member").select("representative", "attribute", kept.alias("value"))
+    keys = ["representative", "attribute"]
+    if chunk:
+        some = chunked(held.filter("value IS NOT NULL").distinct(), keys, ["value"], F.col("value"), chunk)
+        none = held.groupBy(*keys).agg(F.count("value").alias("n")).filter("n = 0").select(*keys, F.lit(0).cast("long").alias("chunk"), F.array().cast("array<string>").alias("values"))
+        union = some.unionByName(none)
+    else:
+        union = held.groupBy(*keys).agg(F.array_sort(F.collect_set("value")).alias("values"))
+    nodes = union.join(sizes, "representative").select(*keys, *["chunk"] * bool(chunk), F.when(F.size("values") == 0, F.array(F.lit("None"))).otherwise(F.col("values")).alias("values"), "cluster_size")
     reps = sizes.select("representative")
     of = lambda c: reps.withColumnRenamed("representative", c)
     return nodes, edges.join(of("qseqid"), "qseqid", "left_semi").join(of("sseqid"), "sseqid", "left_semi").select(edges.columns)

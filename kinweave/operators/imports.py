@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.functions.chunks import chunked
 from kinweave.functions.ranking import dense_index
 
 # --- id filters -------------------------------------------------------------------------
@@ -91,10 +92,19 @@ def filter_family_membership(ids: DataFrame, members: DataFrame, families: list[
     return ids.join(members.filter(F.col("family").isin(families)).select(F.col("accession").alias(id)), id, "left_semi")
 
 
-def exclude_ids(members: DataFrame, fragments: DataFrame | None = None, taxonomy: DataFrame | None = None, spec: str = "", family_members_: DataFrame | None = None, families: list[str] = ()) -> DataFrame:
+def _members_of(rows: DataFrame, key: str, chunk: int | None) -> DataFrame:
+    """``key, members`` of ``key, m``: distinct and sorted, whole or in chunks."""
+    some = rows.filter(F.col("m").isNotNull())
+    if chunk:
+        return chunked(some.distinct(), [key], ["m"], F.col("m"), chunk, "members")
+    return some.groupBy(key).agg(F.array_sort(F.collect_set("m")).alias("members"))
+
+
+def exclude_ids(members: DataFrame, fragments: DataFrame | None = None, taxonomy: DataFrame | None = None, spec: str = "", family_members_: DataFrame | None = None, families: list[str] = (), chunk: int | None = None) -> DataFrame:
     """``seed, members``: seeds that pass all filters with their passing members.
 
-    ``members``: ``seed, accession, taxonomy_id``; a seed is itself one of its members.
+    ``members``: ``seed, accession, taxonomy_id``; a seed is itself one of its members. With
+    ``chunk``, a seed has rows ``seed, chunk, members`` of up to so many members each.
     """
     ok = members
     if fragments is not None:
@@ -104,13 +114,16 @@ def exclude_ids(members: DataFrame, fragments: DataFrame | None = None, taxonomy
     if family_members_ is not None:
         ok = filter_family_membership(ok, family_members_, families, "accession")
     seeds = ok.filter("accession = seed").select("seed").distinct()
-    return ok.join(seeds, "seed", "left_semi").groupBy("seed").agg(F.array_sort(F.collect_set("accession")).alias("members"))
+    return _members_of(ok.join(seeds, "seed", "left_semi").select("seed", F.col("accession").alias("m")), "seed", chunk)
+
 
+def refilter_member_lists(metadata: DataFrame, survivors: DataFrame, chunk: int | None = None) -> DataFrame:
+    """Trims each ``members`` list to surviving ids; seeds without any go. ``metadata``: ``id, members``.
 
-def refilter_member_lists(metadata: DataFrame, survivors: DataFrame) -> DataFrame:
-    """Trims each ``members`` list to surviving ids; seeds without any go. ``metadata``: ``id, members``."""
+    An id may have several rows, as chunks of a list are; with ``chunk`` the result has such rows too.
+    """
     alive = survivors.select(F.col(survivors.columns[0]).alias("m"))
-    return metadata.select("id", F.explode("members").alias("m")).join(alive, "m", "left_semi").groupBy("id").agg(F.array_sort(F.collect_set("m")).alias("members"))
+    return _members_of(metadata.select("id", F.explode("members").alias("m")).join(alive, "m", "left_semi").select("id", "m"), "id", chunk)
 
 
 def drop_represented_nodes(metadata: DataFrame, members: DataFrame) -> DataFrame:
@@ -140,10 +153,15 @@ def family_members(families: DataFrame, members: DataFrame, seeds: DataFrame | N
     return rows if seeds is None else rows.join(seeds, "accession", "left")
 
 
-def collapse_to_seeds(rows: DataFrame, seed: str = "seed50", accession: str = "accession") -> DataFrame:
-    """``seed, members, member_count`` of seeds that are among the rows themselves."""
+def collapse_to_seeds(rows: DataFrame, seed: str = "seed50", accession: str = "accession", chunk: int | None = None) -> DataFrame:
+    """``seed, members, member_count`` of seeds that are among the rows themselves.
+
+    With ``chunk``, a seed has rows ``seed, chunk, members, member_count`` of up to so many
+    members each; the count is that of the row.
+    """
     own = rows.filter(F.col(accession) == F.col(seed)).select(seed).distinct()
-    return rows.join(own, seed, "left_semi").groupBy(F.col(seed).alias("seed")).agg(F.array_sort(F.collect_set(accession)).alias("members"), F.countDistinct(accession).alias("member_count"))
+    lists = _members_of(rows.join(own, seed, "left_semi").select(F.col(seed).alias("seed"), F.col(accession).alias("m")), "seed", chunk)
+    return lists.withColumn("member_count", F.size("members").cast("long"))
 
 
 def full_family_count(members: DataFrame, families: list[str], clans: DataFrame | None = None) -> DataFrame:

@@ -122,6 +122,14 @@ def collapse_to_seeds(spark, d):
     return I.collapse_to_seeds(view(spark, d, "seeds"), "seed90")
 
 
+_RUNS = "SELECT seed, dense_rank() OVER (PARTITION BY seed ORDER BY r) - 1 AS chunk, {0} FROM (SELECT *, (row_number() OVER (ORDER BY {1}) - 1) // {2} AS r FROM {3}) GROUP BY seed, r"
+
+
+@query(_RUNS.format("list_sort(list(accession)) AS members, count(*) AS member_count", "seed, accession", 7, "(SELECT DISTINCT seed90 AS seed, accession FROM seeds)"))
+def collapse_to_seeds_chunks(spark, d):
+    return I.collapse_to_seeds(view(spark, d, "seeds"), "seed90", chunk=7)
+
+
 @query("SELECT name, count(*) AS total, count(DISTINCT accession) AS \"unique\" FROM (SELECT family AS name, accession FROM fams UNION ALL SELECT 'all', accession FROM fams UNION ALL SELECT clan, accession FROM fams JOIN clans USING (family)) WHERE name = 'all' OR name LIKE 'CL%' OR name LIKE 'Brand%' GROUP BY name")
 def full_family_count(spark, d):
     return I.full_family_count(view(spark, d, "fams"), [f"Brand#{i}" for i in range(1, 100)], view(spark, d, "clans"))
@@ -308,6 +316,11 @@ def merge_member_rows(spark, d):
     return A.merge_member_rows(view(spark, d, "seeds").select(F.col("seed90").alias("seed"), "accession"), view(spark, d, "people"), ["description", "segment"])
 
 
+@query(_RUNS.format("string_agg(regexp_replace(segment, ';\\\\s*$', ''), '^' ORDER BY accession <> seed, accession) AS segment", "seed, accession <> seed, accession", 5, "(SELECT seed90 AS seed, accession, segment FROM seeds JOIN people USING (accession))"))
+def merge_member_rows_chunks(spark, d):
+    return A.merge_member_rows(view(spark, d, "seeds").select(F.col("seed90").alias("seed"), "accession"), view(spark, d, "people"), ["segment"], chunk=5)
+
+
 @query("SELECT seed, members, member_count, CAST(length(c_name) AS BIGINT) AS seed_length FROM (SELECT seed90 AS seed, array_to_string(list_sort(list(DISTINCT accession)), ',') AS members, count(DISTINCT accession) AS member_count FROM seeds GROUP BY 1) JOIN customer ON concat('C', c_custkey) = seed")
 def seed_attributes(spark, d):
     lengths = _cust(spark, d).select(F.col("id").alias("seqid"), F.length("c_name").cast("long").alias("sequence_length"))

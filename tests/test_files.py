@@ -130,3 +130,27 @@ def test_rep_nodes_of_repeated_rows(spark, rows, repeat):
     nodes, kept = A.repnode_network(clusters, attributes, edges)
     assert rows(nodes) == [("Q", "Org", ["None"], 1), ("R", "Org", ["x", "y"], 2)]
     assert rows(kept) == [("R", "Q", 1.0)]
+
+
+@pytest.mark.parametrize("size", [1, 3, 100])
+def test_chunks_join_to_the_whole(spark, size):
+    members = spark.createDataFrame([(s, f"{s}{i:03d}") for s, n in (("S", 40), ("T", 1), ("U", 7)) for i in range(n)] + [(s, s) for s in "STU"], "seed string, accession string")
+    whole = {r.seed: r.members for r in I.collapse_to_seeds(members.union(members), "seed").collect()}
+    parts = I.collapse_to_seeds(members.union(members), "seed", chunk=size).orderBy("seed", "chunk").collect()
+    joined = {}
+    for r in parts:
+        assert 0 < len(r.members) == r.member_count <= size and r.chunk == sum(x.seed == r.seed and x.chunk < r.chunk for x in parts)
+        joined[r.seed] = joined.get(r.seed, []) + r.members
+    assert joined == whole
+    alive = members.filter("accession LIKE '%1'").select("accession")
+    again = I.refilter_member_lists(spark.createDataFrame([(r.seed, r.members) for r in parts], "id string, members array<string>"), alive, chunk=size)
+    assert sorted(m for r in again.collect() for m in r.members) == sorted(r.accession for r in alive.collect())
+    values = members.withColumn("v", F.concat("accession", F.lit("; "))).select("accession", "v")
+    text = {r.seed: r.v for r in A.merge_member_rows(members, values, ["v"]).collect()}
+    pieces = A.merge_member_rows(members, values, ["v"], chunk=size).orderBy("seed", "chunk").collect()
+    assert {s: "^".join(r.v for r in pieces if r.seed == s) for s in text} == text
+    attributes = values.select(F.col("accession").alias("id"), F.lit("a").alias("attribute"), F.when(F.col("accession").startswith("S"), F.col("v")).alias("value"))
+    edges = spark.createDataFrame([], "qseqid string, sseqid string")
+    nodes = A.repnode_network(members.toDF("representative", "member"), attributes, edges, chunk=size)[0].collect()
+    assert sum(len(r["values"]) for r in nodes) == 41 + 2 and all(len(r["values"]) <= max(size, 1) for r in nodes)
+    assert {tuple(r["values"]) for r in nodes if r.representative != "S"} == {("None",)}
