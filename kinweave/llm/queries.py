@@ -250,4 +250,33 @@ ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r F
 SELECT doc_id, n_features, weight, score, CASE WHEN r <= (SELECT count(*) FROM scored WHERE fine) * 25 // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
 """,
     "op12_ns_bounds_kmeans": _kmeans_sql(),
+    # Home rows by running sums; what is left goes on clockwise, a step for each arc and shard that fills up.
+    "op13_bounded_ring_shards": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT doc_id, octet_length(encode(x)) + 16 AS size, {_CRC.format("hex(encode(x))")} AS crc FROM (SELECT doc_id, coalesce(text, '') AS x FROM documents), crcs),
+nodes AS (SELECT shard, {_CRC.format("h")} >> 16 AS point FROM (SELECT s.range AS shard, hex(encode(s.range || ':' || i.range)) AS h FROM range(40) s, range(64) i), crcs),
+ring AS MATERIALIZED (SELECT row_number() OVER (ORDER BY point, shard) - 1 AS pos, point, shard FROM nodes),
+ends AS (SELECT point, min(pos) AS pos FROM ring GROUP BY point),
+placed AS MATERIALIZED (SELECT doc_id, size, crc, coalesce(pos, 2560) AS arc FROM d ASOF LEFT JOIN ends ON (d.crc >> 16) <= ends.point),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY arc ORDER BY crc, doc_id) - 1 AS place FROM placed),
+bounds AS (SELECT s.range AS shard, n // 40 + CASE WHEN s.range < n % 40 THEN 1 ELSE 0 END AS bound FROM range(40) s, (SELECT count(*) AS n FROM documents)),
+loads AS (SELECT arc, shard, count(*) AS n FROM placed JOIN ring ON pos = arc % 2560 GROUP BY arc, shard),
+before AS (SELECT l.arc, l.shard, n, bound, coalesce(sum(n) OVER (PARTITION BY l.shard ORDER BY arc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM loads l JOIN bounds USING (shard)),
+home AS MATERIALIZED (SELECT arc, shard, n, greatest(0, least(n, bound - b)) AS t, least(b, bound) AS slot FROM before),
+rest AS MATERIALIZED (
+  SELECT list(arc ORDER BY arc) AS arcs, list(n - t ORDER BY arc) AS lefts, list(t ORDER BY arc) AS firsts FROM home WHERE n > t),
+rooms AS (SELECT list(bound - coalesce(t, 0) ORDER BY shard) AS rooms, list(bound ORDER BY shard) AS full_ FROM bounds LEFT JOIN (SELECT shard, sum(t) AS t FROM home GROUP BY shard) USING (shard)),
+steps AS (
+  SELECT 0 AS step, 1 AS i, CAST(lefts[1] AS BIGINT) AS left_, list_transform(rooms, lambda x: CAST(x AS BIGINT)) AS rooms, CAST(NULL AS BIGINT) AS arc, CAST(NULL AS BIGINT) AS shard, CAST(NULL AS BIGINT) AS t, CAST(NULL AS BIGINT) AS f, CAST(NULL AS BIGINT) AS slot
+  FROM rest, rooms WHERE arcs IS NOT NULL
+  UNION ALL
+  SELECT step + 1, CASE WHEN left_ > take THEN i ELSE i + 1 END, CAST(CASE WHEN left_ > take THEN left_ - take ELSE lefts[i + 1] END AS BIGINT),
+    list_transform(was, lambda x, j: CASE WHEN j = s + 1 THEN x - take ELSE x END), CAST(arcs[i] AS BIGINT), s, take, CAST(firsts[i] + lefts[i] - left_ AS BIGINT), CAST(full_[s + 1] - was[s + 1] AS BIGINT)
+  FROM (SELECT *, least(left_, was[s + 1]) AS take FROM (
+    SELECT step, i, left_, st.rooms AS was, rest.*, r.full_, CAST(ss[list_filter(range(arcs[i], arcs[i] + 2560), lambda p: st.rooms[ss[p % 2560 + 1] + 1] > 0)[1] % 2560 + 1] AS BIGINT) AS s
+    FROM steps st, rest, rooms r, (SELECT list(shard ORDER BY pos) AS ss FROM ring) WHERE left_ IS NOT NULL))),
+ways AS (SELECT arc, 0 AS f, t, shard, slot FROM home WHERE t > 0 UNION ALL SELECT arc, f, t, shard, slot FROM steps WHERE t > 0)
+SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard, CAST(slot + place - f AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM numbered n JOIN ways w ON w.arc = n.arc AND place >= f AND place < f + t
+""",
 }
