@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinweave.functions.staging import Staging
+from kinweave.operators.similarity import all_by_all_similarity, least_shared
 
 EDGE_MAX = 10_000_000
 
@@ -127,93 +125,3 @@ def blast_hit_table(hits: DataFrame, metadata: DataFrame, s: str = "sseqid") ->
     reviewed = F.when(~F.coalesce(F.col("swissprot_description"), F.lit("")).isin("", "NA", "None"), F.col("swissprot_description"))
     text = F.array_join(F.array_distinct(F.split(F.coalesce(reviewed, "description"), r"\^")), "^")
     return best.join(metadata, "id", "left").select("id", "evalue", text.alias("description"), F.coalesce("member_count", F.lit(1)).cast("long").alias("member_count")).orderBy("evalue", "id")
-
-
-def _shingles(sequence: str, shingle: int) -> Column:
-    """Sorted distinct hashes of the word shingles of a text; none for null. Each word is hashed once."""
-    words = F.transform(F.filter(F.split(F.lower(F.coalesce(F.col(sequence), F.lit(""))), r"\s+"), lambda w: w != ""), lambda w: F.xxhash64(w))
-    runs = lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - shingle, F.lit(0))), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(shingle)]))
-    return F.transform(F.array(words), lambda w: F.when(F.size(w) >= shingle, F.array_sort(F.array_distinct(runs(w)))).otherwise(F.array().cast("array<bigint>")))[0]
-
-
-def _first_rows(df: DataFrame, n: int, group: str, *order: Column | str) -> DataFrame:
-    return df.withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("_rank") <= n).drop("_rank")
-
-
-def _shared_shingles(held: DataFrame, k: int, max_held: int, min_shared: int, stage: Staging) -> DataFrame:
-    """``a, b, shared`` with at least the ``k`` best ``b`` of each ``a``; ``held`` has ``c, g`` once each.
-
-    Shingles with the same holders count as one with a weight. Of those that up to ``max_held``
-    hold, all pairs are made. The others are counted once for each pair of signatures (the set
-    of such shingles of a holder). A pair without a rarer shingle in common has the count of
-    its signatures, so of these only the first ``k + 1`` of each signature can be among the best.
-    """
-    grams = held.groupBy("g").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("c")).alias("x")).filter("n > 1")
-    bundles = stage.write(grams.groupBy("n", "x").agg(F.min("g").alias("g"), F.count("*").alias("w")).drop("x"), "bundles")
-    posts = stage.write(held.join(bundles, "g"), "posts")
-    # No pair shares more than either of its ends shares with anyone, so who shares too little goes before pairs are made.
-    fine = posts.groupBy("c").agg(F.sum("w").alias("most")).filter(F.col("most") >= min_shared).select("c")
-    posts = stage.write(posts.join(fine, "c"), "posts-fine")
-    rare, hot = posts.filter(F.col("n") <= max_held), posts.filter(F.col("n") > max_held)
-    x, y = rare.select("g", "w", F.col("c").alias("a")), rare.select("g", F.col("c").alias("b"))
-    pairs = x.join(y, "g").filter("a < b").groupBy("a", "b").agg(F.sum("w").alias("shared"))
-    if not hot.limit(1).count():
-        found = pairs.filter(F.col("shared") >= min_shared)
-        return found.select(F.explode(F.array(F.struct("a", "b", "shared"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))).alias("x")).select("x.*")
-
-    signed = stage.write(hot.groupBy("c").agg(F.array_sort(F.collect_list(F.struct("g", "w"))).alias("s")).select("c", F.xxhash64(F.transform("s", lambda v: v["g"])).alias("sig"), "s"), "signatures")
-    kinds = signed.groupBy("sig").agg(F.first("s").alias("s"), F.min("c").alias("first")).select("sig", "first", F.explode("s").alias("v")).select("sig", "first", "v.g", "v.w")
-    kinds = stage.write(kinds, "kinds")
-    x, y = kinds.select("g", "w", F.col("sig").alias("sa")), kinds.select("g", F.col("sig").alias("sb"), "first")
-    both = stage.write(x.join(y, "g").groupBy("sa", "sb").agg(F.sum("w").alias("hot"), F.first("first").alias("first")), "kind-pairs")
-
-    of = lambda c, s: signed.select(F.col("c").alias(c), F.col("sig").alias(s))
-    met = pairs.join(of("a", "sa"), "a", "left").join(of("b", "sb"), "b", "left").join(both.drop("first"), ["sa", "sb"], "left")
-    met = met.select("a", "b", (F.col("shared") + F.coalesce("hot", F.lit(0))).alias("shared")).filter(F.col("shared") >= min_shared)
-    met = met.select(F.explode(F.array(F.struct("a", "b", "shared"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))).alias("x")).select("x.*")
-    some = _first_rows(both.filter(F.col("hot") >= min_shared), k + 1, "sa", F.desc("hot"), "first").drop("first")
-    heads = _first_rows(signed.select(F.col("sig").alias("sb"), F.col("c").alias("b")), k + 1, "sb", "b")
-    best = stage.write(_first_rows(some.join(heads, "sb").drop("sb"), k + 1, "sa", F.desc("hot"), "b"), "heads")
-    alike = of("a", "sa").join(best, "sa").filter("a != b").select("a", "b", F.col("hot").alias("shared"))
-    return met.unionByName(alike).groupBy("a", "b").agg(F.max("shared").alias("shared"))
-
-
-def least_shared(min_score: float, min_shared: int = 1) -> int:
-    """The number of shared shingles from which the score ``10 * log2(1 + shared)`` is ``min_score`` at least."""
-    n = max(min_shared, 1)
-    while 10 * math.log2(1 + n) < min_score:
-        # Close from below, then one by one, so that rounding doesn't matter.
-        n = max(n + 1, int(2 ** (min_score / 10)) - 3)
-    return n
-
-
-def all_by_all_similarity(sequences: DataFrame, k: int = 250, shingle: int = 5, max_held: int = 1000, min_shared: int = 3, min_score: float = 0.0, seq_id: str = "seq_id", sequence: str = "sequence") -> DataFrame:
-    """All-against-all hits of texts by shared word shingles.
-
-    Columns as hits: identity is the Jaccard similarity in percent, alignment length the number
-    of shared shingles, bit score ``10 * log2(1 + shared)``. Hits below ``min_shared`` or
-    ``min_score`` are left out; sequences whose number of shingles, or of shingles that
-    others hold too, keeps every score of theirs below the floor go before any pair is made. All
-    shingles count, however many sequences hold them; ``max_held`` only chooses the way in
-    which they are counted. Texts with the same shingles are one class until each class has its
-    best ``k`` others. Ids are unique; null ids go, null and short texts have no hits.
-    """
-    min_shared = least_shared(min_score, min_shared)
-    stage = Staging(sequences.sparkSession, "similarity")
-    texts = sequences.select(F.col(seq_id).alias("id"), F.col(sequence).alias("_text")).filter("id IS NOT NULL")
-    keyed = texts.select("id", _shingles("_text", shingle).alias("s")).select("id", F.size("s").alias("n"), F.xxhash64("s").alias("h"), F.xxhash64(F.reverse("s")).alias("h2")).filter(F.col("n") >= min_shared)
-    keyed = stage.write(keyed, "keys")
-    reps = keyed.groupBy("h", "h2", "n").agg(F.min("id").alias("c"), F.count("*").alias("members"))
-    members = stage.write(keyed.join(reps, ["h", "h2", "n"]).select("c", "id", "n", "members"), "members")
-    classes = members.filter("c = id").select("c", F.col("n").cast("long").alias("n"), "members")
-    held = stage.write(texts.join(classes.select(F.col("c").alias("id")), "id", "left_semi").select(F.col("id").alias("c"), F.explode(_shingles("_text", shingle)).alias("g")), "shingles")
-
-    others = _first_rows(_shared_shingles(held, k, max_held, min_shared, stage), k, "a", F.desc("shared"), "b")
-    own = classes.filter(F.col("members") > 1).select(F.col("c").alias("a"), F.col("c").alias("b"), F.col("n").alias("shared"))
-    # A sequence meets at most k others, or k + 1 with itself, so of a class the first k + 1 do.
-    heads = _first_rows(members.select(F.col("c").alias("b"), F.col("id").alias("s"), F.col("n").alias("ns")), k + 1, "b", "s")
-    listed = _first_rows(others.unionByName(own).join(heads, "b"), k + 1, "a", F.desc("shared"), "s")
-    lists = listed.groupBy(F.col("a").alias("c")).agg(F.array_sort(F.collect_list(F.struct((-F.col("shared")).alias("o"), "s", "ns"))).alias("x"))
-    hits = members.join(lists, "c").select(F.col("id").alias("qseqid"), F.col("n").alias("nq"), F.explode(F.slice(F.filter("x", lambda v: v["s"] != F.col("id")), 1, k)).alias("v"))
-    shared = -F.col("v.o")
-    return hits.select("qseqid", F.col("v.s").alias("sseqid"), (100.0 * shared / (F.col("nq") + F.col("v.ns") - shared)).alias("pident"), shared.cast("int").alias("alignment_length"), (10 * F.log2(1.0 + shared)).alias("bitscore"))

@@ -12,6 +12,7 @@ from kinweave.functions.selection import quantiles
 from kinweave.operators import components as comp
 from kinweave.operators import edges as E
 from kinweave.operators import neighborhoods as N
+from kinweave.operators import similarity
 from kinweave.operators import stats as S
 
 
@@ -146,11 +147,13 @@ def plain_similarity(texts, k, shingle, floor):
 
 
 @pytest.mark.parametrize("held,score", [(1000, 0.0), (3, 0.0), (1000, 20.0), (3, 20.1)])
-def test_similarity_equals_plain_sets(spark, held, score):
+def test_similarity_equals_plain_sets(spark, monkeypatch, held, score):
     rnd = random.Random(4)
     passages = [" ".join(f"p{p}w{i}" for i in range(7)) for p in range(6)]
     texts = [(i, " ".join(rnd.sample(passages, rnd.randrange(0, 4)) + [f"own{i} {i}"])) for i in range(60)] + [(60 + i, passages[0] + " x y z") for i in range(8)] + [(90, None), (91, ""), (92, "A b"), (None, passages[0])]
     df = spark.createDataFrame(texts, "seq_id long, sequence string").repartition(5)
+    monkeypatch.setattr(similarity, "LEFT", 7)
+    monkeypatch.setattr(similarity, "RIGHT", 11)
     got = E.all_by_all_similarity(df, k=6, max_held=held, min_shared=1, min_score=score).collect()
     floor = next(n for n in range(1, 99) if 10 * math.log2(1 + n) >= score)
     assert sorted((r.qseqid, r.sseqid, r.alignment_length) for r in got) == plain_similarity(texts, 6, 5, floor)
