@@ -32,7 +32,10 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, by shingles of five words."""
+    """One document of each group of near duplicates, by shingles of five words.
+
+    Rows that repeat a ``doc_id`` are one document, and all of them stay or none; null ids stay.
+    """
     kept = minhash.near_duplicates(docs, size=5, percent=80).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(kept, F.col("doc_id") == F.col("_gone"), "left_anti").select(COLUMNS)
 
