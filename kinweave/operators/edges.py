@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinweave.operators.similarity import all_by_all_similarity, least_shared
+from kinweave.operators.similarity import all_by_all_similarity, least_shared  # noqa: F401
 
 EDGE_MAX = 10_000_000
 
