@@ -1,12 +1,15 @@
 """A few registered queries against their SQL on the smallest tables."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
 
 DIR = "/root/testdata/sf0.001"
 NAMES = ["score_statistics", "top_hits_per_query", "demultiplex", "taxonomy_tree", "merge_metadata", "cooccurrence", "read_network", "parse_taxonomy", "connectivity_colors", "sample_random", "taxonomy_tree_additive", "family_hierarchy", "family_arrangements", "parse_protein_records", "annotate", "connected_components"]
+NAMES += ["seed_members", "import_fasta", "write_fasta", "write_metadata", "read_metadata", "query_status", "singletons", "number_clusters", "cluster_info", "component_sizes", "cluster_colors", "color_network", "connected_components_many"]
+NAMES += ["collapse_to_seeds_chunks", "merge_member_rows_chunks", "all_by_all_similarity_floor", "exclude_ids", "refilter_member_lists", "repnode_network", "paint_nodes", "blast_hit_table", "family_sizes", "index_nodes", "write_network", "neighbor_details_above_threshold"]
 
 
 def test_registry():
@@ -25,7 +28,7 @@ def test_query(spark, name):
     def cells(v):
         if hasattr(v, "__len__") and not isinstance(v, str):
             return str(list(v))
-        if v is None or v != v:
+        if v is None or v is pd.NA or v != v:
             return ""
         return v if isinstance(v, str) else f"{float(v):.6g}"
 
