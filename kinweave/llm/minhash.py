@@ -12,9 +12,12 @@ A list of up to ``SMALL`` documents gives all its pairs. For the shortest and th
 its longer ones, each document is paired with a few leaders, some at random and some that are typical: their
 values are in the most other sketches, so they are similar to most. Confirmed
 pairs merge components, and what then lies outside the largest component of its list is compared
-with all documents of such lists that share one of the rarest shingles of the full sets.
-So no link between components is left out, and a large group of copies costs a linear
-number of pairs.
+with documents of such lists that share one of the rarest shingles of the full sets: one by one
+with those of small components, and with those of a large one by differences from its anchor, a
+typical member. Two sets whose differences are few enough in sum are similar, so the member
+with the fewest settles those at once. Any others must have differences in common, which are
+rare where shingles of the group are not, and meet by the rarest of these. So no link between
+components is left out, and a document at the edge of a group of copies doesn't meet all of it.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ LEAST = 18
 SMALL = 32
 #: Leaders of a long list that are chosen at random, and because they are typical.
 LEADERS, TYPICAL = 2, 6
+#: Common differences from an anchor that a pair must show among its rarest, where it needs so many.
+SHOWN = 3
 #: Bits of the filter that keeps unrelated texts out of the verification; it only saves work.
 FILTER_BITS = 22
 
@@ -193,12 +198,86 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, stage
 def _outside(lists: DataFrame, links: list[DataFrame], stage: Staging) -> tuple[DataFrame, DataFrame]:
     """List entries with their component ``c``, and the largest component of each list that has several."""
     comps = connected_components(reduce(DataFrame.unionByName, links), "a", "b")
-    placed = stage.write(lists.join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("value", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")), "placed")
+    placed = stage.write(lists.join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("value", "doc_id", "n", "typical", F.coalesce("component", "doc_id").alias("c")), "placed")
     sizes = placed.groupBy("value", "c").agg(F.count("*").alias("k"))
     major = stage.write(sizes.groupBy("value").agg(F.max_by("c", "k").alias("major"), F.count("*").alias("parts")).filter("parts > 1").select("value", "major"), "major")
     return placed, major
 
 
+def _packed_sets(texts: DataFrame, size: int) -> DataFrame:
+    """``doc_id, n, key, s``: the packed full set of each text with ``n`` shingles, and a 64-bit print of it."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("s", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                sets = [shingle_set(t, size) for t in part.column(2).to_pylist()]
+                keep = [i for i, (s, n) in enumerate(zip(sets, part.column(1).to_pylist(), strict=True)) if len(s) == n]
+                rows = pa.array(keep, pa.int64())
+                keys = np.array([xxhash.xxh3_64_intdigest(sets[i].tobytes()) for i in keep], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array(keys), pa.array([sets[i].tobytes() for i in keep], pa.binary())], schema=schema)
+
+    return texts.select("doc_id", "n", "text").mapInArrow(run, "doc_id long, n long, key long, s binary")
+
+
+def _differences(rows: DataFrame) -> DataFrame:
+    """``c, key, doc_id, n, role, size, values``: what one of a set ``s`` and its anchor ``t`` has and the other lacks."""
+    schema = pa.schema([("c", pa.int64()), ("key", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("role", pa.int32()), ("size", pa.int64()), ("values", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                sets = [np.setxor1d(np.frombuffer(s, np.int64), np.frombuffer(t, np.int64), assume_unique=True) for s, t in zip(part.column(5).to_pylist(), part.column(6).to_pylist(), strict=True)]
+                sizes = np.array([len(d) for d in sets], np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(5)), pa.array(sizes), lists], schema=schema)
+
+    return rows.select("c", "key", "doc_id", "n", "role", "s", "t").mapInArrow(run, "c long, key long, doc_id long, n long, role int, size long, values array<long>")
+
+
+def _beside_large(near: DataFrame, crowd: DataFrame, sets: DataFrame, rows: int, percent: int, stage: Staging) -> DataFrame:
+    """``a, b`` that connect documents with the large components ``c`` they may be similar to.
+
+    ``near`` has ``x, m, c, home``: a document, its set's size, a component, and if documents
+    that share this home are to meet each other there as well. With ``d`` the number of values
+    that only one of two sets has, the sets are similar if ``(100 + percent) * d`` is at most
+    ``(100 - percent)`` times the sum of their sizes, and ``d`` is the sum of their differences
+    from the anchor less twice the common ones. So what is similar to any set without common
+    differences is similar to the set of least score, too.
+    """
+    guests = near.select(F.col("x").alias("doc_id"), F.col("m").alias("n"), "c", F.when(F.col("home"), 2).otherwise(3).alias("role"))
+    members = crowd.filter("large").select("doc_id", "n", "c", F.lit(1).alias("role"), "typical").join(near.select("c").distinct(), "c")
+    anchors = members.groupBy("c").agg(F.max_by(F.struct("doc_id", "n"), F.struct("typical", "doc_id")).alias("t")).select("c", "t.doc_id", "t.n")
+    anchors = anchors.join(sets, ["doc_id", "n"]).groupBy("c").agg(F.min("s").alias("t"))
+    meet = members.drop("typical").unionByName(guests).join(sets, ["doc_id", "n"]).join(anchors, "c")
+    diffs = stage.write(_differences(meet), "differences", rows)
+    score = F.col("size") * (100 + percent) - F.col("n") * (100 - percent)
+    least = lambda role: F.min_by(F.struct("doc_id", score.alias("score")), F.when(role, F.struct(score, F.col("doc_id"))))
+    best = diffs.groupBy("c").agg(F.array(least(F.col("role") == 1), least(F.col("role") < 3)).alias("best")).select("c", F.explode("best").alias("best"))
+    pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+    stars = diffs.filter("role > 1").join(best, "c").filter((F.col("doc_id") != F.col("best.doc_id")) & (score + F.col("best.score") <= 0)).select(pair("doc_id", "best.doc_id"))
+
+    each = diffs.select("c", "key", "doc_id", "n", "role", "size", F.explode("values").alias("value"))
+    held = each.groupBy("c", "value").agg(F.count("*").alias("held")).filter("held > 1")
+    per = Window.partitionBy("c", "key")
+    order = each.join(held, ["c", "value"]).withColumn("own", F.row_number().over(per.orderBy("held", "value"))).withColumn("others", F.count("*").over(per))
+    # Places before ``last`` count; a pair that needs ``k`` common differences shows up to SHOWN of them among all but its last ``k``.
+    lists = stage.write(order.select("c", "value", "key", "doc_id", "n", "role", score.alias("score"), (F.col("others") - F.col("own")).alias("after")), "difference-lists")
+    x = lists.filter("role > 1").select("c", "value", F.col("key").alias("kx"), F.col("doc_id").alias("x"), F.col("n").alias("m"), F.col("score").alias("x_score"), F.col("after").alias("x_after"))
+    total = F.col("score") + F.col("x_score")
+    need = F.ceil(total / F.lit(2.0 * (100 + percent)) - 1e-9)
+    shown = F.least(F.lit(SHOWN), need)
+    fits = (F.least("n", "m") * 100) >= (F.greatest("n", "m") * percent)
+    early = (F.col("after") >= need - shown) & (F.col("x_after") >= need - shown)
+    met = x.join(lists.filter("role < 3"), ["c", "value"]).filter((F.col("doc_id") != F.col("x")) & (total > 0) & fits & early)
+    met = met.groupBy("c", "kx", "x", "key", "doc_id").agg(F.count("*").alias("k"), F.min(shown).alias("shown")).filter("k >= shown").select(pair("x", "doc_id"))
+    return stage.write(stars.unionByName(met).distinct(), "beside-large", rows)
+
+
 def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``doc_id, text``.
 
@@ -238,26 +317,42 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     first = stage.write(_estimated(pairs.unionByName(led).distinct(), reps, percent), "pairs")
 
     links = [first.filter("sure").select("a", "b"), _confirmed(first.filter("NOT sure").select("a", "b"), docs, size, percent, stage)]
-    # Long lists: what isn't in the largest component of its list meets all documents of its lists
+    # Long lists: what isn't in the largest component of its list meets documents of its lists
     # with which it shares one of the rarest values of the full sets: as many as two similar sets
     # can't both lack.
-    differ = (F.col("c") != F.col("d")) & fits(n, F.col("m"))
-    pair = [F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b")]
-    placed, major = _outside(long_.select("value", "doc_id", "n"), links, stage)
-    crowd = stage.write(placed.join(major, "value").select("doc_id", "n", "c", (F.col("c") != F.col("major")).alias("minor")).groupBy("doc_id", "n", "c").agg(F.max("minor").alias("minor")), "crowd")
-    stage.drop(live, placed, major)
-    texts = _among(docs, crowd.select("doc_id")).join(crowd.select("doc_id", "n"), "doc_id")
-    values = stage.write(_values(texts, lambda raw: [shingle_set(t, size) for t in raw], "text"), "crowd-sets")
+    placed, major = _outside(long_.select("value", "doc_id", "n", "typical"), links, stage)
+    crowd = placed.join(major, "value").select("doc_id", "n", "c", "typical", (F.col("c") != F.col("major")).alias("minor")).groupBy("doc_id", "n", "c").agg(F.max("minor").alias("minor"), F.max("typical").alias("typical"))
+    crowd = stage.write(crowd, "crowd")
+    large = crowd.groupBy("c").agg(F.count("*").alias("k")).filter(F.col("k") > SMALL).select("c", F.lit(True).alias("large"))
+    n_crowd = crowd.count()
+    crowd_ = stage.write(crowd.join(large, "c", "left").withColumn("large", F.coalesce("large", F.lit(False))), "crowd", n_crowd)
+    stage.drop(live, placed, major, crowd)
+    crowd = crowd_
+    sets = stage.write(_packed_sets(_among(docs, crowd.select("doc_id")).join(crowd.select("doc_id", "n"), "doc_id"), size), "crowd-sets")
     bucket = F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    rare = stage.write(_rarest(values, all_of).join(crowd, ["doc_id", "n"]).withColumn("bucket", bucket), "crowd-lists")
-    stage.drop(values, crowd)
-    outside = rare.filter("minor").select("value", F.col("doc_id").alias("x"), n.alias("m"), F.col("c").alias("d"), F.col("at").alias("x_at"), F.explode(F.array(*[F.col("bucket") + i for i in (-1, 0, 1)])).alias("bucket"))
+    values = _values(sets, lambda raw: [np.frombuffer(s, np.uint64) for s in raw], "s")
+    rare = stage.write(_rarest(values, all_of).join(crowd.drop("typical"), ["doc_id", "n"]).select("value", "doc_id", "n", "at", "c", "minor", "large", bucket.alias("bucket")), "crowd-lists")
+    x = [F.col("doc_id").alias("x"), n.alias("m"), F.col("c").alias("d"), F.col("at").alias("x_at"), F.col("large").alias("x_large")]
+    outside = rare.filter("minor").select("value", *x, F.explode(F.array(*[F.col("bucket") + i for i in (-1, 0, 1)])).alias("bucket"))
     # Two similar sets share so many values that none of them can lack more of its rarest ones.
     shared = F.ceil((n + F.col("m")) * percent / (100.0 + percent) - 1e-9)
     early = (F.col("at") <= n - shared) & (F.col("x_at") <= F.col("m") - shared)
-    met = outside.join(rare, ["value", "bucket"]).filter(differ & early).select(pair).distinct()
-    met = stage.write(met, "late")
-    stage.drop(rare)
+    # Large components: all their entries in a list count as one, with the loosest bounds.
+    bounds = rare.filter("large").groupBy("value", "bucket", "c").agg(F.min("n").alias("n"), F.min(F.col("at") * (100 + percent) - n * 100).alias("slack"))
+    may = (F.col("c") != F.col("d")) & (F.col("slack") + F.col("m") * percent <= 0) & (F.col("x_at") * (100 + percent) <= F.col("m") * 100 - n * percent)
+    near = outside.join(bounds, ["value", "bucket"]).filter(may).groupBy("x", "m", "c", "x_large").agg(F.count("*").alias("k"))
+    first_ = F.row_number().over(Window.partitionBy("x", "m").orderBy(F.desc("k"), "c")) == 1
+    near = stage.write(near.select("x", "m", "c", (first_ & ~F.col("x_large")).alias("home")), "near", n_crowd)
+    beside = _beside_large(near, crowd, sets, n_crowd, percent, stage)
+    # Small components: documents meet one by one, but for those that have met beside a large one.
+    homes = near.filter("home").select(F.col("x").alias("doc_id"), F.col("m").alias("n"), F.col("c").alias("home"))
+    y = rare.filter("NOT large").join(homes, ["doc_id", "n"], "left")
+    outside = outside.join(homes.select(F.col("doc_id").alias("x"), F.col("n").alias("m"), F.col("home").alias("x_home")), ["x", "m"], "left")
+    apart = ~(F.col("x_large") & F.col("minor")) & ~F.coalesce(F.col("home") == F.col("x_home"), F.lit(False))
+    met = outside.join(y, ["value", "bucket"]).filter((F.col("c") != F.col("d")) & fits(n, F.col("m")) & early & apart)
+    met = met.select(F.least("doc_id", "x").alias("a"), F.greatest("doc_id", "x").alias("b")).unionByName(beside).distinct()
+    met = stage.write(met, "late", n_crowd)
+    stage.drop(rare, crowd, sets)
     links.append(_confirmed(met, docs, size, percent, stage))  # the prefixes of full sets say more than sketches
     comps = connected_components(reduce(DataFrame.unionByName, [*links, members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))]), "a", "b")
 

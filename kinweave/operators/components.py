@@ -15,11 +15,11 @@ MAX_ROUNDS = 100
 HUB_SHARE, HUB_ROWS = 0.25, 1000
 
 
-def _minima(edges: DataFrame, stage: Staging) -> DataFrame:
+def _minima(edges: DataFrame, stage: Staging, rows: int) -> DataFrame:
     """``u, m, out, into`` for each ``u`` of the edges: its least ``v``, and how many of its ``v`` are smaller and larger."""
     smaller = F.col("v") < F.col("u")
     lows = edges.groupBy("u").agg(F.min("v").alias("m"), F.count_if(smaller).alias("out"), F.count_if(~smaller).alias("into"))
-    return stage.write(lows, "minima")
+    return stage.write(lows, "minima", rows)
 
 
 def _with_minima(edges: DataFrame, lows: DataFrame) -> DataFrame:
@@ -55,17 +55,18 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", n
     stage = Staging(edges.sparkSession, "components")
     ends = edges.select(F.col(src).alias("s"), F.col(dst).alias("d")).filter("s IS NOT NULL AND d IS NOT NULL")
     now = stage.write(ends.filter("s != d").select(F.greatest("s", "d").alias("u"), F.least("s", "d").alias("v")).distinct(), "edges")
+    rows = now.count()
     for _ in range(MAX_ROUNDS):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lows = _minima(both, stage)
+        lows = _minima(both, stage, rows)
         # Done when every node has one edge at most to a smaller node, and that one has none itself.
         if not lows.filter("out > 1 OR (out > 0 AND into > 0)").limit(1).count():
             break
         near = lows.withColumn("m", F.least("u", "m"))
-        large = stage.write(_with_minima(both, near).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-        least = _minima(large, stage)
+        large = stage.write(_with_minima(both, near).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large", rows)
+        least = _minima(large, stage, rows)
         small = _with_minima(large, least).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        after = stage.write(small, "edges")
+        after = stage.write(small, "edges", rows)
         stage.drop(now, lows, large, least)
         now = after
     else:

@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from kinweave.functions.staging import Staging
 from kinweave.llm import huffman, language, line_dedup, minhash, mixing, packing, quality_model, quality_rules, tokens, topk, urls
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -163,6 +164,34 @@ def test_near_duplicates(spark, monkeypatch, small):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_the_edge_of_a_large_group_does_not_meet_all_of_it(spark, monkeypatch, repeated):
+    """Copies with up to 6 words of 150 replaced, and 10 to 14 in every tenth, which are similar to few or to no others."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(400):
+        copy = list(base)
+        for at in rng.sample(range(150), rng.randint(10, 14) if i % 10 == 0 else rng.randint(1, 6)):
+            copy[at] = rng.choice(["left", "right", f"own{i}-{at}"])
+        texts.append((i, " ".join(copy)))
+    late, put = [], Staging.write
+
+    def write(stage, df, name, *rest):
+        out = put(stage, df, name, *rest)
+        if name == "late":
+            late.append(out.count())
+        return out
+
+    monkeypatch.setattr(Staging, "write", write)
+    rows = [*texts, *((i + 1000 * (i % 3), t) for i, t in texts[::5])] if repeated else texts
+    got = minhash.near_duplicates(frame(spark, rows)).collect()
+    want = brute_components(list(dict(rows).items()), 2, 80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert len({c for _, c in want.values()}) > 5
+    assert sum(late) < 2 * len(texts)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
     got = minhash.near_duplicates(frame(spark, [(None, "a b c"), (1, "a b c"), (1, "a b c")])).collect()
