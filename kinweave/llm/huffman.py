@@ -27,6 +27,9 @@ MAX_BITS = 18
 STRIDE = 128
 #: Ids after which a block ends; a block holds whole documents.
 BLOCK_IDS = 1 << 19
+#: Words that a task remembers, and bytes of text that it cuts at a time: more than by default,
+#: as nothing else is in memory while texts are tokenized.
+WORDS, BYTES = 1_000_000, 24 << 20
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -134,7 +137,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int | None = None, doc_id: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, ids, counts in encode_column(path, batch.column(1), end_id):
+            for first, last, ids, counts in encode_column(path, batch.column(1), end_id, WORDS, BYTES):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(counts), binaries(ids, counts).cast(pa.binary())], schema=schema)
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary")

@@ -70,6 +70,20 @@ def test_columns_equal_the_unmodified_tokenizer(name, monkeypatch):
     assert ids_of(path, texts[:200]) == want[:200]
 
 
+def test_plain_pieces_are_not_split_by_the_pattern():
+    """ASCII letters or digits, with marks behind them or not, make one word or two; all else goes through the pattern."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    e, t, split = tokens.ColumnEncoder(path), Tokenizer.from_file(path), []
+    pattern = e.split
+    e.split = lambda s: split.append(s) or pattern(s)
+    plain = ["word", "Word.", "words,", "dogs'", "3,", "42", "end?!", "a^`_", "x--", "word", "Word!", "o'", "a\"]"]
+    other = ["don't", "x's", "'s", "'ll", "1a", "a1.", "été.", "a\nb", ".\nOn", "...", "", "a ", "a.é", "٤.", "a\x00", "a\u0301."]
+    texts = [" ".join(["first", *plain, *other, *plain]), " ".join(["", *other, "z"]), "alone", "", " ".join(["first.", *reversed(plain)])]
+    got = [x for *_, ids, counts in e.encode(pa.array(texts)) for x in np.split(ids, np.cumsum(counts)[:-1])]
+    assert [x.tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert not {f" {x}" for x in plain} & set(split)
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_columns_equal_the_tokenizer_on_documents(name):
     path = public_tokenizers.path(name)
