@@ -328,11 +328,13 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     crowd_ = stage.write(crowd.join(large, "c", "left").withColumn("large", F.coalesce("large", F.lit(False))), "crowd", n_crowd)
     stage.drop(live, placed, major, crowd)
     crowd = crowd_
-    sets = stage.write(_packed_sets(_among(docs, crowd.select("doc_id")).join(crowd.select("doc_id", "n"), "doc_id"), size), "crowd-sets")
+    texts = _among(docs, crowd.select("doc_id")).join(crowd.select("doc_id", "n"), "doc_id")
+    sets = stage.write(_packed_sets(texts, size), "crowd-sets")
+    values = stage.write(_values(texts, lambda raw: [shingle_set(t, size) for t in raw], "text"), "crowd-values")
     bucket = F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    values = _values(sets, lambda raw: [np.frombuffer(s, np.uint64) for s in raw], "s")
     rare = stage.write(_rarest(values, all_of).join(crowd.drop("typical"), ["doc_id", "n"]).select("value", "doc_id", "n", "at", "c", "minor", "large", bucket.alias("bucket")), "crowd-lists")
     x = [F.col("doc_id").alias("x"), n.alias("m"), F.col("c").alias("d"), F.col("at").alias("x_at"), F.col("large").alias("x_large")]
+    stage.drop(values)
     outside = rare.filter("minor").select("value", *x, F.explode(F.array(*[F.col("bucket") + i for i in (-1, 0, 1)])).alias("bucket"))
     # Two similar sets share so many values that none of them can lack more of its rarest ones.
     shared = F.ceil((n + F.col("m")) * percent / (100.0 + percent) - 1e-9)
