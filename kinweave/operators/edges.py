@@ -87,9 +87,15 @@ def filter_edges_within_groups(edges: DataFrame, groups: DataFrame, q: str = "qs
     return edges.join(of(q, "_g1"), q).join(of(s, "_g2"), s).filter("_g1 = _g2").withColumnRenamed("_g1", "group").select(*edges.columns, "group")
 
 
-def guard_edge_count(edges: DataFrame, max_edges: int = EDGE_MAX) -> tuple[bool, DataFrame]:
+def edge_limit(edges: DataFrame, max_edges: int | None = None) -> DataFrame:
+    """One row ``fits, num_edges``: whether there are at most ``max_edges`` (none given: ``EDGE_MAX``), and the number of all edges."""
+    n = F.count("*")
+    return edges.agg((n <= (EDGE_MAX if max_edges is None else max_edges)).alias("fits"), n.alias("num_edges"))
+
+
+def guard_edge_count(edges: DataFrame, max_edges: int | None = None) -> tuple[bool, DataFrame]:
     """Whether there are at most ``max_edges``, and the edges (none if there are more)."""
-    fits = edges.count() <= max_edges
+    fits = edge_limit(edges, max_edges).first().fits
     return fits, edges if fits else edges.limit(0)
 
 
