@@ -5,6 +5,8 @@ The gene table has ``genome, accession, num, linear, normal, start, stop``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,10 @@ from kinweave.operators.stats import cut2
 #: Largest window to either side.
 MAX_SIZE = 20
 NONE = "none"
+#: Windows to one side that a bucket of a genome is long, two at least.
+WIDE = 4
+#: Queries of a cluster that are counted in one place.
+LOT = 10_000
 
 
 def choose_genome(queries: DataFrame, genes: DataFrame) -> DataFrame:
@@ -31,39 +37,63 @@ def choose_genome(queries: DataFrame, genes: DataFrame) -> DataFrame:
     return rows.withColumn("_r", F.row_number().over(Window.partitionBy("accession").orderBy(*order))).filter("_r = 1").drop("_r")
 
 
-def neighbor_window(chosen: DataFrame, genes: DataFrame, size: int = MAX_SIZE) -> DataFrame:
-    """Genes of the query's genome within ``size`` places, around the ends of circular genomes that are larger.
+def in_clusters(chosen: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Chosen genes with the columns of their clusters (``cluster_num, query`` and more); a gene of several clusters has a row for each."""
+    return chosen.join(clusters.withColumnRenamed("query", "accession"), "accession")
+
+
+def _window(chosen: DataFrame, genes: DataFrame, size: int, carry: tuple[str, ...]) -> DataFrame:
+    """:func:`neighbor_window` with ``_bucket``; its rows lie where (``genome``, ``_bucket``) puts them, so a query's are in one place unless it is near an end.
 
-    Places are cut into buckets of the window's size and each query asks for the few that its
-    window touches, so a long genome gives each query a bounded number of candidates.
+    Genomes are cut into buckets of ``WIDE`` windows. A gene is copied to the next bucket if queries
+    there reach it, and a query asks its own bucket, and for what lies around the end the buckets
+    there, whose own genes it takes from.
     """
     low, high = F.col("q_num") - size, F.col("q_num") + size
     wraps = ~F.col("q_linear") & (F.lit(size) < F.col("max_num"))
     wrap_from, wrap_to = F.when(wraps & (low < 1), F.col("max_num") + low), F.when(wraps & (high > F.col("max_num")), high - F.col("max_num"))
-    q = chosen.select("genome", F.col("accession").alias("query"), F.col("num").alias("q_num"), F.col("linear").alias("q_linear"), F.col("normal").alias("q_normal"), F.col("start").alias("q_start"), F.col("stop").alias("q_stop"), "max_num", "max_stop")
+    q = chosen.select("genome", F.col("accession").alias("query"), F.col("num").alias("q_num"), F.col("linear").alias("q_linear"), F.col("normal").alias("q_normal"), F.col("start").alias("q_start"), F.col("stop").alias("q_stop"), "max_num", "max_stop", *carry)
     q = q.withColumns({"low": low, "high": high, "wrap_from": wrap_from, "wrap_to": wrap_to})
-    bucket = lambda c: F.floor(c / max(size, 1)).cast("long")
-    spans = F.array_distinct(F.flatten(F.array(
-        F.sequence(bucket(F.col("low")), bucket(F.col("high"))),
-        F.when(F.col("wrap_from").isNotNull(), F.sequence(bucket(F.col("wrap_from")), F.greatest(bucket(F.col("wrap_from")), bucket(F.col("max_num"))))).otherwise(F.array().cast("array<bigint>")),
-        F.when(F.col("wrap_to").isNotNull(), F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), bucket(F.col("wrap_to"))))).otherwise(F.array().cast("array<bigint>")))))
-    asked = q.withColumn("bucket", F.explode(spans))
-    placed = genes.withColumn("bucket", bucket(F.col("num")))
-    near = ((F.col("num") >= F.col("low")) & (F.col("num") <= F.col("high"))) | F.coalesce(F.col("num") >= F.col("wrap_from"), F.lit(False)) | F.coalesce(F.col("num") <= F.col("wrap_to"), F.lit(False))
-    return asked.join(placed, ["genome", "bucket"]).filter(near).drop("bucket")
-
-
-def neighbor_distance(window: DataFrame) -> DataFrame:
-    """Signed distance, relative places, residue length and direction of each neighbour; the query itself goes."""
+    bucket = lambda c: F.floor(c / (WIDE * max(size, 1))).cast("long")
+    none = F.array().cast("array<bigint>")
+    ends = F.array_distinct(F.concat(
+        F.when(F.col("wrap_from").isNotNull(), F.sequence(bucket(F.col("wrap_from")), F.greatest(bucket(F.col("wrap_from")), bucket(F.col("max_num"))))).otherwise(none),
+        F.when(F.col("wrap_to").isNotNull(), F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), bucket(F.col("wrap_to"))))).otherwise(none)))
+    ask = lambda at, wrap: F.struct(at.alias("_bucket"), F.lit(wrap).alias("_wrap"))
+    asked = q.select("*", F.explode(F.concat(F.array(ask(bucket(F.col("q_num")), False)), F.transform(ends, lambda x: ask(x, True)))).alias("_ask")).select(*q.columns, "_ask.*")
+    at = bucket(F.col("num"))
+    placed = genes.select("*", F.explode(F.array_distinct(F.array(at, bucket(F.col("num") - size), bucket(F.col("num") + size)))).alias("_bucket")).withColumn("_own", F.col("_bucket") == at)
+    inside = (F.col("num") >= F.col("low")) & (F.col("num") <= F.col("high"))
+    around = F.coalesce(F.col("num") >= F.col("wrap_from"), F.lit(False)) | F.coalesce(F.col("num") <= F.col("wrap_to"), F.lit(False))
+    return asked.join(placed, ["genome", "_bucket"]).filter(F.when(F.col("_wrap"), F.col("_own") & ~inside & around).otherwise(inside)).drop("_wrap", "_own")
+
+
+def neighbor_window(chosen: DataFrame, genes: DataFrame, size: int = MAX_SIZE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Genes of the query's genome within ``size`` places, around the ends of circular genomes that are larger.
+
+    Places are numbered from 1. Genomes are cut into buckets, so a long genome gives each query a bounded
+    number of candidates. Further columns of ``genes`` and those of ``chosen`` in ``carry`` are
+    passed on: what is known of a gene or a query is joined before the window multiplies them.
+    """
+    return _window(chosen, genes, size, carry).drop("_bucket")
+
+
+def _distance():
+    """Signed distance in a window, and whether its gene lies around the start or the end."""
     before = (F.col("num") > F.col("high")) & F.col("wrap_from").isNotNull()
     after = (F.col("num") < F.col("low")) & F.col("wrap_to").isNotNull()
-    distance = F.col("num") - F.col("q_num") + F.when(before, -F.col("max_num")).when(after, F.col("max_num")).otherwise(0)
+    return F.col("num") - F.col("q_num") + F.when(before, -F.col("max_num")).when(after, F.col("max_num")).otherwise(0), before, after
+
+
+def neighbor_distance(window: DataFrame, *carry: str) -> DataFrame:
+    """Signed distance, relative places, residue length and direction of each neighbour, and the columns in ``carry``; the query itself goes."""
+    distance, before, after = _distance()
     start = F.when(before, F.col("start") - F.col("max_stop")).when(after, F.col("max_stop") + F.col("start")).otherwise(F.col("start")) - F.col("q_start")
     length = F.abs(F.col("stop") - F.col("start"))
     words = lambda c: F.when(F.col(c), "normal").otherwise("complement")
     out = window.select(
         "query", "genome", F.col("accession").alias("neighbor"), "num", distance.cast("long").alias("distance"), start.cast("long").alias("rel_start"), (start + length).cast("long").alias("rel_stop"),
-        F.greatest(F.expr("try_cast(abs(stop - start) / 3 - 1 AS bigint)"), F.lit(-1)).alias("seq_len"), words("normal").alias("direction"), words("q_normal").alias("query_direction"), F.when(F.col("linear"), "linear").otherwise("circular").alias("type"))
+        F.greatest(F.expr("try_cast(abs(stop - start) / 3 - 1 AS bigint)"), F.lit(-1)).alias("seq_len"), words("normal").alias("direction"), words("q_normal").alias("query_direction"), F.when(F.col("linear"), "linear").otherwise("circular").alias("type"), *carry)
     return out.filter("distance != 0")
 
 
@@ -78,6 +108,11 @@ def with_families(neighbors: DataFrame, families: DataFrame) -> DataFrame:
     return neighbors.join(known, "neighbor", "left").withColumn("family", F.coalesce(F.when(F.col("family") != "", F.col("family")), F.lit(NONE)))
 
 
+def genes_with_families(genes: DataFrame, families: DataFrame) -> DataFrame:
+    """Adds the joined families of each gene, ``none`` where it has none. ``families``: ``accession, family``."""
+    return genes.join(gene_families(families), "accession", "left").withColumn("family", F.coalesce(F.when(F.col("family") != "", F.col("family")), F.lit(NONE)))
+
+
 def query_status(queries: DataFrame, chosen: DataFrame, neighbors: DataFrame, size: int = MAX_SIZE) -> DataFrame:
     """``query, status, edge``: nomatch, noneighbor or ok; edge of the contig 1 left, 2 right, 3 both."""
     at = chosen.select(F.col("accession").alias("query"), F.when(F.col("num") - size < 1, 1).otherwise(0).bitwiseOR(F.when(F.col("num") + size > F.col("max_num"), 2).otherwise(0)).alias("edge"))
@@ -111,10 +146,80 @@ def family_neighbors(clusters: DataFrame, neighbors: DataFrame) -> DataFrame:
     return _of_families(stage.write(clusters.join(near, "query").select("cluster_num", "family", "query", "away"), "rows"))
 
 
+def _counts_of_queries(chosen: DataFrame, genes: DataFrame, size: int) -> DataFrame:
+    """``cluster_num, _lot, family, query, _p0.., _many``: how many neighbours of a family each query has at each distance.
+
+    Counted where the window is made, so a row for each query and family is moved and not one for each
+    neighbour. Counts are packed, ten of six bits in a number; those of a query with over 63
+    neighbours of one family are listed in ``_many``. A query near an end may have several rows.
+    """
+    clusters = chosen.groupBy("cluster_num").agg(F.ceil(F.count("*") / LOT).alias("_lots")).withColumnRenamed("cluster_num", "_c")
+    lots = chosen.join(clusters, F.col("cluster_num") == F.col("_c"), "left").withColumn("_lot", F.pmod(F.xxhash64("accession"), F.coalesce("_lots", F.lit(1))).cast("int"))
+    away = F.abs(_distance()[0])
+    near = _window(lots, genes, size, ("cluster_num", "_lot")).withColumn("away", away).filter("away != 0")
+    at = range(1, size + 1)
+    counted = near.groupBy("genome", "_bucket", "cluster_num", "_lot", "family", "query").agg(*[F.count_if(F.col("away") == i).alias(f"_{i}") for i in at], F.count_if(F.col("away") > size).alias("_far"))
+    sum_ = lambda columns: reduce(lambda x, y: x + y, columns)
+    few = sum_([F.col(f"_{i}") for i in at]) <= 63
+    packed = [sum_([F.shiftleft(F.col(f"_{i}"), 6 * k) for k, i in enumerate(at[j : j + 10])]) for j in range(0, size, 10)]
+    packed[0] = F.when(F.col("_far") > 0, F.raise_error(F.lit("places of a genome are numbered from 1")).cast("long")).otherwise(packed[0])
+    many = F.when(~few, F.array(*[F.col(f"_{i}") for i in at]))
+    return counted.select("cluster_num", "_lot", "family", "query", *[x.alias(f"_p{j}") for j, x in enumerate(packed)], many.alias("_many"))
+
+
+def _families_of_counts(counts: DataFrame, size: int) -> DataFrame:
+    """:func:`family_neighbors` of :func:`_counts_of_queries`. A cluster's queries are dealt to lots, so a large one is counted in several places."""
+    keys, at = ["cluster_num", "family"], range(1, size + 1)
+    field = lambda i: F.shiftrightunsigned(F.col(f"_p{(i - 1) // 10}"), 6 * ((i - 1) % 10)).bitwiseAND(F.lit(63).cast("long"))
+    each = counts.repartition(*keys, "_lot").groupBy(*keys, "_lot", "query").agg(*[F.sum(F.when(F.col("_many").isNull(), field(i)).otherwise(F.get("_many", F.lit(i - 1)))).alias(f"_{i}") for i in at])
+    out = each.groupBy(*keys).agg(F.count("*").alias("num_queries"), *[F.sum(f"_{i}").alias(f"_{i}") for i in at])
+    upto = [F.col("_1")]
+    for i in at[1:]:
+        upto.append(upto[-1] + F.col(f"_{i}"))
+    out = out.select(*keys, "num_queries", upto[-1].alias("num_neighbors"), reduce(lambda x, y: x + y, [F.col(f"_{i}") * i for i in at]).alias("_s"), F.array(*upto).alias("_upto"))
+    # The distance at a rank from 0 is one more than the number of distances whose neighbours end before it.
+    place = lambda rank: F.size(F.filter("_upto", lambda n: n <= rank)) + 1
+    median = (place(F.floor((F.col("num_neighbors") - 1) / 2)) + place(F.floor(F.col("num_neighbors") / 2))) / 2
+    return out.select(*keys, "num_queries", "num_neighbors", cut2(F.col("_s"), F.col("num_neighbors")).alias("average_distance"), (F.floor(median * 100) / 100).alias("median_distance"))
+
+
+def genome_families(chosen: DataFrame, genes: DataFrame, size: int = MAX_SIZE) -> DataFrame:
+    """:func:`family_neighbors` straight from genes: ``chosen`` with ``cluster_num``, ``genes`` with ``family``."""
+    return _families_of_counts(_counts_of_queries(chosen, genes, size), size)
+
+
+def genome_cooccurrence(clusters: DataFrame, chosen: DataFrame, genes: DataFrame, threshold: float = 0.0, strict: bool = False, size: int = MAX_SIZE) -> DataFrame:
+    """:func:`cooccurrence` straight from genes: ``clusters`` as there, ``chosen`` genes without cluster, ``genes`` with ``family``.
+
+    The counts of each query and family are written to the shared folder, neighbours are not.
+    """
+    stage = Staging(genes.sparkSession, "cooccurrence")
+    counts = stage.write(_counts_of_queries(in_clusters(chosen, clusters.select("cluster_num", "query")), genes, size), "counts")
+    some = counts.select("cluster_num", "query").distinct().groupBy("cluster_num").agg(F.count("*").alias("_n"))
+    den = clusters.groupBy("cluster_num").agg(F.countDistinct("query").alias("num_seqs")).filter("num_seqs >= 2").join(some, "cluster_num")
+    out = _families_of_counts(counts, size).join(den.withColumnRenamed("_n", "num_with_neighbors"), "cluster_num").withColumn("cooccurrence", cut2(F.col("num_queries"), F.col("num_with_neighbors")))
+    return out.filter(F.col("cooccurrence") > threshold if strict else F.col("cooccurrence") >= threshold)
+
+
+def _arrangement():
+    return F.concat_ws(":", "query", "query_direction", "neighbor", "direction", "distance").alias("arrangement")
+
+
+def genome_arrangements(chosen: DataFrame, genes: DataFrame, size: int = MAX_SIZE) -> DataFrame:
+    """:func:`family_arrangements` straight from genes: ``chosen`` with ``cluster_num``, ``genes`` with ``family``.
+
+    A query meets a gene at one distance only, so once genes and queries are distinct, so are the texts; only
+    where an id holds a colon may two texts be equal by chance.
+    """
+    once = genes.dropDuplicates(["genome", "accession", "num", "normal", "family"])
+    near = neighbor_distance(neighbor_window(chosen.dropDuplicates(["cluster_num", "accession"]), once, size, ("cluster_num",)), "cluster_num", "family")
+    out = near.select("cluster_num", "family", _arrangement())
+    return out.distinct() if genes.filter(F.contains("accession", F.lit(":"))).limit(1).count() else out
+
+
 def family_arrangements(clusters: DataFrame, neighbors: DataFrame) -> DataFrame:
     """``cluster_num, family, arrangement``: a row for each distinct ``query:direction:neighbor:direction:distance``."""
-    text = F.concat_ws(":", "query", "query_direction", "neighbor", "direction", "distance")
-    return clusters.join(neighbors, "query").select("cluster_num", "family", text.alias("arrangement")).distinct()
+    return clusters.join(neighbors, "query").select("cluster_num", "family", _arrangement()).distinct()
 
 
 def cluster_denominators(clusters: DataFrame, neighbors: DataFrame) -> DataFrame:

@@ -34,6 +34,11 @@ def _plain(spark, d):
     return N.neighbor_distance(N.neighbor_window(_chosen(spark, d), _genes(spark, d), SIZE))
 
 
+def _named(spark, d):
+    """Genes with their families, joined before the window multiplies them."""
+    return N.genes_with_families(_genes(spark, d), view(spark, d, "genes").filter("family != 'error'").select("accession", "family"))
+
+
 def _neighbors(spark, d):
     families = view(spark, d, "genes").filter("family != 'error'").select("accession", "family")
     return Staging(spark, "neighbors").write(N.with_families(_plain(spark, d), families), "neighbors")
@@ -87,7 +92,7 @@ def family_neighbors(spark, d):
 
 @query("SELECT DISTINCT cluster_num, family, concat_ws(':', query, query_direction, neighbor, direction, distance) AS arrangement FROM clustered JOIN neighbors USING (query)")
 def family_arrangements(spark, d):
-    return N.family_arrangements(_clusters(spark, d), _neighbors(spark, d))
+    return N.genome_arrangements(N.in_clusters(_chosen(spark, d), _clusters(spark, d)), _named(spark, d), SIZE)
 
 
 @query("SELECT * FROM denom")
