@@ -263,6 +263,12 @@ def family_hubs(cooccurrences: DataFrame) -> DataFrame:
     return cooccurrences.filter(F.col("family") != NONE).groupBy("family").agg(F.sum("num_queries").alias("num_queries"), F.sum("num_neighbors").alias("num_neighbors"), F.sum("num_with_neighbors").alias("num_with_neighbors"), _spokes("cluster_num", "num_queries", "num_neighbors", "cooccurrence"))
 
 
+def _details(rows: DataFrame, split: bool) -> DataFrame:
+    if split:
+        rows = rows.withColumn("family", F.explode(F.split("family", "-")))
+    return rows.select("query", "neighbor", "family", "cluster_num", "color", "distance", "query_direction", "direction")
+
+
 def neighbor_details(clusters: DataFrame, neighbors: DataFrame, colors: DataFrame, cooccurrences: DataFrame | None = None, split: bool = False) -> DataFrame:
     """One row per query and neighbour: cluster, colour, family, distance and directions.
 
@@ -272,9 +278,24 @@ def neighbor_details(clusters: DataFrame, neighbors: DataFrame, colors: DataFram
     rows = clusters.join(neighbors, "query").join(colors, "cluster_num", "left")
     if cooccurrences is not None:
         rows = rows.join(cooccurrences.select("cluster_num", "family").distinct(), ["cluster_num", "family"], "left_semi")
-    if split:
-        rows = rows.withColumn("family", F.explode(F.split("family", "-")))
-    return rows.select("query", "neighbor", "family", "cluster_num", "color", "distance", "query_direction", "direction")
+    return _details(rows, split)
+
+
+def genome_details(clusters: DataFrame, chosen: DataFrame, genes: DataFrame, colors: DataFrame, cooccurrences: DataFrame | None = None, split: bool = False, size: int = MAX_SIZE) -> DataFrame:
+    """:func:`neighbor_details` straight from genes: ``chosen`` without cluster, ``genes`` with ``family``.
+
+    Colours and the families above the threshold go to the queries before the window multiplies
+    them. A cluster has few such families, as a query has ``2 * size`` neighbours at most: with a
+    threshold of ``t``, ``2 * size / t``.
+    """
+    colored = clusters.join(colors, "cluster_num", "left")
+    carry = ("cluster_num", "color")
+    if cooccurrences is not None:
+        colored, carry = colored.join(cooccurrences.groupBy("cluster_num").agg(F.collect_set("family").alias("_kept")), "cluster_num"), (*carry, "_kept")
+    near = neighbor_window(in_clusters(chosen, colored), genes, size, carry)
+    if cooccurrences is not None:
+        near = near.filter(F.array_contains("_kept", F.col("family")))
+    return _details(neighbor_distance(near, "cluster_num", "color", "family"), split)
 
 
 def no_family_neighbors(clusters: DataFrame, neighbors: DataFrame) -> DataFrame:
@@ -282,25 +303,50 @@ def no_family_neighbors(clusters: DataFrame, neighbors: DataFrame) -> DataFrame:
     return clusters.join(neighbors.filter(F.col("family") == NONE), "query").select("cluster_num", "neighbor").distinct()
 
 
+def genome_no_family(chosen: DataFrame, genes: DataFrame, size: int = MAX_SIZE) -> DataFrame:
+    """:func:`no_family_neighbors` straight from genes: ``chosen`` with ``cluster_num``, ``genes`` with ``family``."""
+    near = neighbor_window(chosen, genes.filter(F.col("family") == NONE), size, ("cluster_num",))
+    return neighbor_distance(near, "cluster_num").select("cluster_num", "neighbor").distinct()
+
+
 def shrink_neighborhood(neighbors: DataFrame, size: int) -> DataFrame:
     """A smaller window from a stored larger one."""
     return neighbors.filter(F.abs("distance") <= size)
 
 
+def _node_attributes(members: DataFrame, chosen: DataFrame, of_nodes: DataFrame) -> DataFrame:
+    """:func:`node_neighbor_attributes` with a row ``node, family`` for each neighbour."""
+    at = chosen.select(F.col("accession").alias("id"), "genome")
+    found = members.join(at, "id", "left").groupBy("node").agg(F.max(F.col("genome").isNotNull()).alias("in_gene_table"), F.array_sort(F.collect_set("genome")).alias("genomes"))
+    fams = of_nodes.select(F.col("node").alias("_node"), "family").distinct().groupBy("_node").agg(F.lit(True).alias("_some"), F.array_sort(F.collect_set(F.when(F.col("family") != NONE, F.col("family")))).alias("_f"))
+    return found.join(fams, F.col("node").eqNullSafe(F.col("_node")), "left").select(
+        "node", "in_gene_table", F.coalesce("_some", F.lit(False)).alias("has_neighbors"), "genomes", F.coalesce("_f", F.array().cast("array<string>")).alias("neighbor_families"))
+
+
 def node_neighbor_attributes(members: DataFrame, chosen: DataFrame, neighbors: DataFrame) -> DataFrame:
     """Per node: is an id in the gene table, has it neighbours, genome ids, distinct neighbour families. ``members``: ``node, id``."""
-    at = chosen.select(F.col("accession").alias("id"), "genome")
-    fams = neighbors.groupBy(F.col("query").alias("id")).agg(F.collect_set(F.when(F.col("family") != NONE, F.col("family"))).alias("f"))
-    rows = members.join(at, "id", "left").join(fams, "id", "left")
-    return rows.groupBy("node").agg(
-        F.max(F.col("genome").isNotNull()).alias("in_gene_table"), F.max(F.col("f").isNotNull()).alias("has_neighbors"), F.array_sort(F.collect_set("genome")).alias("genomes"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("f", F.array().cast("array<string>")))))).alias("neighbor_families"))
+    return _node_attributes(members, chosen, members.join(neighbors.select(F.col("query").alias("id"), "family"), "id"))
+
+
+def genome_node_attributes(members: DataFrame, chosen: DataFrame, genes: DataFrame, size: int = MAX_SIZE) -> DataFrame:
+    """:func:`node_neighbor_attributes` straight from genes, which have ``family``."""
+    near = neighbor_window(in_clusters(chosen, members.withColumnRenamed("id", "query")), genes, size, ("node",))
+    return _node_attributes(members, chosen, neighbor_distance(near, "node", "family"))
 
 
 def evidence_shape(clusters: DataFrame, neighbors: DataFrame, evidence: DataFrame) -> DataFrame:
     """Per cluster and family a shape by structures and reviewed entries among neighbours. ``evidence``: ``accession, is_reviewed, pdb``."""
+    return _shapes(clusters.join(neighbors, "query").join(evidence.withColumnRenamed("accession", "neighbor"), "neighbor", "left"))
+
+
+def genome_evidence(chosen: DataFrame, genes: DataFrame, evidence: DataFrame, size: int = MAX_SIZE) -> DataFrame:
+    """:func:`evidence_shape` straight from genes: ``chosen`` with ``cluster_num``, ``genes`` with ``family``."""
+    known = genes.join(evidence.select("accession", "is_reviewed", "pdb"), "accession", "left")
+    return _shapes(neighbor_distance(neighbor_window(chosen, known, size, ("cluster_num",)), "cluster_num", "family", "is_reviewed", "pdb"))
+
+
+def _shapes(rows: DataFrame) -> DataFrame:
     pdb = (F.coalesce(F.col("pdb"), F.lit("")) != "") & (F.col("pdb") != "None")
-    rows = clusters.join(neighbors, "query").join(evidence.withColumnRenamed("accession", "neighbor"), "neighbor", "left")
     out = rows.groupBy("cluster_num", "family").agg(F.count_if(pdb).alias("num_pdb"), F.count_if("is_reviewed").alias("num_reviewed"))
     shape = F.when((F.col("num_pdb") > 0) & (F.col("num_reviewed") > 0), "diamond").when(F.col("num_pdb") > 0, "square").when(F.col("num_reviewed") > 0, "triangle").otherwise("circle")
     return out.withColumn("shape", shape)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kinweave.functions.staging import Staging
 from kinweave.operators import neighborhoods as N
 from kinweave.plans.views import oracle, table, view
 
@@ -39,17 +38,21 @@ def _named(spark, d):
     return N.genes_with_families(_genes(spark, d), view(spark, d, "genes").filter("family != 'error'").select("accession", "family"))
 
 
-def _neighbors(spark, d):
-    families = view(spark, d, "genes").filter("family != 'error'").select("accession", "family")
-    return Staging(spark, "neighbors").write(N.with_families(_plain(spark, d), families), "neighbors")
-
-
 def _clusters(spark, d):
     return view(spark, d, "asked").select(F.col("accession").alias("query"), "cluster_num")
 
 
+def _placed(spark, d):
+    """Chosen genes with their cluster."""
+    return N.in_clusters(_chosen(spark, d), _clusters(spark, d))
+
+
+def _colors(spark, d):
+    return view(spark, d, "colors").select(F.col("num").alias("cluster_num"), "color")
+
+
 def _cooc(spark, d):
-    return N.cooccurrence(_clusters(spark, d), _neighbors(spark, d), 0.3)
+    return N.genome_cooccurrence(_clusters(spark, d), _chosen(spark, d), _named(spark, d), 0.3, size=SIZE)
 
 
 @query("SELECT genome, accession, num, linear, normal, start, stop, max_num, max_stop FROM chosen")
@@ -75,7 +78,7 @@ def gene_families(spark, d):
 
 @query("SELECT * FROM neighbors")
 def with_families(spark, d):
-    return _neighbors(spark, d)
+    return N.neighbor_distance(N.neighbor_window(_chosen(spark, d), _named(spark, d), SIZE), "family")
 
 
 @query("SELECT q.accession AS query, CASE WHEN c.accession IS NULL THEN 'nomatch' WHEN c.accession NOT IN (SELECT query FROM neighbors) THEN 'noneighbor' ELSE 'ok' END AS status, CASE WHEN c.num IS NOT NULL THEN CAST((CASE WHEN c.num - 20 < 1 THEN 1 ELSE 0 END) | (CASE WHEN c.num + 20 > c.max_num THEN 2 ELSE 0 END) AS INT) END AS edge FROM (SELECT accession FROM asked UNION ALL SELECT 'E-none') q LEFT JOIN chosen c USING (accession)")
@@ -87,17 +90,17 @@ def query_status(spark, d):
 
 @query("SELECT * FROM famnb")
 def family_neighbors(spark, d):
-    return N.family_neighbors(_clusters(spark, d), _neighbors(spark, d))
+    return N.genome_families(_placed(spark, d), _named(spark, d), SIZE)
 
 
 @query("SELECT DISTINCT cluster_num, family, concat_ws(':', query, query_direction, neighbor, direction, distance) AS arrangement FROM clustered JOIN neighbors USING (query)")
 def family_arrangements(spark, d):
-    return N.genome_arrangements(N.in_clusters(_chosen(spark, d), _clusters(spark, d)), _named(spark, d), SIZE)
+    return N.genome_arrangements(_placed(spark, d), _named(spark, d), SIZE)
 
 
 @query("SELECT * FROM denom")
 def cluster_denominators(spark, d):
-    return N.cluster_denominators(_clusters(spark, d), _neighbors(spark, d))
+    return N.cluster_denominators(_clusters(spark, d), _plain(spark, d))
 
 
 @query("SELECT * FROM cooc")
@@ -122,18 +125,17 @@ def family_hubs(spark, d):
 
 @query("SELECT n.query, n.neighbor, n.family, c.cluster_num, color, distance, query_direction, direction FROM clustered c JOIN neighbors n USING (query) LEFT JOIN colors ON num = c.cluster_num".replace("ON num =", "ON colors.num ="))
 def neighbor_details(spark, d):
-    return N.neighbor_details(_clusters(spark, d), _neighbors(spark, d), view(spark, d, "colors").select(F.col("num").alias("cluster_num"), "color"))
+    return N.genome_details(_clusters(spark, d), _chosen(spark, d), _named(spark, d), _colors(spark, d), size=SIZE)
 
 
 @query("SELECT n.query, n.neighbor, n.family, c.cluster_num, color, distance, query_direction, direction FROM clustered c JOIN neighbors n USING (query) JOIN cooc o ON o.cluster_num = c.cluster_num AND o.family = n.family LEFT JOIN colors ON colors.num = c.cluster_num")
 def neighbor_details_above_threshold(spark, d):
-    nb = Staging(spark, "neighbors").write(_neighbors(spark, d), "neighbors")
-    return N.neighbor_details(_clusters(spark, d), nb, view(spark, d, "colors").select(F.col("num").alias("cluster_num"), "color"), N.cooccurrence(_clusters(spark, d), nb, 0.3), split=True)
+    return N.genome_details(_clusters(spark, d), _chosen(spark, d), _named(spark, d), _colors(spark, d), _cooc(spark, d), split=True, size=SIZE)
 
 
 @query("SELECT DISTINCT cluster_num, neighbor FROM clustered JOIN neighbors USING (query) WHERE family = 'none'")
 def no_family_neighbors(spark, d):
-    return N.no_family_neighbors(_clusters(spark, d), _neighbors(spark, d))
+    return N.genome_no_family(_placed(spark, d), _named(spark, d), SIZE)
 
 
 @query("SELECT query, neighbor, distance FROM neighbors WHERE abs(distance) <= 2")
@@ -144,7 +146,7 @@ def shrink_neighborhood(spark, d):
 @query("""SELECT 'N' || cluster_num AS node, true AS in_gene_table, true AS has_neighbors, list_sort(list(DISTINCT genome)) AS genomes, list_sort(list(DISTINCT family) FILTER (family <> 'none')) AS neighbor_families FROM clustered JOIN neighbors USING (query) GROUP BY cluster_num""")
 def node_neighbor_attributes(spark, d):
     members = _clusters(spark, d).select(F.concat(F.lit("N"), "cluster_num").alias("node"), F.col("query").alias("id"))
-    return N.node_neighbor_attributes(members, _chosen(spark, d), _neighbors(spark, d))
+    return N.genome_node_attributes(members, _chosen(spark, d), _named(spark, d), SIZE)
 
 
 _EV = "(SELECT concat('E', event_id) AS accession, event_id % 11 = 0 AS is_reviewed, CASE WHEN event_id % 7 = 0 THEN concat('1P', event_id % 90) WHEN event_id % 2 = 0 THEN 'None' END AS pdb, concat('1.', event_id % 6) AS ec FROM events)"
@@ -157,7 +159,7 @@ def _evidence(spark, d):
 
 @query(f"SELECT *, CASE WHEN num_pdb > 0 AND num_reviewed > 0 THEN 'diamond' WHEN num_pdb > 0 THEN 'square' WHEN num_reviewed > 0 THEN 'triangle' ELSE 'circle' END AS shape FROM (SELECT cluster_num, family, count(*) FILTER (pdb <> 'None') AS num_pdb, count(*) FILTER (is_reviewed) AS num_reviewed FROM clustered JOIN neighbors USING (query) JOIN {_EV} e ON e.accession = neighbor GROUP BY cluster_num, family)")
 def evidence_shape(spark, d):
-    return N.evidence_shape(_clusters(spark, d), _neighbors(spark, d), _evidence(spark, d).drop("ec"))
+    return N.genome_evidence(_placed(spark, d), _named(spark, d), _evidence(spark, d).drop("ec"), SIZE)
 
 
 @query(f"SELECT DISTINCT neighbor, concat(ec, ':', coalesce(pdb, ''), ':None:None:', CASE WHEN is_reviewed THEN 'SwissProt' ELSE 'TrEMBL' END) AS evidence FROM neighbors JOIN {_EV} e ON e.accession = neighbor")
