@@ -15,7 +15,7 @@ MAX_ROUNDS = 100
 HUB_SHARE, HUB_ROWS = 0.25, 1000
 
 
-def _minima(edges: DataFrame, stage: Staging, rows: int) -> DataFrame:
+def _minima(edges: DataFrame, stage: Staging, rows: int | None = None) -> DataFrame:
     """``u, m, out, into`` for each ``u`` of the edges: its least ``v``, and how many of its ``v`` are smaller and larger."""
     smaller = F.col("v") < F.col("u")
     lows = edges.groupBy("u").agg(F.min("v").alias("m"), F.count_if(smaller).alias("out"), F.count_if(~smaller).alias("into"))
